@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, simhash
+from . import exact_dedup, packing, simhash, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,14 +17,30 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.cut_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(_table(spark, sf_dir, "documents"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_substring_dedup": op2_substring_dedup,
+        "op4_toxicity": op4_toxicity,
         "op8_simhash": op8_simhash,
+        "op10_packing": op10_packing,
     }
 
 
@@ -35,4 +51,6 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN text IS NULL THEN doc_id ELSE min(doc_id) OVER (PARTITION BY text) END AS keep_id,
                    CASE WHEN text IS NULL THEN 1 ELSE count(*) OVER (PARTITION BY text) END AS copies
             FROM documents""",
+        "op2_substring_dedup": substring_dedup.oracle_sql(),
+        "op10_packing": packing.oracle_sql(),
     }
