@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, simhash, substring_dedup, toxicity
+from . import exact_dedup, packing, simhash, substring_dedup, topk, toxicity, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,15 +21,28 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.cut_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return url_filter.score(pages, url_filter.learn(pages))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(_table(spark, sf_dir, "documents"))
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -38,8 +51,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_substring_dedup": op2_substring_dedup,
+        "op3_url_filter": op3_url_filter,
         "op4_toxicity": op4_toxicity,
+        "op6_warc": op6_warc,
         "op8_simhash": op8_simhash,
+        "op9_topk": op9_topk,
         "op10_packing": op10_packing,
     }
 
@@ -52,5 +68,8 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN text IS NULL THEN 1 ELSE count(*) OVER (PARTITION BY text) END AS copies
             FROM documents""",
         "op2_substring_dedup": substring_dedup.oracle_sql(),
+        "op6_warc": """
+            SELECT page_id, url, strlen(html) AS n_bytes, md5(html) AS md5 FROM pages""",
+        "op9_topk": topk.oracle_sql(),
         "op10_packing": packing.oracle_sql(),
     }
