@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, simhash, substring_dedup, topk, toxicity, url_filter, warc
+from . import bpe, exact_dedup, language_model, packing, simhash, substring_dedup, topk, toxicity, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,10 +31,19 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return language_model.score(docs, language_model.train(docs))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(_table(spark, sf_dir, "documents"))
 
@@ -53,7 +62,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_substring_dedup": op2_substring_dedup,
         "op3_url_filter": op3_url_filter,
         "op4_toxicity": op4_toxicity,
+        "op5_lm_scoring": op5_lm_scoring,
         "op6_warc": op6_warc,
+        "op7_bpe": op7_bpe,
         "op8_simhash": op8_simhash,
         "op9_topk": op9_topk,
         "op10_packing": op10_packing,
