@@ -39,7 +39,7 @@ def _named(df: DataFrame, key: list[str], keep: list[str]) -> DataFrame:
             columns = [batch.column(i) for i in range(width, batch.num_columns)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.int64())], names=[*keep, "__at", "__local"])
 
-    ordered = df.repartitionByRange(*key).sortWithinPartitions(*key)
+    ordered = df.repartitionByRange(key[0]).sortWithinPartitions(*key)
     ordered = ordered.select(*key, *keep, F.spark_partition_id().alias("__at"))
     local = written(ordered.mapInArrow(number, f"{schema}, __at int, __local bigint"), "names")
     sizes = local.groupBy("__at").agg((F.max("__local") + 1).alias("n"))
@@ -58,7 +58,9 @@ def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     block = docs.where("text is not null").select(*row_key(), F.col("text").cast("binary").alias("body"))
     last = F.greatest(F.ceil(F.octet_length("body") / block_bytes), F.lit(1)).cast("int") - 1
     block = block.select(ID, HASH, last.alias("last"), F.posexplode(F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(F.col("body"), i * block_bytes + 1, F.lit(block_bytes)))).alias("pos", "block"))
-    now = _named(block, ["block"], [ID, HASH, "last", "pos"])
+    # blocks are sorted by a hash before their bytes: range bounds are then sampled from numbers, not from blocks
+    block = block.withColumn("mark", F.xxhash64("block"))
+    now = _named(block, ["mark", "block"], [ID, HASH, "last", "pos"])
     done, level = [], 0
     while True:
         # a repeated row gives the same (key, pos, name) again, which pairing below folds into one
