@@ -49,7 +49,7 @@ def _named(df: DataFrame, key: list[str], keep: list[str]) -> DataFrame:
 
 
 def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(row id, row hash, level, name): two non-null texts are equal exactly when level and name are.
+    """(row id, row hash, rows, level, name): two non-null texts are equal exactly when level and name are.
 
     Texts are cut into blocks of `block_bytes` bytes, all blocks are sorted into integer names, and the names of
     adjacent pairs are named again, level by level, until one name is left for each document.  A document's level is
@@ -57,23 +57,23 @@ def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """
     block = docs.where("text is not null").select(*row_key(), F.col("text").cast("binary").alias("body"))
     last = F.greatest(F.ceil(F.octet_length("body") / block_bytes), F.lit(1)).cast("int") - 1
-    block = block.select(ID, HASH, last.alias("last"), F.posexplode(F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(F.col("body"), i * block_bytes + 1, F.lit(block_bytes)))).alias("pos", "block"))
+    block = block.select(ID, HASH, F.lit(1).cast("long").alias("rows"), last.alias("last"), F.posexplode(F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(F.col("body"), i * block_bytes + 1, F.lit(block_bytes)))).alias("pos", "block"))
     # blocks are sorted by a hash before their bytes: range bounds are then sampled from numbers, not from blocks
     block = block.withColumn("mark", F.xxhash64("block"))
-    now = _named(block, ["mark", "block"], [ID, HASH, "last", "pos"])
+    now = _named(block, ["mark", "block"], [ID, HASH, "rows", "last", "pos"])
     done, level = [], 0
     while True:
-        # a repeated row gives the same (key, pos, name) again, which pairing below folds into one
-        done.append(now.where("last = 0").select(ID, HASH, F.lit(level).alias("level"), "name"))
+        done.append(now.where("last = 0").select(ID, HASH, "rows", F.lit(level).alias("level"), "name"))
         rest = now.where("last > 0")
         if rest.isEmpty():
             break
         half = F.shiftright("pos", 1)
         pairs = rest.groupBy(ID, HASH, F.shiftright("last", 1).alias("last"), half.alias("pos")).agg(
+            F.sum(F.when(F.col("pos") % 2 == 0, F.col("rows"))).alias("rows"),  # a row that repeats id and text adds to its twin
             F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("left"),
             F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(-1)).alias("right"),
         )
-        now = _named(pairs, ["left", "right"], [ID, HASH, "last", "pos"])
+        now = _named(pairs, ["left", "right"], [ID, HASH, "rows", "last", "pos"])
         level += 1
     out = done[0]
     for x in done[1:]:
@@ -89,8 +89,9 @@ def exact_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     the input; extra columns are ignored.  An empty table gives an empty result.
     """
     names = identities(docs, block_bytes)
-    groups = names.groupBy("level", "name").agg(F.min(ID).alias("keep_id"), F.count("*").alias("copies"))
-    full = names.join(groups, ["level", "name"]).select(id_back(ID).alias("doc_id"), id_back("keep_id").alias("keep_id"), "copies")
+    groups = names.groupBy("level", "name").agg(F.min(ID).alias("keep_id"), F.sum("rows").alias("copies"))
+    each = names.select(ID, "level", "name", F.explode(F.array_repeat(F.lit(0), F.col("rows").cast("int"))))
+    full = each.join(groups, ["level", "name"]).select(id_back(ID).alias("doc_id"), id_back("keep_id").alias("keep_id"), "copies")
     null = docs.where("text is null").select(F.col("doc_id").cast("long"), F.col("doc_id").cast("long").alias("keep_id"), F.lit(1).cast("long").alias("copies"))
     return full.unionByName(null)
 
