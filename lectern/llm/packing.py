@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 BUCKETS = 8
 #: Tokens of a batch, padding included; a document longer than that is a batch of its own.
 TOKEN_BUDGET = 16_384
@@ -15,7 +17,7 @@ ID_SPAN = 4_096
 
 def token_count(text: Column) -> Column:
     """Words parted by white space; null and empty texts have none."""
-    return F.when(F.trim(F.regexp_replace(text, r"[\t\n\f\r ]+", " ")) == "", F.lit(0)).otherwise(F.coalesce(F.size(F.split(F.trim(F.regexp_replace(text, r"[\t\n\f\r ]+", " ")), " ")), F.lit(0)))
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\t\n\f\r ]+")), F.lit(0))
 
 
 def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
@@ -67,7 +69,8 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET) ->
     and go to the first bucket with the rest.  Repeated rows are packed each; rows with one id are in the order of their
     length.  Extra columns are ignored; an empty table gives an empty result.
     """
-    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), token_count(F.col("text")).alias("n_tokens"))
+    # two numbers a row, written once: the texts are read for their lengths and never again
+    sized = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), token_count(F.col("text")).alias("n_tokens")), "lengths")
     histogram = sized.groupBy("n_tokens").count().orderBy("n_tokens").collect()
     tops = boundaries([r[0] for r in histogram], [r[1] for r in histogram], buckets)
     edges = F.array(*[F.lit(t) for t in tops]) if tops else F.array(F.lit(0))

@@ -28,12 +28,12 @@ def complete(queue: DataFrame, done) -> DataFrame:
 
 
 def fold(events: DataFrame) -> DataFrame:
-    """(district_id, tier, status, steps): the queue after all events (district_id, at, attempt_id, event_type) in order.
+    """(district_id, tier, status, steps): the queue after all events (district_id, attempted, attempt_id, event_type) in order.
 
     signup enqueues anew, error escalates, view blocks, purchase completes; a completed or blocked row stays until a
     signup.  A district's events are folded by one aggregate over its sorted array.
     """
-    log = F.array_sort(F.collect_list(F.struct("at", "attempt_id", "event_type")))
+    log = F.array_sort(F.collect_list(F.struct("attempted", "attempt_id", "event_type")))
     start = F.struct(F.lit(0).alias("tier"), F.lit("new").alias("status"), F.lit(0).alias("steps"))
 
     def step(s, e):

@@ -107,14 +107,14 @@ share("requirements", """
 def attempts(t: Tables) -> DataFrame:
     status = F.create_map(*[F.lit(x) for kv in STATUS.items() for x in kv])
     k = F.get_json_object("props", "$.k").cast("int")
-    e = t.events.select(F.col("event_id").alias("attempt_id"), F.lpad(F.col("user_id").cast("string"), 7, "0").alias("district_id"), status[F.col("event_type")].alias("status"), F.col("event_type"), F.round(F.col("value") * 100).cast("long").alias("timing"), F.col("ts").alias("at"), k.alias("k"))
+    e = t.events.select(F.col("event_id").alias("attempt_id"), F.lpad(F.col("user_id").cast("string"), 7, "0").alias("district_id"), status[F.col("event_type")].alias("status"), F.col("event_type"), F.round(F.col("value") * 100).cast("long").alias("timing"), F.col("ts").alias("attempted"), k.alias("k"))
     kind = F.try_element_at(F.array(F.lit("cloudflare"), F.lit("captcha"), F.lit("waf")), F.col("k") % 4 + 1)
     return e.withColumns({"block_type": F.when(F.col("status") == "blocked", kind), "skip": F.col("k") % 50 == 0})
 
 
 share("attempts", f"""
     SELECT event_id AS attempt_id, lpad(CAST(user_id AS VARCHAR), 7, '0') AS district_id, CASE event_type {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STATUS.items())} END AS status, event_type,
-           CAST(round(value * 100) AS BIGINT) AS timing, ts AS at, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+           CAST(round(value * 100) AS BIGINT) AS timing, ts AS attempted, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
            CASE WHEN event_type = 'error' THEN ['cloudflare', 'captcha', 'waf', NULL][CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 + 1] END AS block_type,
            CAST(json_extract_string(props, '$.k') AS INTEGER) % 50 = 0 AS skip
     FROM events""")
