@@ -93,6 +93,6 @@ def all_variants(districts: DataFrame, staff: DataFrame, enrollment: DataFrame,
 
 
 def summary(rows: DataFrame, *by: str) -> DataFrame:
-    """Count, mean, median, sample deviation, extremes and districts of a metric, to 4 places."""
-    r = lambda c: F.round(c, 4)
+    """Count, mean, median, sample deviation, extremes and districts of a metric, to 8 places."""
+    r = lambda c: F.round(c, 8)
     return rows.groupBy(*by).agg(F.count("lct").alias("n"), r(F.avg("lct")).alias("mean"), r(F.median("lct")).alias("median"), r(F.stddev_samp("lct")).alias("std"), F.min("lct").alias("least"), F.max("lct").alias("most"), F.countDistinct("district_id").alias("districts"))
