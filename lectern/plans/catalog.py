@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import aggregations, filters, joins, projections, scalars  # noqa: F401
+from . import aggregations, filters, joins, ordering, projections, scalars  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 
