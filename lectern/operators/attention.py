@@ -78,7 +78,7 @@ def all_variants(districts: DataFrame, staff: DataFrame, enrollment: DataFrame,
     def row(scope: str, staff_col: Column, pupils: Column, keep: Column | None = None, cap: bool = False) -> Column:
         value = F.bround(lct(staff_col, pupils), 2)
         note = F.when(F.lit(cap) & (value > MOST), "WARN_CAPPED").otherwise("")
-        shown = F.least(value, F.lit(float(MOST))) if cap else value
+        shown = F.when(value.isNotNull(), F.least(value, F.lit(float(MOST)))) if cap else value
         if keep is not None:
             shown = F.when(keep, shown)
         return F.struct(F.lit(scope).alias("scope"), staff_col.cast("double").alias("staff"), pupils.cast("double").alias("pupils"), shown.alias("lct"), note.alias("notes"))

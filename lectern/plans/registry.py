@@ -49,7 +49,9 @@ def complete(sql: str) -> str:
         return sql
     heads = ", ".join(f"{n} AS ({SHARED[n]})" for n in needed)
     text = sql.strip()
-    return f"WITH {heads}, {text[4:].lstrip()}" if text[:5].upper() == "WITH " else f"WITH {heads} {text}"
+    if m := re.match(r"WITH\s+(RECURSIVE\s+)?", text):
+        return f"WITH {m[1] or ''}{heads}, {text[m.end() :]}"
+    return f"WITH {heads} {text}"
 
 
 def query(name: str, sql: str | None = None):
