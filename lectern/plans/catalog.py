@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import aggregations, checks, filters, joins, ordering, projections, scalars, state  # noqa: F401
+from . import aggregations, checks, filters, inventory, joins, ordering, projections, scalars, state, texts  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 
