@@ -194,7 +194,7 @@ def _same(tier, status):
     return f"struct_pack(tier := CAST({tier} AS INTEGER), status := {status}, steps := CAST(s.steps + 1 AS INTEGER))"
 
 
-@query("st_fold", f"""
+FOLD_SQL = f"""
     WITH RECURSIVE e AS (SELECT district_id, event_type, row_number() OVER (PARTITION BY district_id ORDER BY attempted, attempt_id) AS i FROM attempts),
     f AS (SELECT DISTINCT district_id, CAST(0 AS BIGINT) AS i, struct_pack(tier := CAST(0 AS INTEGER), status := 'new', steps := CAST(0 AS INTEGER)) AS s FROM e
           UNION ALL
@@ -202,7 +202,10 @@ def _same(tier, status):
               WHEN s.status NOT IN ('new', 'pending') THEN s WHEN e.event_type = 'error' AND s.tier >= 5 THEN {_same("5", "'manual_review'")} WHEN e.event_type = 'error' THEN {_same("s.tier + 1", "'pending'")}
               WHEN e.event_type = 'view' AND s.tier >= 4 THEN {_same("s.tier", "'manual_review'")} WHEN e.event_type = 'purchase' THEN {_same("s.tier", "'completed'")} ELSE s END
           FROM f JOIN e ON e.district_id = f.district_id AND e.i = f.i + 1)
-    SELECT district_id, s.tier AS tier, s.status AS status, s.steps AS steps FROM f QUALIFY row_number() OVER (PARTITION BY district_id ORDER BY i DESC) = 1""")
+    SELECT district_id, s.tier AS tier, s.status AS status, s.steps AS steps FROM f QUALIFY row_number() OVER (PARTITION BY district_id ORDER BY i DESC) = 1"""
+
+
+@query("st_fold", FOLD_SQL)
 def _(t):
     return Q.fold(attempts(t))
 
