@@ -21,7 +21,7 @@ from .tokens import hashed_words
 
 #: Words with a vector of their own; all others are one unknown word, number 0.
 VOCABULARY, DIMENSION, ROUNDS = 2048, 32, 2
-BATCH, NOISE, STEP = 4096, 64, 0.08
+BATCH, NOISE, STEP = 2048, 64, 0.3
 _BLOCKS = 64
 
 
@@ -86,8 +86,8 @@ def _gather(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Trainer:
     """Minibatches of noise-contrastive estimation with steps scaled by past gradients."""
 
-    def __init__(self, model: Model, seed: list[int]) -> None:
-        self.model, self.flat = model, model.parameters.copy()
+    def __init__(self, model: Model, seed: list[int], batch: int = BATCH) -> None:
+        self.model, self.flat, self.batch = model, model.parameters.copy(), batch
         self.past = np.full(len(self.flat), 1e-2, np.float32)
         self.rng, self.words = np.random.default_rng(seed), 0
         self.edges = np.cumsum(model.share)
@@ -125,8 +125,9 @@ class Trainer:
     def text(self, hashes: np.ndarray, bounds: np.ndarray) -> None:
         numbers = self.model.numbers(hashes)
         one, two = self.model.contexts(numbers, bounds)
-        for i in range(0, len(numbers), BATCH):
-            self.learn(one[i : i + BATCH], two[i : i + BATCH], numbers[i : i + BATCH])
+        for i in range(0, len(numbers), self.batch):
+            to = slice(i, i + self.batch)
+            self.learn(one[to], two[to], numbers[to])
 
 
 class Scorer:
@@ -170,7 +171,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.where("text is not null").select("text").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, vocabulary: int = VOCABULARY, dimension: int = DIMENSION, rounds: int = ROUNDS) -> Model:
+def train(docs: DataFrame, vocabulary: int = VOCABULARY, dimension: int = DIMENSION, rounds: int = ROUNDS, batch: int = BATCH) -> Model:
     """A model of all words of all texts: counts first, then `rounds` passes of training and averaging."""
     spark = docs.sparkSession
     counts = written(word_counts(docs), "words")
@@ -185,9 +186,9 @@ def train(docs: DataFrame, vocabulary: int = VOCABULARY, dimension: int = DIMENS
             from pyspark import TaskContext
 
             at = TaskContext.get().partitionId()
-            trainer = Trainer(sent.value, [k, at])
-            for batch in batches:
-                for _, hashes, bounds, *_ in hashed_words(batch.column(0), fold=True):
+            trainer = Trainer(sent.value, [k, at], batch)
+            for some in batches:
+                for _, hashes, bounds, *_ in hashed_words(some.column(0), fold=True):
                     trainer.text(hashes, bounds)
             if trainer.words:
                 blocks = np.array_split(trainer.flat, _BLOCKS)
