@@ -119,7 +119,7 @@ def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
             nonlocal held, size, part
             data, places = encode_file([record(*h) for h in held])
             name = f"part-{task.partitionId():05d}-{part:04d}-{uuid.uuid4().hex}.warc.zst"
-            with where.open_output_stream(f"{path}/{name}") as out:
+            with where.open_output_stream(f"{path}/{name}", compression=None) as out:
                 out.write(data)
             ids, urls, bodies = zip(*held, strict=True)
             index = pa.RecordBatch.from_arrays(
@@ -149,7 +149,7 @@ def read(index: DataFrame) -> DataFrame:
         for batch in batches:
             for file in batch.column(0).to_pylist():
                 where, path = fs.FileSystem.from_uri(file)
-                with where.open_input_stream(path) as source:
+                with where.open_input_stream(path, compression=None) as source:
                     data = source.read()
                 held = []
                 for row in decode_file(data):
