@@ -37,10 +37,10 @@ def _(t):
     return facts(t).select("district_id", "year", e.alias("error"), F.when(e.isNull(), F.round(F.col("minutes") * F.col("staff") / F.col("pupils"), 4)).alias("lct"))
 
 
-@query("prj_lct_extra", f"SELECT district_id, year, round(({LCT}) / 60, 4) AS hours, round(({LCT}) * 180 / 60, 4) AS yearly, round(pupils / nullif(staff, 0), 4) AS ratio FROM facts")
+@query("prj_lct_extra", f"SELECT district_id, year, round(({LCT}) / 60, 10) AS hours, round(({LCT}) * 180 / 60, 10) AS yearly, round(pupils / nullif(staff, 0), 10) AS ratio FROM facts")
 def _(t):
     lct = A.attention(F.col("minutes"), F.col("staff"), F.col("pupils"))
-    return facts(t).select("district_id", "year", F.round(lct / 60, 4).alias("hours"), F.round(lct * 180 / 60, 4).alias("yearly"), F.round(F.try_divide("pupils", "staff"), 4).alias("ratio"))
+    return facts(t).select("district_id", "year", F.round(lct / 60, 10).alias("hours"), F.round(lct * 180 / 60, 10).alias("yearly"), F.round(F.try_divide("pupils", "staff"), 10).alias("ratio"))
 
 
 @query("prj_lct_batch", f"SELECT coalesce({_ERROR}, 'ok') AS error, count(*) AS n FROM facts GROUP BY 1")
@@ -49,9 +49,9 @@ def _(t):
     return facts(t).groupBy(F.coalesce(e, F.lit("ok")).alias("error")).agg(F.count("*").alias("n"))
 
 
-@query("prj_lct_inverse", f"SELECT district_id, year, round(360 / nullif({LCT}, 0), 4) AS ratio FROM facts")
+@query("prj_lct_inverse", f"SELECT district_id, year, round(360 / nullif({LCT}, 0), 10) AS ratio FROM facts")
 def _(t):
-    return facts(t).select("district_id", "year", F.round(F.try_divide(F.lit(360), A.attention(F.col("minutes"), F.col("staff"), F.col("pupils"))), 4).alias("ratio"))
+    return facts(t).select("district_id", "year", F.round(F.try_divide(F.lit(360), A.attention(F.col("minutes"), F.col("staff"), F.col("pupils"))), 10).alias("ratio"))
 
 
 @query("prj_lct_text", f"SELECT district_id, year, 'Each pupil could have ' || CAST(CAST(floor({LCT}) AS BIGINT) AS VARCHAR) || ' minutes a day' AS text FROM facts WHERE ({LCT}) IS NOT NULL")
