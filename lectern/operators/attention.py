@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,20 +32,34 @@ def attention_error(minutes: Column, staff: Column, pupils: Column) -> Column:
     )
 
 
-def scope_columns(elementary: Column, secondary: Column, kindergarten: Column, ungraded: Column, paras: Column, coordinators: Column) -> dict[str, Column]:
+#: Staff categories by the innermost scope that counts them; the scope "all" counts every one.
+TEACHERS = ("elementary", "secondary", "kindergarten")
+CORE = (*TEACHERS, "ungraded")
+INSTRUCTIONAL = (*CORE, "coordinators", "paras")
+SUPPORTED = (*INSTRUCTIONAL, "counselors", "psychologists", "student_support")
+ALL = (*SUPPORTED, "librarians", "library_support", "lea_administrators", "lea_support", "school_administrators", "school_support", "other")
+
+
+def scope_columns(category: Callable[[str], Column]) -> dict[str, Column]:
     """Nested staffing scopes as sums of categories, missing ones as 0; a sum of 0 is null."""
-    e, s, k, u, p, c = map(or_zero, (elementary, secondary, kindergarten, ungraded, paras, coordinators))
-    none = lambda x: F.nullif(x, F.lit(0.0))
-    k12, core = e + s + k, e + s + k + u
+    total = lambda names: F.nullif(sum((or_zero(category(n)) for n in names), F.lit(0.0)), F.lit(0.0))
     return {
-        "teachers_only": none(k12), "teachers_k5": none(e + k), "teachers_612": none(s), "teachers_core": none(core),
-        "instructional": none(core + c + p), "instructional_plus_support": none(core + c + p + F.floor(p / 2)), "all": none(core + c + p + F.floor(p / 2) + F.floor(c / 3)),
+        "teachers_only": total(TEACHERS), "teachers_k5": total(("elementary", "kindergarten")), "teachers_612": total(("secondary",)), "teachers_core": total(CORE),
+        "instructional": total(INSTRUCTIONAL), "instructional_plus_support": total(SUPPORTED), "all": total(ALL),
     }
 
 
+def staff_scopes(staff: DataFrame) -> DataFrame:
+    """staff with the scopes beside its categories; a category that it has no column for counts as missing."""
+    have = set(staff.columns)
+    return staff.withColumns(scope_columns(lambda n: F.col(n) if n in have else F.lit(None).cast("double")))
+
+
 def with_scopes(staff: DataFrame) -> DataFrame:
-    names = ("elementary", "secondary", "kindergarten", "ungraded", "paras", "coordinators")
-    return staff.withColumns(scope_columns(*[F.col(n) for n in names]))
+    """Scopes of staff with six categories, where half the aides stand for counselors and a third of the coordinators for others."""
+    own = {"counselors": F.floor(or_zero(F.col("paras")) / 2), "other": F.floor(or_zero(F.col("coordinators")) / 3)}
+    have = set(staff.columns)
+    return staff.withColumns(scope_columns(lambda n: own[n] if n in own else F.col(n) if n in have else F.lit(None).cast("double")))
 
 
 def minutes_chain(bell: DataFrame, requirements: DataFrame, districts: DataFrame) -> DataFrame:
@@ -52,7 +68,8 @@ def minutes_chain(bell: DataFrame, requirements: DataFrame, districts: DataFrame
     Only the latest row of a level is looked at; minutes of 0 count as missing.
     """
     newest = latest_per_key(bell.where(F.col("grade_level").isin("high", "middle", "elementary")), ["district_id", "grade_level"], [F.desc("year"), "bell_id"])
-    found = F.struct("minutes", F.concat(F.lit("bell_schedule_"), "grade_level").alias("source"), "year")
+    source = F.when(F.col("grade_level") == "high", "bell_schedule").otherwise(F.concat(F.lit("bell_schedule_"), "grade_level"))
+    found = F.struct("minutes", source.alias("source"), "year")
     by_level = newest.groupBy("district_id").pivot("grade_level", ["high", "middle", "elementary"]).agg(F.max(F.when(truthy(F.col("minutes")).isNotNull(), found)))
     state = requirements.select("state", F.coalesce(truthy(F.col("high")), F.col("fallback")).cast("long").alias("state_minutes"))
     both = districts.select("district_id", "state").join(by_level, "district_id", "left").join(F.broadcast(state), "state", "left")  # one row a state
@@ -96,3 +113,29 @@ def summary(rows: DataFrame, *by: str) -> DataFrame:
     """Count, mean, median, sample deviation, extremes and districts of a metric, to 8 places."""
     r = lambda c: F.round(c, 8)
     return rows.groupBy(*by).agg(F.count("lct").alias("n"), r(F.avg("lct")).alias("mean"), r(F.median("lct")).alias("median"), r(F.stddev_samp("lct")).alias("std"), F.min("lct").alias("least"), F.max("lct").alias("most"), F.countDistinct("district_id").alias("districts"))
+
+
+def data_tier(source: Column) -> Column:
+    """1 for the schedule of the level itself, 2 for another level's, 3 for what no schedule gives."""
+    return F.when(source == "bell_schedule", 1).when(source.startswith("bell_schedule_"), 2).otherwise(3)
+
+
+def special_education(districts: DataFrame, lea: DataFrame, state: DataFrame) -> DataFrame:
+    """(district_id, sped, self_contained, gened, sped_teachers, sped_instructional, gened_teachers, method, confidence).
+
+    districts: (district_id, state, pupils, teachers); lea: (district_id, proportion); state: (state, proportion,
+    self_contained, teacher_ratio, instructional_ratio).  A district's proportion falls back on its state's; one without
+    either is left out.  Where a state lacks the teacher or the self-contained ratio, all three ratios are the means
+    over the states, each over its own known values.  Counts of pupils are rounded half to even from step to step.
+    """
+    mean = state.where("teacher_ratio is not null").agg(*[F.avg(truthy(F.col(c))).alias(f"mean_{c}") for c in ("self_contained", "teacher_ratio", "instructional_ratio")])
+    rows = districts.join(lea.select("district_id", F.col("proportion").alias("own")), "district_id", "left").join(F.broadcast(state), "state", "left").crossJoin(F.broadcast(mean))  # one row a state; one row
+    share = F.coalesce(truthy(F.col("own")), truthy(F.col("proportion")))
+    national = truthy(F.col("teacher_ratio")).isNull() | truthy(F.col("self_contained")).isNull()
+    ratio = lambda c: F.when(national, F.col(f"mean_{c}")).otherwise(F.col(c))
+    rows = rows.withColumns({"share": share, "sc": ratio("self_contained"), "tr": ratio("teacher_ratio"), "ir": ratio("instructional_ratio")}).where("share is not null and pupils > 0")
+    rows = rows.withColumn("sped", F.bround(F.col("pupils") * F.col("share"), 0).cast("long")).withColumn("contained", F.bround(F.col("sped") * F.col("sc"), 0).cast("long"))
+    rows = rows.withColumns({"sped_teachers": F.bround(F.col("contained") * F.col("tr"), 2), "sped_instructional": F.bround(F.col("contained") * F.col("ir"), 2)}).withColumn("gened_teachers", F.bround(F.col("teachers") - F.col("sped_teachers"), 2))
+    method = F.when(national, "national_average_fallback").when(truthy(F.col("own")).isNotNull(), "lea_ratio").otherwise("state_ratio")
+    confidence = F.when(F.col("gened_teachers") < 0, "low").otherwise("medium")
+    return rows.select("district_id", "sped", F.col("contained").alias("self_contained"), (F.col("pupils") - F.col("contained")).alias("gened"), "sped_teachers", "sped_instructional", "gened_teachers", method.alias("method"), confidence.alias("confidence"))

@@ -27,7 +27,7 @@ def safeguards(rows: DataFrame) -> DataFrame:
             ERR_RATIO_CEILING=F.abs(value("teachers_only") - value("all")) < 0.01,
             ERR_IMPOSSIBLE_SSR=F.col("scope").isin(*BASE) & (F.col("staff") / F.col("pupils") > 0.5),
             ERR_VOLATILE=F.col("pupils") < 50,
-            WARN_LCT_LOW=(F.col("scope") == "teachers_only") & (F.col("lct") < 5),
+            WARN_LCT_LOW=F.col("lct") < 5,
             WARN_LCT_HIGH=(F.col("scope") == "teachers_only") & (F.col("lct") > 120),
         ),
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import aggregations, checks, filters, inout, inventory, joins, ordering, projections, scalars, state, streams, texts  # noqa: F401
-from .registry import ORACLES, QUERIES
+from .registry import ORACLES, QUERIES, complete
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,4 +15,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return {name: complete(sql) for name, sql in ORACLES.items()}

@@ -39,7 +39,7 @@ def _(t):
 
 _BASE = "(" + ", ".join(f"'{s}'" for s in A.BASE) + ")"
 share("flagged", f"""
-    SELECT district_id, scope, lct, {joined(("ERR_FLAT_STAFF", "flat"), ("ERR_RATIO_CEILING", "abs(t - a) < 0.01"), ("ERR_IMPOSSIBLE_SSR", f"scope IN {_BASE} AND staff / pupils > 0.5"), ("ERR_VOLATILE", "pupils < 50"), ("WARN_LCT_LOW", "scope = 'teachers_only' AND lct < 5"), ("WARN_LCT_HIGH", "scope = 'teachers_only' AND lct > 120"))} AS flags
+    SELECT district_id, scope, lct, {joined(("ERR_FLAT_STAFF", "flat"), ("ERR_RATIO_CEILING", "abs(t - a) < 0.01"), ("ERR_IMPOSSIBLE_SSR", f"scope IN {_BASE} AND staff / pupils > 0.5"), ("ERR_VOLATILE", "pupils < 50"), ("WARN_LCT_LOW", "lct < 5"), ("WARN_LCT_HIGH", "scope = 'teachers_only' AND lct > 120"))} AS flags
     FROM (SELECT *, count(staff) FILTER (scope IN {_BASE}) OVER w = 5 AND min(staff) FILTER (scope IN {_BASE}) OVER w = max(staff) FILTER (scope IN {_BASE}) OVER w AS flat,
                  max(lct) FILTER (scope = 'teachers_only') OVER w AS t, max(lct) FILTER (scope = 'all') OVER w AS a FROM lctrows WINDOW w AS (PARTITION BY district_id))""")
 

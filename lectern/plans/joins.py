@@ -53,7 +53,7 @@ def _(t):
 MINUTES_SQL = """
     SELECT d.district_id,
            coalesce(nullif(h.minutes, 0), nullif(m.minutes, 0), nullif(e.minutes, 0), CAST(coalesce(nullif(r.high, 0), r.fallback) AS BIGINT), 360) AS minutes,
-           CASE WHEN nullif(h.minutes, 0) IS NOT NULL THEN 'bell_schedule_high' WHEN nullif(m.minutes, 0) IS NOT NULL THEN 'bell_schedule_middle' WHEN nullif(e.minutes, 0) IS NOT NULL THEN 'bell_schedule_elementary'
+           CASE WHEN nullif(h.minutes, 0) IS NOT NULL THEN 'bell_schedule' WHEN nullif(m.minutes, 0) IS NOT NULL THEN 'bell_schedule_middle' WHEN nullif(e.minutes, 0) IS NOT NULL THEN 'bell_schedule_elementary'
                 WHEN r.state IS NOT NULL THEN 'state_requirement' ELSE 'default' END AS minutes_source,
            CASE WHEN nullif(h.minutes, 0) IS NOT NULL THEN h.year WHEN nullif(m.minutes, 0) IS NOT NULL THEN m.year WHEN nullif(e.minutes, 0) IS NOT NULL THEN e.year END AS minutes_year
     FROM districts d

@@ -219,9 +219,9 @@ def _(t):
     return mh.join(staff(t), ["district_id", "year"]).select("district_id", "year", part("m").alias("middle"), part("h").alias("high"))
 
 
-@query("prj_data_tier", "SELECT bell_id, CASE WHEN method = 'human_provided' THEN 1 WHEN method LIKE 'pdf%' THEN 2 ELSE 3 END AS tier FROM bell")
+@query("prj_data_tier", "SELECT district_id, CASE WHEN minutes_source = 'bell_schedule' THEN 1 WHEN minutes_source LIKE 'bell_schedule%' THEN 2 ELSE 3 END AS tier FROM minuteschain")
 def _(t):
-    return bell(t).select("bell_id", F.when(F.col("method") == "human_provided", 1).when(F.col("method").startswith("pdf"), 2).otherwise(3).alias("tier"))
+    return A.minutes_chain(bell(t), requirements(t), districts(t)).select("district_id", A.data_tier(F.col("minutes_source")).alias("tier"))
 
 
 SIZE = "CASE WHEN enrollment > 8000 THEN 'Large' WHEN enrollment >= 1000 THEN 'Medium' ELSE 'Small' END"

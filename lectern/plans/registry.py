@@ -62,7 +62,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"two queries are named {name}")
         QUERIES[name] = lambda spark, folder: f(Tables(spark, folder))
         if sql is not None:
-            ORACLES[name] = complete(sql)
+            ORACLES[name] = sql  # completed when it is asked for, when all shared expressions are known
         return f
 
     return add

@@ -32,6 +32,46 @@ def test_scopes_are_nested_and_zero_is_missing(spark):
     assert all(none[s] is None for s in A.BASE)
 
 
+def test_scopes_of_all_categories(spark):
+    parts = dict(elementary=100, kindergarten=20, secondary=80, ungraded=5, coordinators=3, paras=15, counselors=4, psychologists=2, student_support=3, librarians=2, lea_administrators=5, school_administrators=10, other=20)
+    df = spark.createDataFrame([tuple(map(float, parts.values()))], ", ".join(f"{n} double" for n in parts))
+    got = A.staff_scopes(df).first()
+    assert [got[s] for s in A.BASE] == [200, 205, 223, 232, 269] and got["teachers_k5"] == 120 and got["teachers_612"] == 80
+    lct = [one(spark, F.bround(A.attention(F.lit(360), F.lit(got[s]), F.lit(4000)), 2)) for s in A.BASE]
+    assert lct == [18.0, 18.45, 20.07, 20.88, 24.21]
+
+
+def test_safeguards(spark):
+    cases = {"flat": ([100] * 5, 2000), "normal": ([100, 105, 118, 127, 169], 2000), "ssr": ([30, 31, 32, 33, 34], 50), "volatile": ([2, 2.1, 2.2, 2.3, 2.4], 49), "low": ([10, 11, 12, 13, 14], 2000), "four": ([100] * 4, 2000)}
+    rows = [(d, s, float(v), float(n), round(360 * v / n, 2)) for d, (staff, n) in cases.items() for s, v in zip(A.BASE, staff, strict=False)]
+    got = {}
+    for r in Q.safeguards(spark.createDataFrame(rows, "district_id string, scope string, staff double, pupils double, lct double")).collect():
+        got.setdefault(r["district_id"], {})[r["scope"]] = r["flags"]
+    assert all(f == ["ERR_FLAT_STAFF", "ERR_RATIO_CEILING"] for f in got["flat"].values()) and not any(got["normal"].values()) and not any(got["four"].values())
+    assert all("ERR_IMPOSSIBLE_SSR" in f and "ERR_VOLATILE" not in f for f in got["ssr"].values()) and [s for s, f in got["ssr"].items() if "WARN_LCT_HIGH" in f] == ["teachers_only"]
+    assert all("ERR_VOLATILE" in f for f in got["volatile"].values()) and all(f == ["WARN_LCT_LOW"] for f in got["low"].values())
+
+
+def test_special_education_estimates(spark):
+    d = spark.createDataFrame([("1", "A", 5000, 250.0), ("2", "A", 5000, 20.0), ("3", "B", 1000, 50.0), ("4", "C", 100, 9.0), ("5", "A", 0, 9.0)], "district_id string, state string, pupils bigint, teachers double")
+    lea = spark.createDataFrame([("1", 0.13), ("2", 0.13), ("5", 0.2)], "district_id string, proportion double")
+    st = spark.createDataFrame([("A", 0.1, 0.067, 0.5, 0.9), ("B", 0.1, None, 0.3, None)], "state string, proportion double, self_contained double, teacher_ratio double, instructional_ratio double")
+    got = {r["district_id"]: r for r in A.special_education(d, lea, st).collect()}
+    r = got["1"]
+    assert (r["sped"], r["self_contained"], r["gened"], r["sped_teachers"], r["sped_instructional"], r["gened_teachers"], r["confidence"]) == (650, 44, 4956, 22.0, 39.6, 228.0, "medium")
+    assert got["2"]["gened_teachers"] == -2.0 and got["2"]["confidence"] == "low"
+    assert got["3"]["method"] == "national_average_fallback" and got["3"]["sped_teachers"] == round(7 * 0.4, 2)
+    assert set(got) == {"1", "2", "3"}
+
+
+def test_minutes_chain(spark):
+    d = spark.createDataFrame([(i, s) for i, s in zip("123456", "AAABCD", strict=True)], "district_id string, state string")
+    b = spark.createDataFrame([("1", "high", 390, 2024, 1), ("2", "middle", 375, 2023, 2), ("3", "high", 300, 2020, 3), ("3", "high", 0, 2024, 4), ("3", "elementary", 280, 2019, 5)], "district_id string, grade_level string, minutes bigint, year int, bell_id int")
+    req = spark.createDataFrame([("A", 300, 310), ("B", 300, 310), ("C", 0, 330)], "state string, high int, fallback int")
+    got = {r["district_id"]: tuple(r)[1:] for r in A.minutes_chain(b, req, d).collect()}
+    assert got == {"1": (390, "bell_schedule", 2024), "2": (375, "bell_schedule_middle", 2023), "3": (280, "bell_schedule_elementary", 2019), "4": (300, "state_requirement", None), "5": (330, "state_requirement", None), "6": (360, "default", None)}
+
+
 def _inputs(spark, sped=None):
     d = spark.createDataFrame([("1", "A", False), ("2", "A", True), ("3", "B", False), ("4", "B", False)], "district_id string, state string, shared_service boolean")
     s = A.with_scopes(spark.createDataFrame([(i, 6.0, 4.0, 0.0, 0.0, 2.0, 3.0) for i in "1234"], "district_id string, elementary double, secondary double, kindergarten double, ungraded double, paras double, coordinators double"))
