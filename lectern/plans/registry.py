@@ -36,13 +36,14 @@ def share(name: str, sql: str) -> None:
 def complete(sql: str) -> str:
     """The SQL with the shared expressions that it names, in the order that they need each other."""
     needed: list[str] = []
+    seen: set[str] = set()
 
     def visit(text: str) -> None:
-        for name in SHARED:
-            if name not in needed and re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", text):
+        for name in dict.fromkeys(re.findall(r"\b(?:FROM|JOIN)\s+(\w+)", text)):
+            if name in SHARED and name not in seen:
+                seen.add(name)
                 visit(SHARED[name])
-                if name not in needed:
-                    needed.append(name)
+                needed.append(name)
 
     visit(sql)
     if not needed:

@@ -11,6 +11,7 @@ from lectern.plans import catalog
 
 FOLDER = os.environ.get("LECTERN_TEST_TABLES", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
 
 
@@ -37,11 +38,11 @@ def rows(columns, found):
     return sorted((tuple(plain(r[i]) for i in order) for r in found), key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
-@pytest.mark.parametrize("name", sorted(catalog.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, duck):
-    df = catalog.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     got = rows(df.columns, df.collect())
-    sql = catalog.oracle_sql().get(name)
+    sql = ORACLES.get(name)
     if sql is None:
         assert got
         return
@@ -51,4 +52,4 @@ def test_query(name, spark, duck):
 
 
 def test_every_oracle_has_a_query():
-    assert set(catalog.oracle_sql()) <= set(catalog.queries())
+    assert set(ORACLES) <= set(QUERIES)
