@@ -90,6 +90,11 @@ def all_variants(districts: DataFrame, staff: DataFrame, enrollment: DataFrame,
     joined = staff.join(districts.where(~F.col("shared_service")), "district_id").join(enrollment.where("k12 > 0"), "district_id").join(minutes, "district_id")
     if sped is not None:
         joined = joined.join(sped.where("confidence <> 'low'"), "district_id", "left")
+    return variant_rows(joined, sped is not None)
+
+
+def variant_rows(joined: DataFrame, with_sped: bool) -> DataFrame:
+    """The rows of all_variants() from one row a district that holds its scopes, pupils, minutes and estimates."""
     lct = lambda s, n: attention(F.col("minutes"), s, n)
 
     def row(scope: str, staff_col: Column, pupils: Column, keep: Column | None = None, cap: bool = False) -> Column:
@@ -103,7 +108,7 @@ def all_variants(districts: DataFrame, staff: DataFrame, enrollment: DataFrame,
     rows = [row(s, F.col(s), F.col("k12")) for s in BASE]
     for scope, s, n in (("teachers_elementary", "teachers_k5", "k5"), ("teachers_secondary", "teachers_612", "g612")):
         rows.append(row(scope, F.col(s), F.col(n), lct(F.col(s), F.col(n)) <= MOST))
-    if sped is not None:
+    if with_sped:
         gened = F.col("k12") - F.coalesce(F.col("self_contained"), F.lit(0))
         rows += [row("core_sped", F.col("sped_teachers"), F.col("self_contained"), cap=True), row("teachers_gened", F.col("gened_teachers"), gened, lct(F.col("gened_teachers"), gened) <= MOST), row("instructional_sped", F.col("sped_instructional"), F.col("self_contained"), cap=True)]
     return joined.select("district_id", "state", "minutes", "minutes_source", F.explode(F.array(*rows)).alias("r")).select("district_id", "state", "minutes", "minutes_source", "r.*").where("lct is not null")

@@ -8,8 +8,8 @@ from ..functions import numbers as N
 from ..operators import attention as A
 from ..operators.relational import latest_per_key, unpivot_present
 from .joins import newest
-from .model import attempts, bell, counts, districts, enrollment, requirements, staff
-from .projections import levels, sped, size_class
+from .model import STAFF, attempts, bell, counts, districts, enrollment, requirements, staff
+from .projections import levels, size_class, sped_estimate
 from .registry import query, share
 
 c = F.col
@@ -54,14 +54,28 @@ def latest_scopes(t):
 A_STAFF = ("elementary", "secondary", "kindergarten", "ungraded", "paras", "coordinators")
 
 
+def latest_wide(t):
+    """Each district's latest year with staff by category and pupils by level, from one aggregate over the counts."""
+    some = lambda col, *k: F.sum(F.when(c(col).isin(*k), c("n")))
+    zero = lambda x: F.coalesce(x, F.lit(0)) * 10
+    sums = [some("category", k).alias(v) for k, v in STAFF.items()]
+    wide = counts(t).groupBy("district_id", "year").agg(*sums, (F.sum("n") * 10).alias("total"), zero(some("grade", "KG", "01", "05")).alias("k5"), zero(some("grade", "06", "08", "09")).alias("g612"), zero(some("grade", "PK")).alias("prek"))
+    return latest_per_key(wide, ["district_id"], [F.desc("year")]).withColumn("k12", c("total") - c("prek"))
+
+
 def lct_rows(t, with_sped=False):
     """The long table: a row for each district and scope."""
-    last = latest_per_key(levels(t), ["district_id"], [F.desc("year")]).drop("year")
-    special = None
+    wide = A.with_scopes(latest_wide(t))
     if with_sped:
-        special = latest_per_key(sped(t), ["district_id"], [F.desc("year")]).drop("year", "pupils", "sped")
-        special = special.withColumn("sped_instructional", c("sped_teachers") + F.floor(c("sped_teachers") / 2))
-    return A.all_variants(districts(t), latest_scopes(t), last, A.minutes_chain(bell(t), requirements(t), districts(t)), special)
+        z = lambda n: F.coalesce(n, F.lit(0))
+        wide = sped_estimate(wide.withColumns({"staff": (z("elementary") + z("secondary") + z("kindergarten")).cast("double"), "pupils": c("total")}))
+        wide = wide.withColumn("sped_instructional", c("sped_teachers") + F.floor(c("sped_teachers") / 2))
+        sure = c("confidence") != "low"
+        wide = wide.withColumns({n: F.when(sure, c(n)) for n in ("self_contained", "sped_teachers", "sped_instructional", "gened_teachers")})
+    wide = wide.where("k12 > 0").drop("year", *A_STAFF)
+    minutes = A.minutes_chain(bell(t), requirements(t), districts(t))
+    joined = wide.join(districts(t).where("not shared_service").select("district_id", "state"), "district_id").join(minutes, "district_id")
+    return A.variant_rows(joined, with_sped)
 
 
 _STATS = "count(*) AS n, round(avg(lct), 8) AS mean, round(median(lct), 8) AS median, round(stddev_samp(lct), 8) AS std, min(lct) AS least, max(lct) AS most, count(DISTINCT district_id) AS districts"
