@@ -4,12 +4,16 @@ The two words before a word give a predicted vector, a sum of their vectors thro
 product with a word's vector, plus the word's bias, is the word's score.  Training is data parallel: every partition
 goes over all of its words from the same parameters, and the partitions' parameters are averaged, weighted by words.
 Scoring normalises over the whole vocabulary with batched matrix products.
+
+Words without a vector of their own are predicted together, as number 0, and then told apart: a word that the corpus
+has LEAST times or more has its own share of them, and all others are spelt byte by byte.  So the list of words grows
+with the corpus, and every word has a likelihood of its own; only the words with vectors are as many for any input.
 """
 
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -17,23 +21,85 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
-from .tokens import hashed_words
+from .tokens import fold_case, hashed_words
 
-#: Words with a vector of their own; all others are one unknown word, number 0.
+#: Words with a vector of their own; all others are predicted as number 0 and told apart by share or spelling.
 VOCABULARY, DIMENSION, ROUNDS = 2048, 32, 2
+#: How often a word without a vector must occur to have its own share; rarer words are spelt.
+LEAST = 5
 BATCH, NOISE, STEP = 2048, 64, 0.3
 _BLOCKS = 64
 
 
+def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes and the sums of their counts."""
+    codes, at = np.unique(codes, return_inverse=True)
+    return codes, np.bincount(at, counts, len(codes)).astype(np.int64)
+
+
+def spelt(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each byte of the words in lower case and an edge (256) after each, a code of it and the two before; the words' first places."""
+    n = ends - starts + 1
+    first = np.cumsum(n) - n
+    symbols = np.full(n.sum(), 256, np.int64)
+    at = np.ones(len(symbols), bool)
+    at[first + n - 1] = False
+    symbols[at] = fold_case(text[(np.arange(len(symbols)) - np.repeat(first - starts, n))[at]])
+    one, two = np.full(len(symbols), 256), np.full(len(symbols), 256)
+    one[1:], two[2:] = symbols[:-1], symbols[:-2]
+    two[first] = 256
+    return (two * 257 + one) * 257 + symbols, first
+
+
+class Spelling:
+    """Probabilities of words byte by byte from the two bytes before, from how often each code of spelt() was seen.
+
+    What a pair of bytes was never followed by is left to the last byte alone, that to the byte's own share, and that to
+    equal shares, each by the number of distinct followers; the probabilities of what may follow sum to one.
+    """
+
+    def __init__(self, codes: np.ndarray, counts: np.ndarray) -> None:
+        pair, symbol = codes // 257, codes % 257
+        n1 = np.bincount(symbol, counts, 257)
+        kinds = (n1 > 0).sum()
+        share = (n1 + kinds / 257) / (n1.sum() + kinds)
+        n2 = np.bincount(pair % 257 * 257 + symbol, counts, 257 * 257).reshape(257, 257)
+        kinds, total = (n2 > 0).sum(axis=1, keepdims=True), n2.sum(axis=1, keepdims=True)
+        self.by_last = np.where(total > 0, (n2 + kinds * share) / np.maximum(total + kinds, 1), share)
+        total, kinds = np.bincount(pair, counts, 257 * 257), np.bincount(pair, minlength=257 * 257)
+        self.left = np.where(total > 0, kinds / np.maximum(total + kinds, 1), 1.0)
+        self.codes, self.seen = codes, counts / (total + kinds)[pair]
+
+    def probabilities(self, codes: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        pair, symbol = codes // 257, codes % 257
+        return np.where(self.codes[at] == codes, self.seen[at], 0.0) + self.left[pair] * self.by_last[pair % 257, symbol]
+
+    def log_probabilities(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Of each word."""
+        if not len(starts):
+            return np.zeros(0)
+        codes, first = spelt(text, starts, ends)
+        return np.add.reduceat(np.log(self.probabilities(codes)), first)
+
+
 @dataclass
 class Model:
-    """known: sorted word hashes and number_of: their numbers; share: each number's share of all words."""
+    """known: sorted word hashes and number_of: their numbers; share: each number's share of all words.
+
+    tail: sorted hashes of the words of number 0 that have their own share of it, whose logarithms are tail_share; rare:
+    the logarithm of what is left for all other words; spelling: how those are told apart, None if the corpus has none.
+    """
 
     known: np.ndarray
     number_of: np.ndarray
     share: np.ndarray
     parameters: np.ndarray
     dimension: int = DIMENSION
+    tail: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    tail_share: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
+    rare: float = 0.0
+    spelling: Spelling | None = None
 
     @property
     def size(self) -> int:
@@ -51,6 +117,25 @@ class Model:
         at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
         return np.where(self.known[at] == hashes, self.number_of[at], 0).astype(np.int32)
 
+    def tail_places(self, hashes: np.ndarray) -> np.ndarray:
+        """Where each word stands in the tail; -1 where it doesn't."""
+        if not len(self.tail):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.tail, hashes), len(self.tail) - 1)
+        return np.where(self.tail[at] == hashes, at, -1)
+
+    def within(self, numbers: np.ndarray, hashes: np.ndarray, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each word its log-probability among the words of its number, and whether it is in no list."""
+        out, missing = np.zeros(len(numbers)), np.zeros(len(numbers), bool)
+        zero = np.flatnonzero(numbers == 0)
+        place = self.tail_places(hashes[zero])
+        out[zero[place >= 0]] = self.tail_share[place[place >= 0]]
+        rare = zero[place < 0]
+        missing[rare], out[rare] = True, self.rare
+        if self.spelling is not None:
+            out[rare] += self.spelling.log_probabilities(text, starts[rare], ends[rare])
+        return out, missing
+
     def contexts(self, numbers: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The words one and two before each word; the number past the last stands for "before the text"."""
         one, two = np.full(len(numbers), self.size, np.int32), np.full(len(numbers), self.size, np.int32)
@@ -83,6 +168,13 @@ def _gather(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[first], np.add.reduceat(rows[order], first, axis=0)
 
 
+def with_tail(model: Model, hashes: np.ndarray, counts: np.ndarray, unknown: int) -> Model:
+    """The model with the words of number 0 that have their own share of its `unknown` words; one more is kept for rare words."""
+    order = np.argsort(hashes)
+    rare = unknown - int(counts.sum()) + 1
+    return replace(model, tail=hashes[order], tail_share=np.log(counts[order] / (unknown + 1)).astype(np.float32), rare=float(np.log(rare / (unknown + 1))))
+
+
 class Trainer:
     """Minibatches of noise-contrastive estimation with steps scaled by past gradients."""
 
@@ -92,6 +184,7 @@ class Trainer:
         self.rng, self.words = np.random.default_rng(seed), 0
         self.edges = np.cumsum(model.share)
         self.log_noise = np.log(model.share * NOISE).astype(np.float32)
+        self.codes, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def learn(self, one: np.ndarray, two: np.ndarray, target: np.ndarray) -> None:
         """One minibatch; the noise words are drawn from the word shares and shared by the batch."""
@@ -129,6 +222,14 @@ class Trainer:
             to = slice(i, i + self.batch)
             self.learn(one[to], two[to], numbers[to])
 
+    def spell(self, hashes: np.ndarray, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Count the spellings of the words that are in no list."""
+        zero = np.flatnonzero(self.model.numbers(hashes) == 0)
+        rare = zero[self.model.tail_places(hashes[zero]) < 0]
+        if len(rare):
+            codes, counts = np.unique(spelt(text, starts[rare], ends[rare])[0], return_counts=True)
+            self.codes, self.counts = _summed(np.concatenate([self.codes, codes]), np.concatenate([self.counts, counts]))
+
 
 class Scorer:
     """Normalised log-probabilities; the normaliser of each pair of context words is computed once and kept."""
@@ -178,9 +279,14 @@ def train(docs: DataFrame, vocabulary: int = VOCABULARY, dimension: int = DIMENS
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     top = counts.orderBy(F.desc("n"), "word").limit(vocabulary - 1).collect()  # as many as the vocabulary has words
     model = start([r["word"] for r in top], [r["n"] for r in top], total, dimension)
+    more = counts.where(F.col("n") >= LEAST).toArrow()  # 16 bytes a word; as many as the corpus has
+    hashes, n = (np.asarray(more[k].combine_chunks()) for k in ("word", "n"))
+    own = ~np.isin(hashes.view(np.uint64), model.known)
+    model = with_tail(model, hashes.view(np.uint64)[own], n[own], total - sum(r["n"] for r in top))
     texts = docs.where("text is not null").select("text")
     for k in range(rounds if total else 0):
-        sent = spark.sparkContext.broadcast(model)  # its size is set by vocabulary and dimension alone
+        # the first round also needs the tail, 12 bytes a word; the rest is set by vocabulary and dimension alone
+        sent = spark.sparkContext.broadcast(model if k == 0 else replace(model, tail=model.tail[:0], tail_share=model.tail_share[:0], spelling=None))
 
         def learn(batches, k=k, sent=sent):
             from pyspark import TaskContext
@@ -188,13 +294,21 @@ def train(docs: DataFrame, vocabulary: int = VOCABULARY, dimension: int = DIMENS
             at = TaskContext.get().partitionId()
             trainer = Trainer(sent.value, [k, at], batch)
             for some in batches:
-                for _, hashes, bounds, *_ in hashed_words(some.column(0), fold=True):
+                for _, hashes, bounds, starts, ends, text, _ in hashed_words(some.column(0), fold=True):
                     trainer.text(hashes, bounds)
+                    if k == 0:
+                        trainer.spell(hashes, text, starts, ends)
             if trainer.words:
-                blocks = np.array_split(trainer.flat, _BLOCKS)
-                yield pa.RecordBatch.from_arrays([pa.array(range(_BLOCKS), pa.int32()), pa.array([at] * _BLOCKS, pa.int32()), pa.array([trainer.words] * _BLOCKS, pa.int64()), pa.array([b.tobytes() for b in blocks], pa.binary())], names=["block", "at", "words", "body"])
+                bodies = dict(enumerate(np.array_split(trainer.flat, _BLOCKS)))
+                for block in np.unique(trainer.codes % _BLOCKS):
+                    own = trainer.codes % _BLOCKS == block
+                    bodies[_BLOCKS + int(block)] = np.stack([trainer.codes[own], trainer.counts[own]])
+                yield pa.RecordBatch.from_arrays([pa.array(list(bodies), pa.int32()), pa.array([at] * len(bodies), pa.int32()), pa.array([trainer.words] * len(bodies), pa.int64()), pa.array([b.tobytes() for b in bodies.values()], pa.binary())], names=["block", "at", "words", "body"])
 
         def average(table: pa.Table) -> pa.Table:
+            if table["block"][0].as_py() >= _BLOCKS:  # counts of spellings are summed
+                codes, counts = np.concatenate([np.frombuffer(b.as_buffer(), np.int64).reshape(2, -1) for b in table["body"]], axis=1)
+                return pa.table({"block": table["block"][:1], "body": pa.array([np.stack(_summed(codes, counts)).tobytes()], pa.binary())})
             table = table.sort_by("at")
             total, words = 0.0, 0
             for n, body in zip(table["words"].to_pylist(), table["body"], strict=True):
@@ -203,7 +317,11 @@ def train(docs: DataFrame, vocabulary: int = VOCABULARY, dimension: int = DIMENS
 
         learned = texts.mapInArrow(learn, "block int, at int, words bigint, body binary")
         blocks = learned.groupBy("block").applyInArrow(average, "block int, body binary").orderBy("block").collect()
-        model = Model(model.known, model.number_of, model.share, np.concatenate([np.frombuffer(b["body"], np.float32) for b in blocks]), dimension)
+        model = replace(model, parameters=np.concatenate([np.frombuffer(b["body"], np.float32) for b in blocks if b["block"] < _BLOCKS]))
+        if spellings := [np.frombuffer(b["body"], np.int64).reshape(2, -1) for b in blocks if b["block"] >= _BLOCKS]:
+            codes, counts = np.concatenate(spellings, axis=1)
+            order = np.argsort(codes)
+            model = replace(model, spelling=Spelling(codes[order], counts[order]))
         sent.unpersist()
     return model
 
@@ -214,8 +332,9 @@ _SCORERS: dict[str, Scorer] = {}
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, n_words, n_unknown, log_probability, perplexity) of each row, natural logarithms.
 
-    log_probability is the sum over all words of the whole text, unknown words as the unknown word, rounded to 4
-    places; perplexity is exp(-log_probability / n_words).  Null texts have null counts and scores; texts without a word
+    log_probability is the sum over all words of the whole text, rounded to 4 places; n_unknown counts the words that
+    are in no list of the model, which are scored by their spelling (as one word if the corpus of the model had no such
+    words, so that there was no spelling to learn); perplexity is exp(-log_probability / n_words).  Null texts have null counts and scores; texts without a word
     have 0 words, log-probability 0 and a null perplexity.  Repeated rows are scored each; extra columns are ignored;
     an empty table gives an empty result.
     """
@@ -229,10 +348,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             n = batch.num_rows
             words, unknown, total = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
-            for first, hashes, bounds, *_ in hashed_words(batch.column(1), fold=True):
+            for first, hashes, bounds, starts, ends, text, _ in hashed_words(batch.column(1), fold=True):
                 numbers = scorer.model.numbers(hashes)
-                sums = np.concatenate([[0], np.cumsum(scorer.log_probabilities(numbers, bounds))])
-                missing = np.concatenate([[0], np.cumsum(numbers == 0)])
+                within, missing = scorer.model.within(numbers, hashes, text, starts, ends)
+                sums = np.concatenate([[0], np.cumsum(scorer.log_probabilities(numbers, bounds) + within)])
+                missing = np.concatenate([[0], np.cumsum(missing)])
                 to = slice(first, first + len(bounds) - 1)
                 words[to], unknown[to], total[to] = np.diff(bounds), np.diff(missing[bounds]), np.diff(sums[bounds])
             null = np.asarray(batch.column(1).is_null())

@@ -56,3 +56,22 @@ def test_edges(documents):
     assert got[1, None]["log_probability"] is None and got[2, 0]["log_probability"] == 0 and got[3, 0]["perplexity"] is None
     assert got[4, 100_000]["perplexity"] > 0 and (None, 2) in got and (4, 2) in got
     assert L.word_counts(df).agg(F.sum("n")).first()[0] == 100_004
+
+
+def test_words_without_a_vector_are_told_apart(documents):
+    often, rare = "table " * 40, " ".join(f"station{i}" for i in range(300))
+    train = [*corpus(20, 5), often, "chair " * 6, rare]
+    model = L.train(documents(train), 8, 4, 1)
+    assert abs(np.exp(model.tail_share).sum() + np.exp(model.rare) - 1) < 1e-4
+    codes = np.arange(257) + (ord("s") * 257 + ord("t")) * 257
+    assert abs(model.spelling.probabilities(codes).sum() - 1) < 1e-6
+    texts = ["table", "chair", "station777", "xqzvkjw777"]
+    rows = L.score(documents(texts), model).orderBy("doc_id").collect()
+    got = [r["log_probability"] for r in rows]
+    assert got[0] > got[1] + 1 and got[1] > got[2] and got[2] > got[3] + 5
+    assert [r["n_unknown"] for r in rows] == [0, 0, 1, 1]
+
+
+def test_the_list_of_words_grows_with_the_corpus(documents):
+    lists = [len(L.train(documents([" ".join(f"v{i}" for i in range(n))] * L.LEAST), 8, 4, 1).tail) for n in (100, 1000)]
+    assert lists == [93, 993]
