@@ -235,16 +235,28 @@ def _(t):
 
 
 def close_names(wanted, known, cutoff=0.6, top=3):
-    """(wanted, name, ratio): up to `top` names of at least the cutoff by difflib's ratio, among names of one first letter."""
+    """(wanted, name, ratio): the names that are the same, else all that contain the wanted one, both without regard to
+    case, else up to `top` of at least the cutoff by difflib's ratio, of equal ones the greater name as there.
+
+    All pairs are compared; difflib's own upper bounds spare most of the full comparisons.
+    """
     import difflib
 
     @F.pandas_udf("double")
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([round(difflib.SequenceMatcher(None, y.lower(), x.lower()).ratio(), 6) for x, y in zip(a, b, strict=True)])
-
-    w, k = wanted.withColumn("__f", F.lower(F.left("wanted", F.lit(1)))), known.select("name").distinct().withColumn("__f", F.lower(F.left("name", F.lit(1))))
-    p = w.join(k, "__f").withColumn("ratio", ratio("wanted", "name")).where(c("ratio") >= cutoff)
-    return p.withColumn("rank", F.row_number().over(Window.partitionBy("wanted").orderBy(F.desc("ratio"), "name"))).where(c("rank") <= top).select("wanted", "name", "ratio")
+    def ratio(a: pd.Series, b: pd.Series, bounded: pd.Series) -> pd.Series:
+        out, m = [], difflib.SequenceMatcher()
+        for x, y, some in zip(a, b, bounded, strict=True):
+            m.set_seq2(x)
+            m.set_seq1(y)
+            out.append(None if some and (m.real_quick_ratio() < cutoff or m.quick_ratio() < cutoff) else m.ratio())
+        return pd.Series(out, dtype="float64")
+
+    w, k = wanted.select("wanted").where("wanted is not null").distinct(), known.select("name").where("name is not null").distinct()
+    step = F.when(F.lower("wanted") == F.lower("name"), 1).when(F.lower("name").contains(F.lower("wanted")), 2).otherwise(3)
+    least = w.crossJoin(k).groupBy("wanted").agg(F.min(step).alias("step"))  # the step that a name ends with
+    p = least.crossJoin(k).where(step == c("step")).withColumn("ratio", ratio("wanted", "name", c("step") == 3)).where((c("step") < 3) | (c("ratio") >= cutoff))
+    rank = F.row_number().over(Window.partitionBy("wanted").orderBy(F.desc("ratio"), F.desc("name")))
+    return p.withColumn("rank", rank).where((c("step") < 3) | (c("rank") <= top)).select("wanted", "name", F.round("ratio", 6).alias("ratio"))
 
 
 @query("jn_fuzzy_close")

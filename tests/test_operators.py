@@ -141,3 +141,20 @@ def test_pages(spark):
     assert df.select(P.strip_tags(c("html")).alias("x")).first()["x"] == "A b High School t"
     assert P.links(df).collect()[0]["href"] == "/x.pdf"
     assert df.select(P.markdown(c("html")).alias("x")).first()["x"].count("[High School](/x.pdf)") == 1
+
+
+def test_close_names_are_those_of_difflib(spark):
+    import difflib
+
+    from lectern.plans.joins import close_names
+
+    known = ["Oak Park", "North Oak Park", "Yoak Prak", "Springfield", "oak park east", "Lake View", "Lakeview", "Bake View"]
+    wanted = ["OAK PARK", "park", "Aok Parc", "Xake View", "ake Viev", "zzz"]
+    df = close_names(spark.createDataFrame([(w,) for w in wanted], "wanted string"), spark.createDataFrame([(k,) for k in known + known], "name string"))
+    got = {w: set() for w in wanted}
+    for r in df.collect():
+        got[r["wanted"]].add(r["name"])
+    for w in wanted:
+        want = [k for k in known if k.lower() == w.lower()] or [k for k in known if w.lower() in k.lower()] or difflib.get_close_matches(w, known, 3, 0.6)
+        assert got[w] == set(want), w
+    assert got["Xake View"] and got["OAK PARK"] == {"Oak Park"}
