@@ -212,17 +212,23 @@ def _(t):
 
 
 def fuzzy_cascade(wanted, known):
-    """(wanted, name, rule): the best match of each wanted name: exact, contained, then by its first word.
+    """(wanted, name, rule): the best match of each wanted name by the first rule that has any.
 
-    A rule's matches are looked for in equal first words or by exact name; of equally good ones the least name wins.
+    Of several names, which the reference leaves open, one with the same first word goes first, then the least.
+
+    Rules in their order: 1 the same name; 2 it is contained; 3 without its endings it is how the name begins (if it has
+    such endings); 5 its first two words are; 4 its first word of more than three letters is.  All but the first are
+    without regard to case.  All pairs are compared.
     """
-    first = lambda x: F.lower(F.split_part(F.trim(x), F.lit(" "), F.lit(1)))
-    w = wanted.select("wanted", first(c("wanted")).alias("__f"))
-    k = known.select("name", first(c("name")).alias("__f")).distinct()
-    pairs = w.join(k, "__f")
-    rule = F.when(F.lower("wanted") == F.lower("name"), 1).when(F.lower("name").contains(F.lower("wanted")), 2).when(F.lower(T.short_name(c("wanted"))) == F.lower(T.short_name(c("name"))), 3).when(F.length("__f") > 3, 4)
-    best = F.row_number().over(Window.partitionBy("wanted").orderBy("rule", "name"))
-    return pairs.withColumn("rule", rule).where("rule is not null").withColumn("__r", best).where("__r = 1").select("wanted", "name", "rule")
+    words = F.filter(F.split("wanted", r"\s+"), lambda x: x != "")
+    short = T.short_name(c("wanted"))
+    w = wanted.select("wanted", F.lower("wanted").alias("__all"), F.when(short != c("wanted"), F.lower(short)).alias("__short"), F.lower(F.when(F.size(words) > 1, F.array_join(F.slice(words, 1, 2), " "))).alias("__two"), F.lower(F.get(words, F.lit(0))).alias("__one"))
+    k = known.select("name").where("name is not null").distinct().withColumn("__name", F.lower("name"))
+    at = lambda x: c("__name").startswith(c(x))
+    rule = F.when(c("wanted") == c("name"), 1).when(c("__name").contains(c("__all")), 2).when(at("__short"), 3).when(at("__two"), 5).when((F.length("__one") > 3) & at("__one"), 4)
+    # no equality parts the pairs: a nested loop; only the best of each wanted name goes on
+    best = w.crossJoin(k).withColumn("rule", rule).where("rule is not null").groupBy("wanted").agg(F.min(F.struct(F.when(c("rule") == 5, 3.5).otherwise(c("rule")), F.split_part("__name", F.lit(" "), F.lit(1)) != c("__one"), "name", "rule")).alias("m"))
+    return best.select("wanted", "m.name", "m.rule")
 
 
 @query("jn_fuzzy_cascade", """

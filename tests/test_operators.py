@@ -158,3 +158,12 @@ def test_close_names_are_those_of_difflib(spark):
         want = [k for k in known if k.lower() == w.lower()] or [k for k in known if w.lower() in k.lower()] or difflib.get_close_matches(w, known, 3, 0.6)
         assert got[w] == set(want), w
     assert got["Xake View"] and got["OAK PARK"] == {"Oak Park"}
+
+
+def test_fuzzy_cascade_looks_at_all_names(spark):
+    from lectern.plans.joins import fuzzy_cascade
+
+    known = ["North Oak Park", "Springfield Public Schools", "Los Angeles Unified", "Lakewood", "Los Alamos", "Oakdale", "Elm"]
+    want = {"oak park": ("North Oak Park", 2), "Spring School District": ("Springfield Public Schools", 3), "Los Angeles County Office": ("Los Angeles Unified", 5), "Lake Shore East": ("Lakewood", 4), "Lakewood": ("Lakewood", 1), "LAKEWOOD": ("Lakewood", 2), "Oakd Hill": ("Oakdale", 4), "Elm Grove": None}
+    df = fuzzy_cascade(spark.createDataFrame([(w,) for w in want], "wanted string"), spark.createDataFrame([(k,) for k in known], "name string"))
+    assert {r["wanted"]: (r["name"], r["rule"]) for r in df.collect()} == {w: m for w, m in want.items() if m}
