@@ -99,3 +99,16 @@ def test_components_of_chains_and_stars(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(1, 41)} | {100 + i: 100 for i in range(1, 30)} | {301: 300}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_recall_at_the_edge():
+    rng = np.random.default_rng(1)
+    words = lambda n: rng.integers(1, 1 << 63, n, dtype=np.uint64)
+    edits = round(200 * (1 - simhash.FOUND_FROM) / (1 + simhash.FOUND_FROM) / 3)  # each takes three triples and brings three
+    found = 0
+    for _ in range(300):
+        a = words(200)
+        b = a.copy()
+        b[((np.arange(edits) + 0.5) * 200 / edits).astype(int)] = words(edits)
+        found += sum((x ^ y).bit_count() for x, y in zip(simhash.code_of(a), simhash.code_of(b), strict=True)) <= simhash.RADIUS
+    assert found >= 0.9 * 300
