@@ -109,22 +109,22 @@ def _(t):
 
 
 # ---- crosswalks
-share("crosswalk", "SELECT lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS district_id, n_name AS state, lpad(CAST(c_custkey * 3 AS VARCHAR), 7, '0') AS state_id FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 10 <> 0")
+share("state_ids", "SELECT lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS district_id, n_name AS state, lpad(CAST(c_custkey * 3 AS VARCHAR), 7, '0') AS state_id FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 10 <> 0")
 
 
-def crosswalk(t):
+def state_ids(t):
     d = t.customer.where("c_custkey % 10 <> 0").join(F.broadcast(t.nation), c("c_nationkey") == c("n_nationkey"))  # the states are a fixed list
     return d.select(F.lpad(c("c_custkey").cast("string"), 7, "0").alias("district_id"), c("n_name").alias("state"), F.lpad((c("c_custkey") * 3).cast("string"), 7, "0").alias("state_id"))
 
 
-@query("x_state_map", "SELECT state_id, district_id FROM crosswalk WHERE state = 'NATION_6'")
+@query("x_state_map", "SELECT state_id, district_id FROM state_ids WHERE state = 'NATION_6'")
 def _(t):
-    return crosswalk(t).where("state = 'NATION_6'").select("state_id", "district_id")
+    return state_ids(t).where("state = 'NATION_6'").select("state_id", "district_id")
 
 
-@query("x_nces", "SELECT district_id FROM crosswalk WHERE state_id = '0000033'")
+@query("x_nces", "SELECT district_id FROM state_ids WHERE state_id = '0000033'")
 def _(t):
-    return crosswalk(t).where("state_id = '0000033'").select("district_id")
+    return state_ids(t).where("state_id = '0000033'").select("district_id")
 
 
 @query("x_name", "SELECT name FROM districts WHERE district_id = '0000013'")
@@ -140,43 +140,43 @@ def _(t):
     return t.values("state string, format string, digits int", *_INFO)
 
 
-@query("x_cds_nces", "SELECT district_id, left(state_id, 2) || substr(state_id, 3, 5) AS code FROM crosswalk WHERE state = 'NATION_1'")
+@query("x_cds_nces", "SELECT district_id, left(state_id, 2) || substr(state_id, 3, 5) AS code FROM state_ids WHERE state = 'NATION_1'")
 def _(t):
     county, district = T.county_parts(c("state_id"))
-    return crosswalk(t).where("state = 'NATION_1'").select("district_id", F.concat(county, district).alias("code"))
+    return state_ids(t).where("state = 'NATION_1'").select("district_id", F.concat(county, district).alias("code"))
 
 
-@query("x_cds_bulk", "SELECT s.id AS code, x.district_id FROM (SELECT lpad(CAST(s_suppkey AS VARCHAR), 7, '0') AS id FROM supplier) s LEFT JOIN crosswalk x ON x.state_id = s.id")
+@query("x_cds_bulk", "SELECT s.id AS code, x.district_id FROM (SELECT lpad(CAST(s_suppkey AS VARCHAR), 7, '0') AS id FROM supplier) s LEFT JOIN state_ids x ON x.state_id = s.id")
 def _(t):
     s = t.supplier.select(F.lpad(c("s_suppkey").cast("string"), 7, "0").alias("code"))
-    return s.join(crosswalk(t).select(c("state_id").alias("code"), "district_id"), "code", "left")
+    return s.join(state_ids(t).select(c("state_id").alias("code"), "district_id"), "code", "left")
 
 
-@query("x_cds_district", "SELECT d.district_id, d.name FROM districts d JOIN crosswalk x ON x.district_id = d.district_id WHERE x.state_id = '0000021'")
+@query("x_cds_district", "SELECT d.district_id, d.name FROM districts d JOIN state_ids x ON x.district_id = d.district_id WHERE x.state_id = '0000021'")
 def _(t):
-    return districts(t).join(crosswalk(t).where("state_id = '0000021'").select("district_id"), "district_id").select("district_id", "name")
+    return districts(t).join(state_ids(t).where("state_id = '0000021'").select("district_id"), "district_id").select("district_id", "name")
 
 
-@query("x_stleaid_fill", "SELECT d.district_id, coalesce(x.state_id, 'none') AS state_id FROM districts d LEFT JOIN crosswalk x ON ltrim(x.district_id, '0') = ltrim(d.district_id, '0')")
+@query("x_stleaid_fill", "SELECT d.district_id, coalesce(x.state_id, 'none') AS state_id FROM districts d LEFT JOIN state_ids x ON ltrim(x.district_id, '0') = ltrim(d.district_id, '0')")
 def _(t):
-    x = crosswalk(t).select(T.strip_zeros(c("district_id")).alias("key"), "state_id")
+    x = state_ids(t).select(T.strip_zeros(c("district_id")).alias("key"), "state_id")
     return districts(t).select("district_id", T.strip_zeros(c("district_id")).alias("key")).join(x, "key", "left").select("district_id", F.coalesce("state_id", F.lit("none")).alias("state_id"))
 
 
-@query("x_build", "SELECT state, count(*) AS n FROM crosswalk GROUP BY 1 ORDER BY n DESC, state LIMIT 5")
+@query("x_build", "SELECT state, count(*) AS n FROM state_ids GROUP BY 1 ORDER BY n DESC, state LIMIT 5")
 def _(t):
-    return crosswalk(t).groupBy("state").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "state").limit(5)
+    return state_ids(t).groupBy("state").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "state").limit(5)
 
 
-@query("x_tx", "SELECT d.district_id, coalesce(x.state_id, 'csv-' || d.district_id) AS state_id, CASE WHEN contains(d.segment, 'BUILD') THEN 'charter' ELSE 'regular' END AS type FROM districts d LEFT JOIN crosswalk x ON x.district_id = d.district_id WHERE d.enrollment > 0")
+@query("x_tx", "SELECT d.district_id, coalesce(x.state_id, 'csv-' || d.district_id) AS state_id, CASE WHEN contains(d.segment, 'BUILD') THEN 'charter' ELSE 'regular' END AS type FROM districts d LEFT JOIN state_ids x ON x.district_id = d.district_id WHERE d.enrollment > 0")
 def _(t):
-    d = districts(t).where("enrollment > 0").join(crosswalk(t).select("district_id", "state_id"), "district_id", "left")
+    d = districts(t).where("enrollment > 0").join(state_ids(t).select("district_id", "state_id"), "district_id", "left")
     return d.select("district_id", F.coalesce("state_id", F.concat(F.lit("csv-"), "district_id")).alias("state_id"), F.when(c("segment").contains("BUILD"), "charter").otherwise("regular").alias("type"))
 
 
-@query("x_urls", "SELECT d.district_id, 'https://' || x.state_id AS url FROM districts d JOIN crosswalk x ON x.district_id = d.district_id WHERE ('https://' || x.state_id) IS DISTINCT FROM CASE WHEN d.enrollment > 3000 THEN 'https://' || x.state_id END")
+@query("x_urls", "SELECT d.district_id, 'https://' || x.state_id AS url FROM districts d JOIN state_ids x ON x.district_id = d.district_id WHERE ('https://' || x.state_id) IS DISTINCT FROM CASE WHEN d.enrollment > 3000 THEN 'https://' || x.state_id END")
 def _(t):
-    x = districts(t).join(crosswalk(t).select("district_id", T.normal_url(c("state_id")).alias("url")), "district_id").withColumn("old", F.when(c("enrollment") > 3000, c("url")))
+    x = districts(t).join(state_ids(t).select("district_id", T.normal_url(c("state_id")).alias("url")), "district_id").withColumn("old", F.when(c("enrollment") > 3000, c("url")))
     return x.where(~c("url").eqNullSafe(c("old"))).select("district_id", "url")
 
 
@@ -226,10 +226,10 @@ def _(t):
     return state_code(t).where("st = 'TX'").groupBy("district_id", "year").agg(F.sum("n").alias("total_enrollment"), F.sum("n").alias("enrollment_g12"))
 
 
-@query("i_idents", "SELECT DISTINCT s.district_id, x.state_id FROM statecounts s JOIN crosswalk x ON x.district_id = s.district_id WHERE s.st = 'MI'")
+@query("i_idents", "SELECT DISTINCT s.district_id, x.state_id FROM statecounts s JOIN state_ids x ON x.district_id = s.district_id WHERE s.st = 'MI'")
 def _(t):
     ids = state_code(t).where("st = 'MI'").select("district_id").distinct()
-    return ids.join(crosswalk(t).select("district_id", "state_id"), "district_id")
+    return ids.join(state_ids(t).select("district_id", "state_id"), "district_id")
 
 
 _CODES = "SELECT CAST(s_suppkey AS VARCHAR) AS raw FROM supplier"

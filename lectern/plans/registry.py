@@ -30,6 +30,8 @@ class Tables:
 
 
 def share(name: str, sql: str) -> None:
+    if name in SHARED:
+        raise ValueError(f"two shared expressions are named {name}")
     SHARED[name] = sql
 
 
