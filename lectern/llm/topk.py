@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 from .common import written
 
 K = 10
-#: Codes in one index, and queries that one task puts to it.
+#: The stated set of queries: every row whose id this number divides.
+EVERY = 50
+#: Codes in one index, and queries that are put to it together.
 SHARD, QUERIES = 65_536, 8_192
 _AT_ONCE = 1 << 20
+_FAR = np.int64((1 << 63) - 1)
 
 
 def codes_of(vectors: np.ndarray) -> np.ndarray:
@@ -38,18 +41,20 @@ def _masks(radius: int) -> np.ndarray:
     return np.array([sum(1 << b for b in c) for c in combinations(range(16), radius)], np.uint16)
 
 
-def top_k(index: Index, queries: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def top_k(index: Index, queries: np.ndarray, own: np.ndarray, k: int, limit: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distances and rows (n x k, -1 where there are fewer) of the k nearest codes to each query, by distance, then row.
 
-    own: the row of the index that is the query itself and doesn't count, or -1.  Step t searches segment t mod m at
-    radius t div m.  After it, every code within distance t has been seen: a code further than the radius searched in
-    each segment differs in more than t bits.  A query ends when its k-th distance is within t.
+    own: the row of the index that is the query itself and doesn't count, or -1; limit: a distance for each query that
+    codes further away needn't be found at.  Step t searches segment t mod m at radius t div m.  After it, every code
+    within distance t has been seen: a code further than the radius searched in each segment differs in more than t
+    bits.  A query ends when its k-th distance, or its limit, is within t.
     """
     n, m = queries.shape
     size = len(index.codes)
     none = np.int64(1) << 62
     best = np.full((n, k), none)  # distance and row in one number
     active = np.arange(n)
+    limit = np.full(n, 17 * m, np.int64) if limit is None else limit
     for t in range(17 * m):
         j, radius = t % m, t // m
         masks = _masks(radius)
@@ -73,9 +78,9 @@ def top_k(index: Index, queries: np.ndarray, own: np.ndarray, k: int) -> tuple[n
                 # a code turns up once for each segment that is near enough: only its first step counts
                 new = ((apart * m + np.arange(m)).min(axis=1) == t) & (found != own[who])
                 key = distance * (1 << 40) + found
-                new &= key < best[who, k - 1]
+                new &= (key < best[who, k - 1]) & (distance <= limit[who])
                 _insert(best, who[new], key[new], k)
-        active = active[best[active, k - 1] >= (np.int64(t + 1) << 40)]
+        active = active[(best[active, k - 1] >= (np.int64(t + 1) << 40)) & (limit[active] > t)]
         if not len(active):
             break
     empty = best == none
@@ -105,81 +110,125 @@ def _insert(best: np.ndarray, who: np.ndarray, key: np.ndarray, k: int) -> None:
     best[some] = np.sort(np.concatenate([best[some], fresh], axis=1), axis=1)[:, :k]
 
 
-def nearest(vectors: DataFrame, k: int = K, ident: str = "vec_id", vector: str = "embedding", shard: int = SHARD, queries: int = QUERIES) -> DataFrame:
-    """(vec_id, rank, neighbour_id, distance): the k nearest rows to every row by Hamming distance of sign bits.
+class Nearest:
+    """The k nearest of one block of queries over the indexes that were searched so far."""
 
-    Ties go to the lesser id.  A row is no neighbour of itself, but rows that repeat an id or a vector are neighbours
-    of each other.  Rows with a null vector or id take no part; vectors of other than the most frequent length (the
-    longer of two equally frequent) take no part either; a null element counts as 0.  Fewer than k other rows give fewer neighbours.
-    Extra columns are ignored; an empty table gives an empty result.
+    def __init__(self, queries: int, k: int) -> None:
+        self.distance, self.ids = np.full((queries, k), _FAR, np.int64), np.full((queries, k), _FAR, np.int64)
 
-    The table is written as packed shards, once as indexes and once as blocks of queries.  A Cartesian product of the
-    two sends every query to every index, so nothing is left out; the k best of each shard are merged by rank.
+    def search(self, index: Index, names: np.ndarray, codes: np.ndarray, own: np.ndarray) -> None:
+        k = self.distance.shape[1]
+        distance, found = top_k(index, codes, own, k, self.distance[:, -1])
+        ids = np.where(found >= 0, names[found], _FAR)
+        distance = np.concatenate([self.distance, np.where(found >= 0, distance, _FAR)], axis=1)
+        ids = np.concatenate([self.ids, ids], axis=1)
+        order = np.lexsort((ids, distance))[:, :k]
+        self.distance, self.ids = np.take_along_axis(distance, order, axis=1), np.take_along_axis(ids, order, axis=1)
+
+
+def _batch(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], names=list(columns))
+
+
+def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, ident: str = "vec_id", vector: str = "embedding", shard: int = SHARD, queries: int = QUERIES) -> DataFrame:
+    """(vec_id, rank, neighbour_id, distance): the k nearest of all rows by Hamming distance of sign bits, for each query.
+
+    The queries are the rows whose id `every` divides.  Ties go to the lesser id.  A row is no neighbour of itself, but
+    rows that repeat an id or a vector are neighbours of each other.  Rows with a null vector or id take no part, nor do
+    empty vectors; a null element counts as 0; vectors of several lengths are searched each among those of its length.
+    Fewer than k other rows give fewer neighbours.  Extra columns are ignored; an empty table gives an empty result.
+
+    Every task packs its rows into shards as it reads them, without a shuffle, and they are written: as indexes, and
+    with the queries taken out as blocks.  A Cartesian product of the two sends every block to every index, so nothing
+    is left out.  A task carries a block's k-th distance from index to index; the tasks' best are merged by rank.
     """
     rows = vectors.select(F.col(ident).cast("long").alias("id"), F.col(vector).alias("v")).where("id is not null and v is not null and size(v) > 0")
-    common = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    schema = "vec_id bigint, rank int, neighbour_id bigint, distance int"
-    if common is None:
-        return vectors.sparkSession.createDataFrame([], schema)
-    width, total = common["d"], common["count"]
+    rows = rows.select("id", "v", F.spark_partition_id().cast("long").alias("p"))
 
     def pack(batches):
-        ids, codes, at = [], [], 0
+        """Shards of at most `shard` rows of one length, in the order of ids; numbered by partition."""
+        held: dict[int, list] = {}
+        made = 0
+
+        def close(d):
+            nonlocal made
+            ids, codes = (np.concatenate(x) for x in zip(*held.pop(d)[1], strict=True))
+            order = np.lexsort((*codes.T, ids))
+            made += 1
+            return _batch(shard=([(part << 24) + made], pa.int64()), d=([d], pa.int32()), n=([len(ids)], pa.int64()), ids=([ids[order].tobytes()], pa.binary()), codes=([codes[order].tobytes()], pa.binary()))
+
         for batch in batches:
-            ids.append(np.asarray(batch.column(0)))
-            flat = batch.column(1).flatten().fill_null(0).to_numpy(zero_copy_only=False)
-            codes.append(codes_of(flat.reshape(-1, width)))
-            at = batch.column(2)[0].as_py() if batch.num_rows else at
-        if not ids or not sum(map(len, ids)):
-            return
-        ids_, codes_ = np.concatenate(ids), np.concatenate(codes)
-        order = np.lexsort((*codes_.T, ids_))
-        ids_, codes_ = ids_[order], codes_[order]
-        for i in range(0, len(ids_), queries):
-            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([i], pa.int64()), pa.array([ids_[i : i + queries].tobytes()], pa.binary()), pa.array([codes_[i : i + queries].tobytes()], pa.binary())], names=["shard", "at", "ids", "codes"])
-
-    parts = max(1, -(-total // shard))
-    spread = rows.where(F.size("v") == width).repartitionByRange(parts, "id").select("id", "v", F.spark_partition_id().cast("long").alias("p"))
-    blocks = written(spread.mapInArrow(pack, "shard bigint, at bigint, ids binary, codes binary"), "codes")
-    segments = -(-width // 16)
-
-    def join_blocks(batches):
-        """All blocks of one shard as one row; a shard is a partition."""
-        have = [r for b in batches for r in b.to_pylist()]
-        for s in sorted({r["shard"] for r in have}):
-            own = sorted((r for r in have if r["shard"] == s), key=lambda r: r["at"])
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([b"".join(r["ids"] for r in own)], pa.binary()), pa.array([b"".join(r["codes"] for r in own)], pa.binary())], names=["i_shard", "i_ids", "i_codes"])
-
-    shards = written(blocks.repartition(parts, "shard").mapInArrow(join_blocks, "i_shard bigint, i_ids binary, i_codes binary"), "indexes")
+            ids, lists = np.asarray(batch.column(0)), batch.column(1)
+            part = batch.column(2)[0].as_py() if batch.num_rows else 0
+            size = np.diff(np.asarray(lists.offsets))
+            for d in np.unique(size).tolist():
+                of = np.flatnonzero(size == d)
+                codes = codes_of(lists.take(pa.array(of)).flatten().fill_null(0).to_numpy(zero_copy_only=False).reshape(-1, d))
+                for i in range(0, len(of), shard):
+                    block = held.setdefault(d, [0, []])
+                    block[0] += len(of[i : i + shard])
+                    block[1].append((ids[of[i : i + shard]], codes[i : i + shard]))
+                    if block[0] >= shard:
+                        yield close(d)
+        for d in list(held):
+            yield close(d)
+
+    shards = written(rows.mapInArrow(pack, "shard bigint, d int, n bigint, ids binary, codes binary"), "indexes")
+
+    def chosen(batches):
+        """The queries of shards, several shards' together."""
+        held: dict[int, list] = {}
+
+        def close(d):
+            own = [np.concatenate(x) for x in zip(*held.pop(d), strict=True)]
+            return _batch(q_d=([d], pa.int32()), q_shard=([own[0].tobytes()], pa.binary()), q_at=([own[1].tobytes()], pa.binary()), q_ids=([own[2].tobytes()], pa.binary()), q_codes=([own[3].tobytes()], pa.binary()))
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                ids = np.frombuffer(r["ids"], np.int64)
+                at = np.flatnonzero(ids % every == 0)
+                codes = np.frombuffer(r["codes"], np.uint16).reshape(len(ids), -1)
+                for i in range(0, len(at), queries):
+                    own = at[i : i + queries]
+                    block = held.setdefault(r["d"], [])
+                    if block and sum(len(b[0]) for b in block) + len(own) > queries:
+                        yield close(r["d"])
+                        block = held.setdefault(r["d"], [])
+                    block.append((np.full(len(own), r["shard"]), own, ids[own], codes[own]))
+        for d in list(held):
+            yield close(d)
+
+    blocks = written(shards.mapInArrow(chosen, "q_d int, q_shard binary, q_at binary, q_ids binary, q_codes binary"), "queries")
 
     def search(batches):
-        cached: tuple[int, Index, np.ndarray] | None = None
+        index, best = (None, None, None), {}
         for batch in batches:
             for r in batch.to_pylist():
-                if cached is None or cached[0] != r["i_shard"]:
-                    cached = r["i_shard"], Index(np.frombuffer(r["i_codes"], np.uint16).reshape(-1, segments)), np.frombuffer(r["i_ids"], np.int64)
-                _, index, names = cached
-                ids, codes = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["codes"], np.uint16).reshape(-1, segments)
-                own = np.arange(r["at"], r["at"] + len(ids)) if r["shard"] == r["i_shard"] else np.full(len(ids), -1)
-                distance, found = top_k(index, codes, own, k)
-                who, _ = np.nonzero(found >= 0)
-                found, distance = found[found >= 0], distance[distance >= 0]
-                rows_ = np.arange(len(ids)) + r["at"]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(who), r["shard"])), pa.array(rows_[who]), pa.array(ids[who]), pa.array(names[found]), pa.array(distance.astype(np.int32))], names=["shard", "at", "vec_id", "neighbour_id", "distance"])
-
-    n_blocks = max(1, -(-total // queries))
-    met = blocks.repartition(min(n_blocks, 2048), "shard", "at").crossJoin(shards)
+                if index[0] != r["shard"]:
+                    codes = np.frombuffer(r["codes"], np.uint16)
+                    index = r["shard"], Index(codes.reshape(r["n"], -1)), np.frombuffer(r["ids"], np.int64)
+                own, at = np.frombuffer(r["q_shard"], np.int64), np.frombuffer(r["q_at"], np.int64)
+                key = r["q_shard"], r["q_at"]
+                if key not in best:
+                    best[key] = Nearest(len(own), k), np.frombuffer(r["q_ids"], np.int64)
+                best[key][0].search(index[1], index[2], np.frombuffer(r["q_codes"], np.uint16).reshape(len(own), -1), np.where(own == r["shard"], at, -1))
+        for (own, at), (near, ids) in best.items():
+            who, rank = np.nonzero(near.ids != _FAR)
+            of, at = np.frombuffer(own, np.int64)[who], np.frombuffer(at, np.int64)[who]
+            yield _batch(shard=(of, pa.int64()), at=(at, pa.int64()), vec_id=(ids[who], pa.int64()), neighbour_id=(near.ids[who, rank], pa.int64()), distance=(near.distance[who, rank].astype(np.int32), pa.int32()))
+
+    met = shards.crossJoin(blocks).where("d = q_d")
     near = met.mapInArrow(search, "shard bigint, at bigint, vec_id bigint, neighbour_id bigint, distance int")
     order = Window.partitionBy("shard", "at").orderBy("distance", "neighbour_id")
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("vec_id", "rank", "neighbour_id", "distance")
 
 
-def oracle_sql(k: int = K) -> str:
-    """nearest() over embeddings, by comparing all pairs."""
+def oracle_sql(k: int = K, every: int = EVERY) -> str:
+    """nearest() over embeddings, by comparing every query with every row."""
     return f"""
         WITH c AS MATERIALIZED (
-            SELECT vec_id, CAST(list_sum(list_transform(embedding, lambda x, i: CASE WHEN x > 0 THEN CAST(power(2, i - 1) AS HUGEINT) ELSE CAST(0 AS HUGEINT) END)) AS UBIGINT) AS code
-            FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
-        p AS (SELECT a.vec_id, b.vec_id AS neighbour_id, CAST(bit_count(xor(a.code, b.code)) AS INTEGER) AS distance FROM c a JOIN c b ON a.vec_id <> b.vec_id)
+            SELECT row_number() OVER () AS r, vec_id, len(embedding) AS d, CAST(list_sum(list_transform(embedding, lambda x, i: CASE WHEN x > 0 THEN CAST(power(2, i - 1) AS HUGEINT) ELSE CAST(0 AS HUGEINT) END)) AS UBIGINT) AS code
+            FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0),
+        p AS (SELECT a.r, a.vec_id, b.vec_id AS neighbour_id, CAST(bit_count(xor(a.code, b.code)) AS INTEGER) AS distance FROM c a JOIN c b ON a.r <> b.r AND a.d = b.d WHERE a.vec_id % {every} = 0)
         SELECT vec_id, CAST(rank AS INTEGER) AS rank, neighbour_id, distance
-        FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbour_id) AS rank FROM p) WHERE rank <= {k}"""
+        FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY distance, neighbour_id) AS rank FROM p) WHERE rank <= {k}"""
