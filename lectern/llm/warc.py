@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import uuid
+from itertools import islice
 
 import pyarrow as pa
 import zstandard
@@ -21,8 +22,8 @@ from .common import fresh_path, written
 SKIPPABLE = 0x184D2A5D
 #: Raw bytes of the records of one file, about.
 FILE_BYTES = 32 << 20
-#: Raw bytes of records, taken evenly over the file, that a dictionary is built from, and its size at most.
-SAMPLE_BYTES, DICTIONARY_BYTES = 2 << 20, 64 << 10
+#: Bytes that a dictionary is built from, taken evenly in pieces over all records of a file, and its size at most.
+SAMPLE_BYTES, SAMPLE_PIECE, DICTIONARY_BYTES = 2 << 20, 4 << 10, 64 << 10
 LEVEL = 3
 ARCHIVED_AT = "2026-01-01T00:00:00Z"
 
@@ -56,23 +57,21 @@ def parse(raw: bytes) -> tuple[int | None, str | None, str | None]:
 
 
 def dictionary(records: list[bytes]) -> bytes:
-    """A dictionary from records taken evenly; empty where there is too little to build one from."""
-    total = sum(map(len, records))
-    step = max(1, -(-total // SAMPLE_BYTES))
-    sample = records[::step]
-    if len(sample) < 8 or sum(map(len, sample)) < 4096:
-        return b""
+    """A dictionary from pieces of all records: a trained one, or, where they are too few to train one, their first bytes."""
+    step = max(1, -(-sum(map(len, records)) // SAMPLE_BYTES))
+    pieces = (raw[i : i + SAMPLE_PIECE] for raw in records for i in range(0, len(raw), SAMPLE_PIECE))
+    sample = list(islice(pieces, 0, None, step))
     size = min(DICTIONARY_BYTES, max(1024, sum(map(len, sample)) // 8))
     try:
         return zstandard.train_dictionary(size, sample, k=512, d=8).as_bytes()
     except zstandard.ZstdError:
-        return b""
+        return b"".join(sample)[:size]
 
 
 def encode_file(records: list[bytes]) -> tuple[bytes, list[tuple[int, int]]]:
     """A file's bytes and (offset, length) of each record's frame."""
     words = dictionary(records)
-    coder = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(words) if words else None, write_content_size=True)
+    coder = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(words), write_content_size=True)
     out, places = bytearray(struct.pack("<II", SKIPPABLE, len(words)) + words), []
     for raw in records:
         frame = coder.compress(raw)
@@ -87,7 +86,7 @@ def decode_file(data: bytes):
     if magic != SKIPPABLE:
         raise ValueError("no dictionary frame at the start")
     words = data[8 : 8 + size]
-    coder = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(words) if words else None)
+    coder = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(words))
     rest = memoryview(data)[8 + size :]
     while rest:
         unit = coder.decompressobj()
@@ -101,8 +100,9 @@ def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
 
     Files go to `folder` (a new one in the shared folder by default), one or more for each partition, named by
     partition and attempt: a task that runs again writes files of its own, and the index, which is written before this
-    returns, names only those of the attempt that counted.  Null ids, URLs and pages are kept as null.  Repeated rows are
-    archived each, extra columns are left out, and an empty table gives no file.
+    returns, names only those of the attempt that counted.  Every file has a dictionary, of a single record too.  Null
+    ids, URLs and pages are kept as null.  Repeated rows are archived each, extra columns are left out, and an empty
+    table gives no file.
     """
     spark = pages.sparkSession
     folder = folder or fresh_path(spark, "warc")
@@ -143,7 +143,10 @@ def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
 
 
 def read(index: DataFrame) -> DataFrame:
-    """(page_id, url, html) of every record of the files that an index names; files are read once, in parallel."""
+    """(page_id, url, html) of every record of the files that an index names; files are read once, in parallel.
+
+    Null ids, URLs and pages come back as null; an empty index gives an empty result.
+    """
 
     def run(batches):
         for batch in batches:
@@ -173,7 +176,7 @@ def read_record(file: str, offset: int, length: int) -> tuple[int | None, str |
         words = source.read(size)
         source.seek(offset)
         frame = source.read(length)
-    return parse(zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(words) if words else None).decompress(frame))
+    return parse(zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(words)).decompress(frame))
 
 
 def _rows(held):

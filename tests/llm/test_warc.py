@@ -46,5 +46,15 @@ def test_records_stand_alone_behind_a_dictionary_frame(spark):
     assert sum(r["length"] for r in index) < plain
 
 
+@pytest.mark.parametrize("n", [1, 2, 7, 40])
+def test_files_of_few_or_large_records_have_a_dictionary(n):
+    rng = random.Random(n)
+    for rows in (pages(n), [(i, "u", rng.randbytes(150_000).hex()) for i in range(n)], [(None, None, None)] * n, [(i, "u", "x" * 9000) for i in range(n)]):
+        data, places = warc.encode_file([warc.record(*r) for r in rows])
+        size = struct.unpack_from("<I", data, 4)[0]
+        assert size >= 64 and places[0][0] == 8 + size
+        assert list(warc.decode_file(data)) == rows
+
+
 def test_empty_table(spark):
     assert warc.round_trip(make(spark, [])).count() == 0
