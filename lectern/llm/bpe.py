@@ -2,7 +2,8 @@
 
 Encoding: a text is parted into words by the tokenizer's pattern; each distinct word of a batch is encoded once.  The
 words' bytes are rows (word, position, token).  A recursive query joins each token and its neighbour with the merge
-table and contracts every word's leftmost pair of the least rank, until no word has a pair left.
+table and contracts every word's leftmost pair of the least rank, until no word has a pair left.  Long words have a
+query of their own that contracts all pairs of the least rank in a step, from the left.
 
 Decoding: token rows join the vocabulary, and an ordered aggregation puts each text's bytes together.
 """
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 
 #: Words of one recursive query, and words that a partition remembers.
 QUERY_WORDS, KEPT_WORDS = 40_000, 600_000
+#: Bytes from which a word is parted where no token can reach across, is not remembered, and has queries of its own.
+LONG = 256
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A tokenizer file in the JSON form of public byte-level vocabularies; set where the file lies elsewhere.
 DEFAULT_VOCABULARY = os.environ.get("BYTE_BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
@@ -82,6 +85,26 @@ WITH RECURSIVE step AS (
 SELECT step.word, list(token ORDER BY pos) AS tokens FROM step JOIN done USING (word, n) GROUP BY step.word ORDER BY step.word
 """
 
+#: One long piece: every token with the place of the next one and the merge of the two.  A step contracts the least
+#: rank's pairs from the left and replaces the rows that this touches, so the table stays as long as the piece.
+ENCODE_LONG = """
+WITH RECURSIVE s(pos, token, next, rank, merged) USING KEY (pos) AS (
+    SELECT pos, token, next, rank, merged FROM start LEFT JOIN merge ON a = token AND b = follows
+    UNION
+    (WITH low AS (SELECT pos, next, merged FROM recurring.s WHERE rank = (SELECT min(rank) FROM recurring.s)),
+     run AS (SELECT pos, next, merged, sum(fresh) OVER (ORDER BY pos) AS run FROM (SELECT *, CASE WHEN lag(next) OVER (ORDER BY pos) = pos THEN 0 ELSE 1 END AS fresh FROM low)),
+     chosen AS (SELECT pos, next AS gone, merged FROM run QUALIFY row_number() OVER (PARTITION BY run ORDER BY pos) % 2 = 1),
+     new AS (SELECT chosen.pos, merged_token AS token, g.next FROM (SELECT pos, gone, merged AS merged_token FROM chosen) chosen JOIN recurring.s g ON g.pos = gone),
+     touched AS (
+        SELECT new.pos, new.token, new.next, coalesce(m.token, f.token) AS follows FROM new LEFT JOIN recurring.s f ON f.pos = new.next LEFT JOIN new m ON m.pos = new.next
+        UNION ALL
+        SELECT l.pos, l.token, l.next, new.token FROM recurring.s l JOIN new ON l.next = new.pos WHERE l.pos NOT IN (SELECT pos FROM chosen) AND l.pos NOT IN (SELECT gone FROM chosen))
+     SELECT pos, token, next, merge.rank, merge.merged FROM touched LEFT JOIN merge ON a = token AND b = follows
+     UNION ALL SELECT gone, -1, NULL, NULL, NULL FROM chosen)
+)
+SELECT token FROM s WHERE token >= 0 ORDER BY pos
+"""
+
 DECODE = """
 SELECT text, string_agg(piece, '' ORDER BY pos) AS body FROM given JOIN vocabulary USING (token) GROUP BY text ORDER BY text
 """
@@ -106,12 +129,47 @@ class Coder:
         self.byte = np.array([first[b] for b in range(256)], np.int32)
         self.known: dict[str, bytes] = {}
         self.split = regex.compile(PATTERN).findall
+        # pairs of bytes that stand side by side in some token: elsewhere a word falls apart into pieces of their own
+        self.joined = np.zeros((256, 256), bool)
+        for t in tokens.values():
+            b = np.frombuffer(t, np.uint8)
+            self.joined[b[:-1], b[1:]] = True
+        made: dict[int, int] = {}
+        for rank, (_, _, token) in enumerate(merges):
+            made[token] = rank
+        # where every token is made before it is used, contracting all pairs of the least rank at once changes nothing
+        self.ordered = all(made.get(t, -1) < rank for rank, (a, b, _) in enumerate(merges) for t in (a, b))
 
     def words(self, words: list[str]) -> list[bytes]:
         """Token ids of each word, four bytes each."""
+        raw = [w.encode() for w in words]
+        if max(map(len, raw), default=0) < LONG or not self.ordered:
+            return self._short(raw)
+        parts = [self._pieces(r) if len(r) >= LONG else [r] for r in raw]
+        pieces = list(dict.fromkeys(x for p in parts for x in p))
+        short = [x for x in pieces if len(x) < LONG]
+        ids = dict(zip(short, self._short(short), strict=True)) | {x: self._long(x) for x in pieces if len(x) >= LONG}
+        return [b"".join([ids[x] for x in p]) for p in parts]
+
+    def _pieces(self, word: bytes) -> list[bytes]:
+        """The word parted between bytes that no token holds side by side; no merge reaches across."""
+        b = np.frombuffer(word, np.uint8)
+        at = [0, *(np.flatnonzero(~self.joined[b[:-1], b[1:]]) + 1).tolist(), len(word)]
+        return [word[i:j] for i, j in zip(at, at[1:], strict=False)]
+
+    def _long(self, word: bytes) -> bytes:
+        token = self.byte[np.frombuffer(word, np.uint8)]
+        pos = np.arange(len(token), dtype=np.int32)
+        end = np.arange(len(token)) == len(token) - 1
+        self.db.register("start", pa.table({"pos": pos, "token": token, "next": pa.array(pos + 1, mask=end), "follows": pa.array(np.append(token[1:], 0), pa.int32(), mask=end)}))
+        got = self.db.sql(ENCODE_LONG).to_arrow_table()["token"].combine_chunks()
+        self.db.unregister("start")
+        return got.cast(pa.int32()).to_numpy(zero_copy_only=False).tobytes()
+
+    def _short(self, words: list[bytes]) -> list[bytes]:
         out: list[bytes] = []
         for i in range(0, len(words), QUERY_WORDS):
-            raw = [w.encode() for w in words[i : i + QUERY_WORDS]]
+            raw = words[i : i + QUERY_WORDS]
             size = np.array([len(r) for r in raw])
             start = np.concatenate([[0], np.cumsum(size)[:-1]])
             data = np.frombuffer(b"".join(raw), np.uint8)
@@ -133,6 +191,9 @@ class Coder:
         new = list(dict.fromkeys(w for s in split for w in s if w not in known))
         known.update(zip(new, self.words(new), strict=True))
         rows = [b"".join([known[w] for w in s]) for s in split]
+        for w in new:
+            if len(w) >= LONG:
+                del known[w]
         flat = np.frombuffer(b"".join(rows), np.int32)
         ends = np.cumsum([0, *(len(r) // 4 for r in rows)])
         offsets = pa.array(ends.astype(np.int32), mask=np.array([*(t is None for t in texts), False]))
@@ -162,7 +223,9 @@ def encode(docs: DataFrame, path: str = DEFAULT_VOCABULARY) -> DataFrame:
     """(doc_id, tokens, n_tokens, same) of each row: the token ids of the whole text, and whether decoding gives it back.
 
     A null text has null tokens and n_tokens and a null `same`; an empty text has no tokens.  Special tokens' strings
-    are ordinary text.  Repeated rows are encoded each; extra columns are ignored; an empty table gives an empty result.
+    are ordinary text.  A word of any length is encoded whole: from LONG bytes on it is parted where no token of the
+    vocabulary can reach across, and a piece that stays long has a query of its own, with a step for each distinct
+    merge.  Repeated rows are encoded each; extra columns are ignored; an empty table gives an empty result.
     """
 
     def run(batches):

@@ -29,6 +29,16 @@ def test_same_ids_as_the_library_and_round_trip(documents):
     assert [back[i] for i in range(len(texts))] == texts
 
 
+def test_long_words_are_encoded_as_the_library_does():
+    rng = random.Random(3)
+    words = ["x" * 200_001, "".join(rng.choice("0123456789") for _ in range(20_000)), "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000))]
+    words += ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(200_000)), "the quick brown fox jumps over lazy dogs in running water".replace(" ", "") * 500]
+    words += ["".join(rng.choice(a) for _ in range(rng.randrange(256, 900))) for a in ("ab", "aeiou", "the", "=-", "漢字かな", "ก็น") for _ in range(6)]
+    coder = bpe.coder(bpe.DEFAULT_VOCABULARY)
+    assert coder.ordered
+    assert coder.encode(words).to_pylist() == reference(words)
+
+
 def test_ranks_file_gives_the_same_merges():
     path = bpe.DEFAULT_VOCABULARY.replace(".json", ".tiktoken")
     if not os.path.exists(path):
