@@ -204,6 +204,8 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, ident: str = "ve
         index, best = (None, None, None), {}
         for batch in batches:
             for r in batch.to_pylist():
+                if r["d"] != r["q_d"]:
+                    continue
                 if index[0] != r["shard"]:
                     codes = np.frombuffer(r["codes"], np.uint16)
                     index = r["shard"], Index(codes.reshape(r["n"], -1)), np.frombuffer(r["ids"], np.int64)
@@ -217,7 +219,7 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, ident: str = "ve
             of, at = np.frombuffer(own, np.int64)[who], np.frombuffer(at, np.int64)[who]
             yield _batch(shard=(of, pa.int64()), at=(at, pa.int64()), vec_id=(ids[who], pa.int64()), neighbour_id=(near.ids[who, rank], pa.int64()), distance=(near.distance[who, rank].astype(np.int32), pa.int32()))
 
-    met = shards.crossJoin(blocks).where("d = q_d")
+    met = shards.crossJoin(blocks)  # lengths are compared in search(): as a join key, one length would be one task
     near = met.mapInArrow(search, "shard bigint, at bigint, vec_id bigint, neighbour_id bigint, distance int")
     order = Window.partitionBy("shard", "at").orderBy("distance", "neighbour_id")
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("vec_id", "rank", "neighbour_id", "distance")
