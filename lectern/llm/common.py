@@ -56,6 +56,14 @@ def id_back(column: str | Column) -> Column:
     return F.nullif(F.col(column) if isinstance(column, str) else column, F.lit(NO_ID))
 
 
+def one_each(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """`columns` of one row for each value of the keys: the least by those columns that can be ordered, in their order."""
+    kinds = dict(rows.dtypes)
+    whole, orderly = F.struct(*(F.col(f"`{c}`") for c in columns)), [F.col(f"`{c}`") for c in columns if "map<" not in kinds[c] and "variant" not in kinds[c]]
+    least = F.min(whole) if len(orderly) == len(columns) else F.min_by(whole, F.struct(*orderly))
+    return rows.groupBy(*keys).agg(least.alias("__row")).select("__row.*")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root): for each node of the undirected edges, the smallest node that it is linked to.
 
@@ -67,14 +75,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     now = written(pairs, "star")
     mark = None
     while True:
+        # minima are combined before they are shuffled and joined back, so that a node of very many links is no one
+        # task's list: adaptive joins split it
         both = now.union(now.select("lo", "hi").toDF("hi", "lo"))
         # large star: every larger neighbour of u is linked to the least of u and its neighbours
-        least = both.groupBy("hi").agg(F.least(F.min("lo"), F.col("hi")).alias("m"), F.collect_set("lo").alias("n"))
-        large = least.select(F.explode("n").alias("v"), "m", "hi").where("v > hi").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-        large = large.where("hi <> lo").distinct()
+        least = both.groupBy("hi").agg(F.least(F.min("lo"), F.col("hi")).alias("m"))
+        large = both.where("lo > hi").join(least, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi <> lo").distinct()
         # small star: u and its smaller neighbours are linked to the least of them
-        small = large.groupBy("hi").agg(F.min("lo").alias("m"), F.collect_set("lo").alias("n"))
-        small = small.select(F.explode(F.concat("n", F.array("hi"))).alias("hi"), F.col("m").alias("lo")).where("hi <> lo").distinct()
+        small = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        small = large.join(small, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).union(small.toDF("hi", "lo")).where("hi <> lo").distinct()
         after = written(small, "star")
         was = mark
         mark = tuple(after.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first())

@@ -7,22 +7,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HASH, ID, components, id_back, row_key, written
+from .common import HASH, ID, components, id_back, one_each, row_key, written
 from .tokens import hashed_words, mix64
 
-#: Word pairs are the features, of 128 bits.
+#: Codes have 128 bits.
 RADIUS = 26
-#: The share of word triples in common from which nine of ten pairs of texts are found; at 0.6 it is about seven of ten.
-FOUND_FROM = 0.7
+#: The share of word triples in common from which about nine of ten pairs of texts are found.
+FOUND_FROM = 0.6
 TILE = 32_768
 _LANE = 1024
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)[None, :]) & 1).astype(np.float32)
 
 
 def code_of(words: np.ndarray) -> tuple[int, int]:
-    """The 128-bit SimHash of a text of at least one word, as two unsigned numbers, over its set of adjacent pairs."""
-    pairs = words[:-1] * np.uint64(0xD6E8FEB86659FD93) + words[1:] if len(words) > 1 else words
-    pairs = np.unique(pairs)
+    """The 128-bit SimHash of a text of at least one word, as two unsigned numbers, over its sets of words and of adjacent pairs.
+
+    The number of features is made odd by one that depends on all others: no bit is a tie, which would have to be settled
+    one way and make codes of short texts alike.
+    """
+    pairs = np.unique(np.concatenate([words, words[:-1] * np.uint64(0xD6E8FEB86659FD93) + words[1:]]))
+    if len(pairs) % 2 == 0:
+        pairs = np.append(pairs, mix64(pairs).sum(keepdims=True))
     out = []
     for salt in (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25):
         body = mix64(pairs ^ np.uint64(salt)).view(np.uint8).reshape(len(pairs), 8)
@@ -105,11 +110,10 @@ def _forest(p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def near_links(codes: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """(a, b): links between distinct codes whose components are those of all pairs within the radius.
+    """(a, b): links between distinct codes (lo, hi) whose components are those of all pairs within the radius.
 
-    codes: distinct (cid, lo, hi).  They are sorted by population count into tiles of at most `tile` codes, written
-    once; each pair of tiles that can hold a match is one row of a Cartesian product, which reads the tiles from the
-    shared folder and shuffles nothing.
+    Codes are sorted by population count into tiles of at most `tile` codes, written once; each pair of tiles that can
+    hold a match is one row of a Cartesian product, which reads the tiles from the shared folder and shuffles nothing.
     """
     count = codes.count()
     weight = (F.bit_count("lo") + F.bit_count("hi")).alias("w")
@@ -117,38 +121,35 @@ def near_links(codes: DataFrame, radius: int = RADIUS, tile: int = TILE) -> Data
     def pack(batches):
         body, at = [], None
         for batch in batches:
-            body.append(np.stack([np.asarray(batch.column(i)) for i in range(4)], axis=1))
-            at = batch.column(4)[0].as_py() if at is None and batch.num_rows else at
-        rows = np.concatenate(body) if body else np.zeros((0, 4), np.int64)
-        rows = rows[np.lexsort((rows[:, 1], rows[:, 0], rows[:, 3]))]
+            body.append(np.stack([np.asarray(batch.column(i)) for i in range(3)], axis=1))
+            at = batch.column(3)[0].as_py() if at is None and batch.num_rows else at
+        rows = np.concatenate(body) if body else np.zeros((0, 3), np.int64)
+        rows = rows[np.lexsort((rows[:, 1], rows[:, 0], rows[:, 2]))]
         for k in range(0, len(rows), tile):
             part = rows[k : k + tile]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([(at << 20) + k // tile], pa.int64()), pa.array([part[0, 3]]), pa.array([part[-1, 3]]), pa.array([part[:, :2].tobytes()], pa.binary()), pa.array([part[:, 2].tobytes()], pa.binary())],
-                names=["t", "least", "most", "codes", "ids"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array([(at << 20) + k // tile], pa.int64()), pa.array([part[0, 2]]), pa.array([part[-1, 2]]), pa.array([part[:, :2].tobytes()], pa.binary())], names=["t", "least", "most", "codes"])
 
     def compare(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 a, b = (np.frombuffer(row[k], np.uint64).reshape(-1, 2) for k in ("codes", "codes2"))
-                u, v = (np.frombuffer(row[k], np.int64) for k in ("ids", "ids2"))
                 same = row["t"] == row["t2"]
                 i, j = close_pairs(a, b, radius, same)
                 if not len(i):
                     continue
-                nodes = np.concatenate([u, v])
-                p, q = _forest(i, j if same else j + len(u))
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[p]), pa.array(nodes[q])], names=["a", "b"])
+                nodes = np.concatenate([a, b]).view(np.int64)
+                p, q = _forest(i, j if same else j + len(a))
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[x, k]) for x in (p, q) for k in (0, 1)], names=["a0", "a1", "b0", "b1"])
 
     parts = max(1, -(-count // tile))
-    sorted_codes = codes.select("lo", "hi", "cid", weight.cast("long").alias("w")).repartitionByRange(parts, "w", "lo", "hi")
+    sorted_codes = codes.select("lo", "hi", weight.cast("long").alias("w")).repartitionByRange(parts, "w", "lo", "hi")
     sorted_codes = sorted_codes.select("*", F.spark_partition_id().cast("long").alias("at"))
-    tiles = written(sorted_codes.mapInArrow(pack, "t bigint, least bigint, most bigint, codes binary, ids binary"), "tiles")
+    tiles = written(sorted_codes.mapInArrow(pack, "t bigint, least bigint, most bigint, codes binary"), "tiles")
     tiles = tiles.repartition(max(1, min(parts, 512)), "t")
     other = tiles.select(*(F.col(c).alias(c + "2") for c in tiles.columns))
     met = tiles.crossJoin(other).where((F.col("t") <= F.col("t2")) & (F.col("least2") - F.col("most") <= radius) & (F.col("least") - F.col("most2") <= radius))
-    return met.mapInArrow(compare, "a bigint, b bigint")
+    found = met.mapInArrow(compare, "a0 bigint, a1 bigint, b0 bigint, b1 bigint")
+    return found.select(*(F.struct(F.col(x + "0").alias("lo"), F.col(x + "1").alias("hi")).alias(x) for x in ("a", "b")))
 
 
 def _keyed_groups(docs: DataFrame, radius: int, tile: int) -> DataFrame:
@@ -156,10 +157,11 @@ def _keyed_groups(docs: DataFrame, radius: int, tile: int) -> DataFrame:
     codes = written(simhash_codes(docs), "codes")
     # equal codes are one group whatever the number of rows: only distinct codes are compared
     least = F.min(F.struct(ID, HASH)).alias("k")
-    distinct = written(codes.groupBy("lo", "hi").agg(least, F.xxhash64("lo", "hi").alias("cid")), "distinct")
-    links = near_links(distinct.select("cid", "lo", "hi"), radius, tile)
-    roots = components(links)
-    grouped = distinct.join(roots, distinct["cid"] == roots["node"], "left").select("lo", "hi", "k", F.coalesce("root", "cid").alias("root"))
+    distinct = written(codes.groupBy("lo", "hi").agg(least), "distinct")
+    roots = components(near_links(distinct.select("lo", "hi"), radius, tile))
+    own = F.struct("lo", "hi")
+    roots = roots.select(F.col("node.lo").alias("lo"), F.col("node.hi").alias("hi"), "root")
+    grouped = distinct.join(roots, ["lo", "hi"], "left").select("lo", "hi", "k", F.coalesce("root", own).alias("root"))
     first = grouped.groupBy("root").agg(F.min("k").alias("first"))
     named = grouped.join(first, "root").select("lo", "hi", "first")
     return codes.join(named, ["lo", "hi"]).select(ID, HASH, F.col("first")[ID].alias("root_id"), F.col("first")[HASH].alias("root_hash"))
@@ -187,9 +189,9 @@ def _wordless():
 def drop_near_copies(docs: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """The rows of docs, all columns, with one row of each group of near_groups(): the one with the least id.
 
-    Null texts and texts without a word stay.  Of rows that repeat id and text one stays.
+    Null texts and texts without a word stay.  Of rows that repeat id and text the least by all columns stays.
     """
     keyed = _keyed_groups(docs, radius, tile)
     lost = keyed.where(f"{ID} <> root_id or {HASH} <> root_hash").select(ID, HASH)
     stay = docs.where(~_wordless()).select("*", *row_key()).join(lost, [ID, HASH], "left_anti")
-    return stay.dropDuplicates([ID, HASH]).select(*docs.columns).unionByName(docs.where(_wordless()))
+    return one_each(stay, [ID, HASH], docs.columns).unionByName(docs.where(_wordless()))

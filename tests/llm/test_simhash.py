@@ -64,6 +64,27 @@ def test_near_copies_are_found_and_others_left(documents):
     assert all(got[120 + i] == i for i in range(5))
 
 
+def test_short_texts_are_not_alike_by_chance():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 3, 4, 5, 6):
+        codes = np.array([simhash.code_of(rng.integers(1, 1 << 63, n, dtype=np.uint64)) for _ in range(3000)], np.uint64)
+        order = np.argsort(np.bitwise_count(codes).sum(axis=1), kind="stable")
+        ones = np.bitwise_count(codes).sum(axis=1).mean() / 128
+        assert 0.49 < ones < 0.51
+        i, _ = simhash.close_pairs(codes[order], codes[order], simhash.RADIUS, True)
+        assert not len(i)
+    same = np.array([simhash.code_of(np.repeat(rng.integers(1, 1 << 63, 1, dtype=np.uint64), 2)) for _ in range(3000)], np.uint64)  # "ha ha"
+    same = same[np.argsort(np.bitwise_count(same).sum(axis=1), kind="stable")]
+    assert not len(simhash.close_pairs(same, same, simhash.RADIUS, True)[0])
+
+
+def test_a_very_long_text(documents):
+    rng = random.Random(2)
+    long = text_of(rng, 60_000)
+    got = {r["doc_id"]: r["group_id"] for r in simhash.near_groups(documents([long, edited(rng, long, 1500), text_of(rng, 50)])).collect()}
+    assert got == {0: 0, 1: 0, 2: 2}
+
+
 def test_close_pairs_against_all_pairs():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 1 << 63, (500, 2), dtype=np.uint64)
