@@ -41,6 +41,20 @@ def test_kept_rows_and_extra_columns(documents):
     assert got.where("text is null").count() == 2
 
 
+def test_of_repeated_rows_the_least_by_all_columns_stays(documents, spark):
+    df = documents([(1, "same"), (1, "same"), (1, "same")]).withColumn("n_chars", F.lit(4)).withColumn("source", F.element_at(F.array(F.lit("z"), F.lit("b"), F.lit("k")), (F.spark_partition_id() % 3 + 1).cast("int")))
+    df = df.union(df.withColumn("source", F.lit("a")))
+    for some in (df, df.withColumn("m", F.create_map("lang", "source"))):
+        got = exact_dedup.drop_exact_copies(some).collect()
+        assert [(r["doc_id"], r["source"]) for r in got] == [(1, "a")]
+
+
+def test_a_very_long_text_and_a_hot_group(documents):
+    long = "word and " * 200_000
+    rows = [(i, long if i % 9 == 0 else "hot" if i % 3 else f"t{i}") for i in range(40)] + [(50, long + "x")]
+    assert groups(documents(rows).repartition(4)) == brute(rows)
+
+
 def test_empty_table(documents):
     assert groups(documents([])) == []
     assert exact_dedup.drop_exact_copies(documents([])).count() == 0
