@@ -8,24 +8,25 @@ through the shard's suffix automaton, whose matching statistics give the maximal
 added to the automaton for the documents after it.  The anchors only decide where to look: cuts come from the automaton.
 
 The reference grows with the corpus, so a shard's automaton is built where its candidates are routed to rather than
-sent from the driver to everyone.
+sent from the driver to everyone.  Where one anchor stands in very many documents, its stretches would be too many for
+one task: their windows are then compared by 128-bit hashes, in aggregates that combine before they shuffle.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .automaton import SuffixAutomaton
-from .common import HASH, ID, row_key, written
-from .tokens import hashed_words, window_hashes
+from .common import HASH, ID, NO_ID, row_key, written
+from .tokens import hashed_words, mix64, window_hashes
 
 MIN_WORDS = 50
 ANCHOR_WORDS = 12
-#: Candidate words for one shard, on average.
-SHARD_WORDS = 65_536
+#: Candidate words for one shard, on average, and of one owner at most: beyond that windows are compared by hashes.
+SHARD_WORDS, OWNER_WORDS = 65_536, 1_048_576
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -140,22 +141,49 @@ def _shards(min_words: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, anchor_words: int = ANCHOR_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
+def _windows(min_words: int):
+    """Two hashes of each window of the stretches, with the place of its first word."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words = np.frombuffer(batch.column(4)[i].as_py(), np.uint32).astype(np.uint64)
+                hashes = [window_hashes(w, min_words) for w in (words, mix64(words))]
+                n = len(hashes[0])
+                own = [pa.array(np.full(n, batch.column(k)[i].as_py(), np.int64)) for k in (1, 2)]
+                yield pa.RecordBatch.from_arrays([*(pa.array(h.view(np.int64)) for h in hashes), *own, pa.array((batch.column(3)[i].as_py() + np.arange(n)).astype(np.int32))], names=["w0", "w1", ID, HASH, "s"])
+
+    return run
+
+
+def _cuts_by_hash(rows: DataFrame, min_words: int) -> DataFrame:
+    """The cuts of stretches of any number: windows whose first holder is an earlier document."""
+    windows = written(rows.mapInArrow(_windows(min_words), f"w0 bigint, w1 bigint, {ID} bigint, {HASH} bigint, s int"), "windows")
+    row = F.struct(ID, HASH)
+    first = written(windows.groupBy("w0", "w1").agg(F.min(row).alias("first"), F.max(row).alias("last")).where("first <> last").drop("last"), "holders")
+    return windows.join(first, ["w0", "w1"]).where(row > F.col("first")).select(ID, HASH, "s", (F.col("s") + min_words).alias("e"))
+
+
+def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, anchor_words: int = ANCHOR_WORDS, shard_words: int = SHARD_WORDS, owner_words: int = OWNER_WORDS) -> DataFrame:
     """(row id, row hash, spans) of the rows with repeated passages; spans: word places (s, e), overlapping ones too."""
     keyed = docs.where("text is not null").select(*row_key(), "text")
-    marks = keyed.mapInArrow(_anchor_rows(min_words, anchor_words), f"anchor bigint, {ID} bigint, {HASH} bigint, s int, e int")
-    one = Window.partitionBy("anchor")
-    row = F.struct(ID, HASH)
-    shared = marks.withColumns({"first": F.min(row).over(one), "last": F.max(row).over(one)}).where("first <> last")
-    shared = shared.select(ID, HASH, F.struct(F.xxhash64("first").alias("owner"), "s", "e").alias("p"))
-    places = shared.groupBy(ID, HASH).agg(F.collect_list("p").alias("places"))
+    marks = written(keyed.mapInArrow(_anchor_rows(min_words, anchor_words), f"anchor bigint, {ID} bigint, {HASH} bigint, s int, e int"), "anchors")
+    # anchors of several documents, with the earliest as owner; written, so that the join below can split a hot anchor
+    ends = marks.groupBy("anchor").agg(F.min(ID).alias("i"), F.max(ID).alias("j"), F.min(HASH).alias("k"), F.max(HASH).alias("l")).where("i <> j or k <> l")
+    owners = written(ends.select("anchor", F.when(F.col("i") == NO_ID, F.col("anchor")).otherwise(F.xxhash64("i")).alias("owner")), "owners")
+    shared = marks.join(owners, "anchor").select(ID, HASH, F.struct("owner", "s", "e").alias("p"))
+    places = written(shared.groupBy(ID, HASH).agg(F.collect_set("p").alias("places")), "places")
     looked = keyed.join(places, [ID, HASH]).select(ID, HASH, "text", "places")
     rows = written(looked.mapInArrow(_stretches, f"owner bigint, {ID} bigint, {HASH} bigint, s int, words binary"), "stretches")
+    sizes = rows.groupBy("owner").agg((F.sum(F.octet_length("words")) / 4).alias("n"))
+    hot = written(sizes.where(F.col("n") > owner_words).select("owner"), "hot")
     total = rows.agg(F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()[0] // 4
     shards = max(1, total // shard_words)
-    routed = rows.select(F.pmod("owner", F.lit(shards)).alias("shard"), ID, HASH, "s", "words")
+    routed = rows.join(hot, "owner", "left_anti").select(F.pmod("owner", F.lit(shards)).alias("shard"), ID, HASH, "s", "words")
     cuts = routed.groupBy("shard").applyInArrow(_shards(min_words), f"{ID} bigint, {HASH} bigint, s int, e int")
-    return cuts.groupBy(ID, HASH).agg(F.collect_list(F.struct("s", "e")).alias("__spans"))
+    if not hot.isEmpty():
+        cuts = cuts.unionByName(_cuts_by_hash(rows.join(hot, "owner", "left_semi"), min_words))
+    return cuts.groupBy(ID, HASH).agg(F.collect_set(F.struct("s", "e")).alias("__spans"))
 
 
 def _cut(text_at: int, spans_at: int):
@@ -185,7 +213,7 @@ def _cut(text_at: int, spans_at: int):
     return run
 
 
-def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS, anchor_words: int = ANCHOR_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
+def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS, anchor_words: int = ANCHOR_WORDS, shard_words: int = SHARD_WORDS, owner_words: int = OWNER_WORDS) -> DataFrame:
     """The rows of docs, all columns, with repeated passages cut from text and n_chars (if there) counted again.
 
     A word is cut, with the white space after it, when it lies in a run of `min_words` words that a row with a lesser
@@ -194,7 +222,7 @@ def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS, anchor_words: int =
     and rows that repeat id and text are the same document.  No row goes: a text may become empty.  Null and short
     texts stay as they are; extra columns go along; names starting with two underscores are reserved.
     """
-    spans = repeated_spans(docs, min_words, anchor_words, shard_words)
+    spans = written(repeated_spans(docs, min_words, anchor_words, shard_words, owner_words), "spans")
     joined = docs.select("*", *row_key()).join(spans, [ID, HASH], "left").select(*docs.columns, "__spans")
     names = joined.columns
     schema = joined.schema

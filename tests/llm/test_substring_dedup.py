@@ -40,8 +40,8 @@ def corpus(seed):
 
 def test_against_all_windows(documents):
     texts = corpus(1)
-    for n, anchor, shard in ((10, 3, 50), (12, 12, 10_000)):
-        got = {r["doc_id"]: r["text"] for r in substring_dedup.cut_repeats(documents(texts), n, anchor, shard).collect()}
+    for n, anchor, shard, owner in ((10, 3, 50, 10**6), (12, 12, 10_000, 0), (10, 2, 500, 300)):
+        got = {r["doc_id"]: r["text"] for r in substring_dedup.cut_repeats(documents(texts), n, anchor, shard, owner).collect()}
         assert [got[i] for i in range(len(texts))] == brute(list(enumerate(texts)), n)
 
 
@@ -57,6 +57,18 @@ def test_passages_of_fifty_words(documents):
     assert got[2]["text"] == texts[2] and got[3]["text"] == texts[3]
 
 
+def test_one_passage_in_every_document_and_a_very_long_text(documents):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    passage = " ".join(word() for _ in range(55))
+    own = [" ".join(word() for _ in range(rng.choice([3, 30]))) for _ in range(200)]
+    own[150] = " ".join(word() for _ in range(120_000))
+    texts = [f"{t} {passage} {t[::-1]}" for t in own]
+    for owner_words in (substring_dedup.OWNER_WORDS, 1000):
+        got = {r["doc_id"]: r["text"] for r in substring_dedup.cut_repeats(documents(texts), owner_words=owner_words).collect()}
+        assert got[0] == texts[0] and all(got[i] == f"{t} {t[::-1]}" for i, t in enumerate(own) if i)
+
+
 def test_nulls_ids_and_columns(documents):
     t = " ".join(f"w{i}" for i in range(20))
     rows = [(7, t), (None, t), (3, t), (3, t), (1, None), (2, ""), (5, t + " end")]
