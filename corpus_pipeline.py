@@ -1,7 +1,9 @@
 """A document corpus made ready for training: toxic documents, copies, near copies and repeated passages go, the rest is packed.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its rows are written as Parquet and reread as the next
-stage's docs.  All but the last return the columns of documents.
+stage's docs.  All but the last return the columns of documents; the last adds the tokens, bucket and batch of each
+document to them, texts included, in the order of buckets.  Extra columns go along.  An empty table passes through all
+stages; what each does with nulls, empty and very long texts and repeated rows stands in its function's docstring.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs)
+    return packing.pack(docs, keep=True)
 
 
 STAGES = [

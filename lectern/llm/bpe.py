@@ -219,6 +219,18 @@ def coder(path: str) -> Coder:
     return Coder(path)
 
 
+@lru_cache(maxsize=2)
+def counter(path: str = DEFAULT_VOCABULARY):
+    """A function from a text to the number of tokens that encode() gives it, by a compiled library: no ids are kept."""
+    import tiktoken
+
+    tokens, merges = vocabulary(path)
+    ranks = {t: i for i, t in enumerate(sorted(t for t in tokens.values() if len(t) == 1))}
+    ranks |= {tokens[merged]: len(ranks) + i for i, (_, _, merged) in enumerate(merges)}
+    coder = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return lambda text: len(coder.encode_ordinary(text))
+
+
 def encode(docs: DataFrame, path: str = DEFAULT_VOCABULARY) -> DataFrame:
     """(doc_id, tokens, n_tokens, same) of each row: the token ids of the whole text, and whether decoding gives it back.
 

@@ -3,21 +3,17 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import bpe
 from .common import written
 
 BUCKETS = 8
 #: Tokens of a batch, padding included; a document longer than that is a batch of its own.
 TOKEN_BUDGET = 16_384
-#: Ids whose rows are ranked together before the counts of lesser ids are added.
-ID_SPAN = 4_096
-
-
-def token_count(text: Column) -> Column:
-    """Words parted by white space; null and empty texts have none."""
-    return F.coalesce(F.regexp_count(text, F.lit(r"[^\t\n\f\r ]+")), F.lit(0))
+ADDED = ("n_tokens", "bucket", "bucket_tokens", "batch")
 
 
 def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
@@ -60,50 +56,64 @@ def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]
     return out[::-1]
 
 
-def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET) -> DataFrame:
-    """(doc_id, n_tokens, bucket, bucket_tokens, batch) of each row.
+def _counted(path: str):
+    """Rows with the number of byte-level BPE tokens of the text in place of the text (column 0)."""
+
+    def run(batches):
+        count = bpe.counter(path)
+        for batch in batches:
+            n = [count(t) if t else 0 for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64()), *batch.columns[1:]], names=["n_tokens", *batch.schema.names[1:]])
+
+    return run
+
+
+def _ranked(batches):
+    """Rows with their place in their bucket among the rows of this task, which are sorted by bucket."""
+    last, done = None, 0
+    for batch in batches:
+        bucket = np.asarray(batch.column(0))
+        if not len(bucket):
+            continue
+        first = np.concatenate([[True], bucket[1:] != bucket[:-1]])
+        start = np.flatnonzero(first)[np.cumsum(first) - 1]
+        rank = np.arange(len(bucket)) - start + np.where((start == 0) & (bucket == last), done, 0)
+        last, done = bucket[-1], int(rank[-1]) + 1
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rank, pa.int64())], names=[*batch.schema.names, "rank"])
+
+
+def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET, keep: bool = False, path: str = bpe.DEFAULT_VOCABULARY) -> DataFrame:
+    """(doc_id, n_tokens, bucket, bucket_tokens, batch) of each row; with `keep` after the columns of docs, texts too.
+
+    n_tokens counts the byte-level BPE tokens of the whole text.  Bucket boundaries come from the histogram of all rows'
+    counts (one row for each distinct length reaches the driver).  In each bucket rows are taken in the order of doc_id,
+    nulls last; `budget // bucket_tokens` of them, one at least, make a batch.  Batches are numbered from 0 in each
+    bucket.  Null and empty texts have no tokens and go to the first bucket with the rest.  Repeated rows are packed
+    each; rows with one id are in the order of their length, then of a hash of the text.  Without `keep` extra columns
+    are ignored; with it they go along, except those that have the name of an added one.  An empty table gives an empty
+    result.
 
-    Bucket boundaries come from the histogram of the token counts of all rows (one row for each distinct length reaches
-    the driver).  In each bucket rows are taken in the order of doc_id, nulls last; `budget // bucket_tokens` of them,
-    one at least, make a batch.  Batches are numbered from 0 in each bucket.  Null, empty and blank texts have no tokens
-    and go to the first bucket with the rest.  Repeated rows are packed each; rows with one id are in the order of their
-    length.  Extra columns are ignored; an empty table gives an empty result.
+    One range shuffle puts rows in order, with all they carry; ties are parted by a number for each row, so that an id
+    of very many rows is no one task's.  Places in a task are raised by the rows of the tasks before it.
     """
-    # two numbers a row, written once: the texts are read for their lengths and never again
-    sized = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), token_count(F.col("text")).alias("n_tokens")), "lengths")
+    names = [c for c in docs.columns if c not in ADDED] if keep else ["doc_id"]
+    carried = F.struct(*(F.col(f"`{c}`") for c in names)).alias("row")
+    given = docs.select(F.col("text").alias("t"), F.col("doc_id").cast("long").alias("i"), F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("u"), carried)
+    kind = given.schema["row"].dataType.simpleString()
+    sized = written(given.mapInArrow(_counted(path), f"n_tokens bigint, i bigint, h bigint, u bigint, row {kind}"), "lengths")
     histogram = sized.groupBy("n_tokens").count().orderBy("n_tokens").collect()
     tops = boundaries([r[0] for r in histogram], [r[1] for r in histogram], buckets)
-    edges = F.array(*[F.lit(t) for t in tops]) if tops else F.array(F.lit(0))
-    bucket = F.size(F.filter(edges, lambda t: t < F.col("n_tokens")))
-    placed = sized.withColumn("bucket", bucket).withColumn("bucket_tokens", F.element_at(edges, F.col("bucket") + 1))
-    # a rank over a whole bucket, without one task for it: ranks in spans of ids, plus the rows of lesser spans
-    span = F.coalesce(F.floor(F.col("doc_id") / ID_SPAN), F.lit((1 << 62))).alias("__span")
-    placed = placed.select("*", span)
-    within = F.row_number().over(Window.partitionBy("bucket", "__span").orderBy(F.col("doc_id").asc_nulls_last(), "n_tokens")) - 1
-    sizes = placed.groupBy("bucket", "__span").count()
-    before = sizes.select("bucket", "__span", (F.sum("count").over(Window.partitionBy("bucket").orderBy("__span")) - F.col("count")).alias("__before"))
-    ranked = placed.withColumn("__rank", within).join(before, ["bucket", "__span"])
-    room = F.greatest(F.floor(F.lit(budget) / F.greatest("bucket_tokens", F.lit(1))), F.lit(1))
-    batch = F.floor((F.col("__rank") + F.col("__before")) / room)
-    return ranked.select("doc_id", F.col("n_tokens").cast("long").alias("n_tokens"), F.col("bucket").cast("long").alias("bucket"), F.col("bucket_tokens").cast("long").alias("bucket_tokens"), batch.cast("long").alias("batch"))
-
-
-def oracle_sql(buckets: int = BUCKETS, budget: int = TOKEN_BUDGET) -> str:
-    """pack() over documents: the dynamic programme as one common table expression for each bucket."""
-    steps = ["d1 AS MATERIALIZED (SELECT j, len * docs AS cost, [len] AS tops FROM h)"]
-    for k in range(2, buckets + 1):
-        steps.append(
-            f"d{k} AS MATERIALIZED (SELECT b.j, min(a.cost + b.len * (b.docs - p.docs)) AS cost, list_append(arg_min(a.tops, a.cost + b.len * (b.docs - p.docs)), any_value(b.len)) AS tops "
-            f"FROM h b JOIN d{k - 1} a ON a.j < b.j JOIN h p ON p.j = a.j GROUP BY b.j)"
-        )
-    last = " UNION ALL ".join(f"SELECT cost, tops, {k} AS k FROM d{k} WHERE j = (SELECT max(j) FROM h)" for k in range(1, buckets + 1))
-    return f"""
-        WITH t AS MATERIALIZED (SELECT doc_id, CAST(coalesce(len(regexp_extract_all(text, '[^\\t\\n\\f\\r ]+')), 0) AS BIGINT) AS n_tokens FROM documents),
-        g AS (SELECT n_tokens AS len, count(*) AS n FROM t GROUP BY 1),
-        h AS MATERIALIZED (SELECT row_number() OVER (ORDER BY len) AS j, len, CAST(sum(n) OVER (ORDER BY len) AS BIGINT) AS docs FROM g),
-        {", ".join(steps)},
-        best AS MATERIALIZED (SELECT tops FROM ({last}) ORDER BY cost, k LIMIT 1),
-        p AS (SELECT doc_id, n_tokens, CAST(len(list_filter(tops, lambda x: x < n_tokens)) AS BIGINT) AS bucket, CAST(tops[len(list_filter(tops, lambda x: x < n_tokens)) + 1] AS BIGINT) AS bucket_tokens FROM t, best)
-        SELECT doc_id, n_tokens, bucket, bucket_tokens,
-               CAST((row_number() OVER (PARTITION BY bucket ORDER BY doc_id NULLS LAST, n_tokens) - 1) // greatest({budget} // greatest(bucket_tokens, 1), 1) AS BIGINT) AS batch
-        FROM p"""
+    edges = F.array(*[F.lit(t).cast("long") for t in tops]) if tops else F.array(F.lit(0).cast("long"))
+    bucket = F.size(F.filter(edges, lambda t: t < F.col("n_tokens"))).cast("long").alias("bucket")
+    order = ["bucket", F.col("i").asc_nulls_last(), "n_tokens", "h", "u"]
+    placed = sized.select(bucket, "n_tokens", "i", "h", "u", "row").repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = placed.select("bucket", "n_tokens", "row", F.spark_partition_id().alias("at"))
+    local = written(placed.mapInArrow(_ranked, f"bucket bigint, n_tokens bigint, row {kind}, at int, rank bigint"), "ranks")
+    # a row for each task and bucket, of which a task of the sort has few: small enough for a broadcast
+    sizes = local.groupBy("bucket", "at").agg(F.count("*").alias("n"))
+    before = sizes.select("bucket", "at", (F.sum("n").over(Window.partitionBy("bucket").orderBy("at")) - F.col("n")).alias("before"))
+    top = F.element_at(edges, (F.col("bucket") + 1).cast("int"))
+    room = F.greatest(F.floor(F.lit(budget) / F.greatest(top, F.lit(1))), F.lit(1))
+    batch = F.floor((F.col("rank") + F.col("before")) / room).cast("long").alias("batch")
+    own = [F.col("row")[c].alias(c) for c in names] if keep else [F.col("row.doc_id").cast("long").alias("doc_id")]
+    return local.join(F.broadcast(before), ["bucket", "at"]).select(*own, "n_tokens", "bucket", top.alias("bucket_tokens"), batch)

@@ -82,5 +82,4 @@ def oracle_sql() -> dict[str, str]:
         "op6_warc": """
             SELECT page_id, url, strlen(html) AS n_bytes, md5(html) AS md5 FROM pages""",
         "op9_topk": topk.oracle_sql(),
-        "op10_packing": packing.oracle_sql(),
     }

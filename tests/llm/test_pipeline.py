@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 
@@ -51,5 +52,24 @@ def test_stages_take_effect(spark, folder):
     assert sum(passage in (t or "") for t in cut.values()) == 1 and passage in cut[300]
     assert all(cut[i] == rows[i] for i in cut if i is None or not 300 < i < 304)
     packed = corpus_pipeline.run(spark, path)
-    assert sorted(r["doc_id"] or -1 for r in packed.collect()) == sorted(i or -1 for i in cut)
+    assert packed.columns == [*docs.columns, "n_tokens", "bucket", "bucket_tokens", "batch"]
+    assert {r["doc_id"]: r["text"] for r in packed.collect()} == cut and packed.count() == len(cut)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact dedup", "near dedup", "substring dedup", "packing"]
+
+
+def test_empty_tables_and_clashing_columns(spark, folder, tmp_path):
+    path, rows, _ = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    labels = spark.read.parquet(f"{path}/labels.parquet")
+    extra = {"root": F.lit("r"), "batch": F.lit("b"), "name": F.lit(1), "owner": F.lit(None).cast("int"), "toxic": F.lit(True), "row": F.array(F.lit(1)), "score": F.create_map(F.lit("k"), F.lit("v"))}
+    long = docs.limit(1).select(F.lit(9999).cast("long").alias("doc_id"), F.repeat(F.lit("lang wort "), 150_000).alias("text"), "lang", "source", F.lit(1_500_000).cast("long").alias("n_chars"))
+    for name, some in (("empty", docs.limit(0)), ("odd", docs.union(long).withColumns(extra))):
+        some.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels.limit(0).write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        got = corpus_pipeline.run(spark, f"{tmp_path}/{name}")
+        assert set(some.columns) | {"n_tokens", "bucket", "bucket_tokens", "batch"} == set(got.columns)
+        kept = {r["doc_id"]: r for r in got.collect()}
+        if name == "empty":
+            assert not kept
+        else:
+            assert 9999 in kept and set(range(60)) <= set(kept) and kept[9999]["root"] == "r" and kept[9999]["score"] == {"k": "v"}
