@@ -1,6 +1,11 @@
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from lectern.llm import url_filter as U
 
@@ -18,20 +23,85 @@ def urls(n, seed):
     return out
 
 
-def test_held_out_accuracy():
+def frame(spark, rows):
+    return spark.createDataFrame([(i, u, None, "s") for i, (u, _) in enumerate(rows)], SCHEMA)
+
+
+def test_held_out_accuracy(spark):
     train, held = urls(800, 1), urls(400, 2)
-    model = U.train([u for u, _ in train], np.array([b for _, b in train]))
-    p = model.probability(model.features([u for u, _ in held]))
-    assert ((p >= 0.5) == np.array([b for _, b in held], bool)).mean() > 0.95
-    again = U.train([u for u, _ in train], np.array([b for _, b in train]))
-    assert (again.probability(again.features([u for u, _ in held])) == p).all()
-
-
-def test_features():
-    f = dict(zip(U.FEATURES, U.lexical("https://a-b.c1.org/x/y.html?p=1&q=22#t"), strict=False))
-    assert f["depth"] == 2 and f["parameters"] == 2 and f["host_labels"] == 3 and f["host_hyphens"] == 1 and f["https"] and f["fragment"] and f["extension"]
-    assert f["digit_ratio"] == 4 / f["length"] and U.suffix("https://a-b.c1.org/x") == "org" and U.suffix("http://[bad") == ""
-    assert abs(U._entropy("aabb") - 1) < 1e-12
+    labels = spark.createDataFrame(train, "url string, bad int")
+    first, again = ([(r["score"], r["blocked"]) for r in U.score(frame(spark, held), U.learn(labels, labels)).orderBy("page_id").collect()] for _ in range(2))
+    assert first == again
+    assert np.mean([blocked == bool(b) for (_, blocked), (_, b) in zip(first, held, strict=True)]) > 0.95
+
+
+def by_hand(url):
+    """The lexical features in plain Python."""
+    m = re.match(r"(?s)(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://(?:[^/?#@]*@)?([^/?#:]*)(?::[^/?#]*)?)?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$", url)
+    scheme, host, path, query, fragment = (x or "" for x in m.groups())
+
+    def entropy(text):
+        n = Counter(text.encode())
+        return -sum(k / n.total() * math.log2(k / n.total()) for k in n.values())
+
+    digits = lambda text: sum(c.isdecimal() for c in text)
+    return [
+        len(url), len([x for x in path.split("/") if x]), digits(url) / max(1, len(url)), entropy(url), len([x for x in re.split("[&;]", query) if x]), len(query), len(host),
+        len([x for x in host.split(".") if x]), host.count("-"), digits(host), entropy(host), scheme.lower() == "https", fragment != "", bool(re.search(r"\.[A-Za-z0-9_]{1,5}$", path)),
+    ]
+
+
+ODD = ["https://a-b.c1.org/x/y.html?p=1&q=22#t", "", "plain", "http://[bad", "HTTPS://User:pw@Host.EXAMPLE.com:8080//a//b.php?&&x;y#", "http://[::1]:80/x", "é://ü.de/ß?٣=1", "mailto:x@y.z", "a\nb#c\nd", "http://x." * 50, "//no.scheme/p.q", "?only=query", "#f"]
+
+
+def test_features_against_plain_python():
+    some = ODD + [u for u, _ in urls(200, 5)]
+    got = U.lexical(pa.array(some))
+    for url, row in zip(some, got, strict=True):
+        assert np.allclose(row, by_hand(url)), url
+    assert np.allclose(U.lexical(pa.array([None, "x"], pa.string()))[0], by_hand(""))
+
+
+def test_suffixes(spark):
+    given = {"https://a-b.c1.org/x": "org", "http://[bad": "[bad", "http://u@a.Example.COM:80/?q": "com", "https://x.de.": "de", "https://localhost": "localhost", "no url": "", "": "", "http:///p": "", "https://a.io#f": "io"}
+    df = spark.createDataFrame([(k,) for k in given], "url string")
+    assert {r[0]: r[1] for r in df.select("url", U.suffix(F.col("url"))).collect()} == given
+
+
+def test_trees_against_every_split():
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.integers(0, 6, 90), rng.normal(size=90).round(1), rng.integers(0, 2, 90)]).astype(float)
+    bad = ((x[:, 0] > 2) ^ (x[:, 2] > 0)).astype(float)
+    model = U.train(x, bad, 3)
+    total = np.full(90, math.log(bad.mean() / (1 - bad.mean())))
+    binned = model.binned(x)
+    for t in range(3):
+        p = 1 / (1 + np.exp(-total))
+        g, h = p - bad, p * (1 - p)
+        worth = lambda rows, g=g, h=h: g[rows].sum() ** 2 / (h[rows].sum() + U.L2)
+        own = {0: np.arange(90)}
+        for node in range(2**U.DEPTH - 1):
+            rows = own[node]
+            gains = {(f, c): worth(rows[binned[rows, f] <= c]) + worth(rows[binned[rows, f] > c]) - worth(rows) for f in range(3) for c in range(U.BINS)}
+            f, c = int(model.feature[t, node]), int(model.cut[t, node])
+            best = max(gains.values())
+            assert best < 1e-9 or abs((gains[f, c] if c < U.BINS else 0.0) - best) < 1e-9
+            own[2 * node + 1], own[2 * node + 2] = rows[binned[rows, f] <= c], rows[binned[rows, f] > c]
+        for leaf in range(2**U.DEPTH):
+            rows = own[2**U.DEPTH - 1 + leaf]
+            value = -U.RATE * g[rows].sum() / (h[rows].sum() + U.L2)
+            assert abs(model.leaf[t, leaf] - value) < 1e-9
+            total[rows] += value
+    assert np.allclose(model.probability(x), 1 / (1 + np.exp(-total)))
+
+
+def test_suffix_statistics_are_of_all_labels_and_out_of_fold(spark):
+    rows = [(f"https://h{i}.com/", 0) for i in range(300)] + [(f"https://h{i}.rare/", 1) for i in range(3)] + [("https://h0.rare/", 0)]
+    labels = spark.createDataFrame(rows, "url string, bad int")
+    model = U.learn(labels, labels, 50)
+    got = {r["suffix"]: r for r in model.suffixes.collect()}
+    assert abs(got["rare"]["suffix_share"] - 3 / 303) < 1e-12 and abs(got["rare"]["suffix_rate"] - (3 + 20 * 3 / 303) / 23) < 1e-12
+    assert abs(model.rate - 3 / 303) < 1e-12
 
 
 def test_edges(spark):
