@@ -8,6 +8,7 @@ Scoring normalises over the whole vocabulary with batched matrix products.
 Words without a vector of their own are predicted together, as number 0, and then told apart: a word that the corpus
 has LEAST times or more has its own share of them, and all others are spelt byte by byte.  So the list of words grows
 with the corpus, and every word has a likelihood of its own; only the words with vectors are as many for any input.
+The list is sent to the tasks up to LISTED_WORDS words; a longer one stays a table that the words of texts are joined to.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ from .tokens import fold_case, hashed_words
 VOCABULARY, DIMENSION, ROUNDS = 2048, 32, 2
 #: How often a word without a vector must occur to have its own share; rarer words are spelt.
 LEAST = 5
+#: Words of the list, of 12 bytes each, that are sent to every task at most.
+LISTED_WORDS = 4_000_000
 BATCH, NOISE, STEP = 2048, 64, 0.3
-_BLOCKS = 64
+_BLOCKS, _TOGETHER = 64, 256
 
 
 def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,8 +90,9 @@ class Spelling:
 class Model:
     """known: sorted word hashes and number_of: their numbers; share: each number's share of all words.
 
-    tail: sorted hashes of the words of number 0 that have their own share of it, whose logarithms are tail_share; rare:
-    the logarithm of what is left for all other words; spelling: how those are told apart, None if the corpus has none.
+    tail: sorted hashes of the words of number 0 that have their own share of it, whose logarithms are tail_share; where
+    they are too many, listed is a table (word, share) of them; rare: the logarithm of what is left for all other words;
+    spelling: how those are told apart, None if the corpus has none.
     """
 
     known: np.ndarray
@@ -100,6 +104,7 @@ class Model:
     tail_share: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
     rare: float = 0.0
     spelling: Spelling | None = None
+    listed: DataFrame | None = None
 
     @property
     def size(self) -> int:
@@ -162,19 +167,12 @@ def start(hashes: list[int], counts: list[int], total: int, dimension: int = DIM
 
 def _gather(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ids and the sum of their rows."""
-    order = np.argsort(ids, kind="stable")
+    order = np.argsort(ids.astype(np.uint16) if ids.max(initial=0) < 65_536 else ids, kind="stable")  # two bytes are sorted by radix
     ids = ids[order]
     first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
     return ids[first], np.add.reduceat(rows[order], first, axis=0)
 
 
-def with_tail(model: Model, hashes: np.ndarray, counts: np.ndarray, unknown: int) -> Model:
-    """The model with the words of number 0 that have their own share of its `unknown` words; one more is kept for rare words."""
-    order = np.argsort(hashes)
-    rare = unknown - int(counts.sum()) + 1
-    return replace(model, tail=hashes[order], tail_share=np.log(counts[order] / (unknown + 1)).astype(np.float32), rare=float(np.log(rare / (unknown + 1))))
-
-
 class Trainer:
     """Minibatches of noise-contrastive estimation with steps scaled by past gradients."""
 
@@ -191,13 +189,15 @@ class Trainer:
         context, place, word, bias = self.model.parts(self.flat)
         p_context, p_place, p_word, p_bias = self.model.parts(self.past)
         noise = np.minimum(np.searchsorted(self.edges, self.rng.random(NOISE)), self.model.size - 1)
-        r1, r2, q = context[one], context[two], word[target]
-        predicted = r1 @ place[0] + r2 @ place[1]
+        d = self.model.dimension
+        before, q, others_word = np.concatenate([context[one], context[two]], axis=1), word[target], word[noise]
+        both = place.reshape(2 * d, d)  # the two places' matrices, one above the other
+        predicted = before @ both
         score = np.einsum("ij,ij->i", predicted, q) + bias[target] - self.log_noise[target]
-        others = predicted @ word[noise].T + (bias[noise] - self.log_noise[noise])
+        others = predicted @ others_word.T + (bias[noise] - self.log_noise[noise])
         g = -1 / (1 + np.exp(np.clip(score, -30, 30)))  # of the loss, by the target's score
-        h = 1 / (1 + np.exp(-np.clip(others, -30, 30)))  # by each noise word's
-        back = g[:, None] * q + h @ word[noise]
+        h = 1 / (1 + np.exp(-np.clip(others, -30, 30, out=others)))  # by each noise word's
+        back = g[:, None] * q + h @ others_word
         scale = np.float32(1 / len(target))
 
         def step(values, past, at, gradient):
@@ -205,14 +205,18 @@ class Trainer:
             past[at] += gradient * gradient
             values[at] -= np.float32(STEP) * gradient / np.sqrt(past[at])
 
-        ids, rows = _gather(np.concatenate([target, noise]), np.concatenate([g[:, None] * predicted, h.T @ predicted]))
-        _, down = _gather(np.concatenate([target, noise]), np.concatenate([g, h.sum(axis=0)])[:, None])
-        by_place = np.stack([r1.T @ back, r2.T @ back])
-        before, rows_c = _gather(np.concatenate([one, two]), np.concatenate([back @ place[0].T, back @ place[1].T]))
-        step(word, p_word, ids, rows)
-        step(bias, p_bias, ids, down[:, 0])
+        rows = np.empty((len(target) + NOISE, d + 1), np.float32)  # of word vectors, with those of biases in the last column
+        np.multiply(g[:, None], predicted, out=rows[: len(target), :d])
+        rows[: len(target), d] = g
+        rows[len(target) :, :d], rows[len(target) :, d] = h.T @ predicted, h.sum(axis=0)
+        ids, rows = _gather(np.concatenate([target, noise]), rows)
+        by_place = (before.T @ back).reshape(2, d, d)
+        by_context = back @ both.T
+        contexts, by_context = _gather(np.concatenate([one, two]), np.concatenate([by_context[:, :d], by_context[:, d:]]))
+        step(word, p_word, ids, rows[:, :d])
+        step(bias, p_bias, ids, rows[:, d])
         step(place, p_place, slice(None), by_place)
-        step(context, p_context, before, rows_c)
+        step(context, p_context, contexts, by_context)
         self.words += len(target)
 
     def text(self, hashes: np.ndarray, bounds: np.ndarray) -> None:
@@ -223,33 +227,36 @@ class Trainer:
             self.learn(one[to], two[to], numbers[to])
 
     def spell(self, hashes: np.ndarray, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        """Count the spellings of the words that are in no list."""
-        zero = np.flatnonzero(self.model.numbers(hashes) == 0)
-        rare = zero[self.model.tail_places(hashes[zero]) < 0]
-        if len(rare):
-            codes, counts = np.unique(spelt(text, starts[rare], ends[rare])[0], return_counts=True)
+        """Count the spellings of the distinct words of number 0."""
+        words = np.unique(hashes, return_index=True)[1]
+        words = words[self.model.numbers(hashes[words]) == 0]
+        if len(words):
+            codes, counts = np.unique(spelt(text, starts[words], ends[words])[0], return_counts=True)
             self.codes, self.counts = _summed(np.concatenate([self.codes, codes]), np.concatenate([self.counts, counts]))
 
 
 class Scorer:
-    """Normalised log-probabilities; the normaliser of each pair of context words is computed once and kept."""
+    """Normalised log-probabilities.
+
+    A score is a sum of what each of the two context words gives, so its exponential is a product, and the sums over all
+    words for all pairs of context words are one matrix product.
+    """
 
     def __init__(self, model: Model) -> None:
         self.model = model
         context, place, self.word, self.bias = model.parts(model.parameters)
         self.first, self.second = context @ place[0], context @ place[1]
-        self.kept = np.full((model.size + 1) ** 2, np.nan, np.float32)
+        a, b = self.first @ self.word.T, self.second @ self.word.T + self.bias
+        most_a, most_b = a.max(axis=1), b.max(axis=1)
+        sums = np.exp(a - most_a[:, None]) @ np.exp(b - most_b[:, None]).T
+        with np.errstate(divide="ignore"):
+            self.norm = np.log(sums) + most_a[:, None] + most_b
+        for i, j in zip(*np.nonzero(sums < 1e-25), strict=True):  # too small for the product: summed apart
+            s = a[i] + b[j]
+            self.norm[i, j] = s.max() + np.log(np.exp(s - s.max()).sum())
 
     def normalisers(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        pair = one.astype(np.int64) * (self.model.size + 1) + two
-        new = np.unique(pair[np.isnan(self.kept[pair])])
-        for i in range(0, len(new), 1024):
-            some = new[i : i + 1024]
-            scores = (self.first[some // (self.model.size + 1)] + self.second[some % (self.model.size + 1)]) @ self.word.T + self.bias
-            top = scores.max(axis=1)
-            scores -= top[:, None]
-            self.kept[some] = top + np.log(np.exp(scores, out=scores).sum(axis=1))
-        return self.kept[pair]
+        return self.norm[one, two]
 
     def log_probabilities(self, numbers: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         one, two = self.model.contexts(numbers, bounds)
@@ -272,21 +279,35 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.where("text is not null").select("text").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, vocabulary: int = VOCABULARY, dimension: int = DIMENSION, rounds: int = ROUNDS, batch: int = BATCH) -> Model:
-    """A model of all words of all texts: counts first, then `rounds` passes of training and averaging."""
+def train(docs: DataFrame, vocabulary: int = VOCABULARY, dimension: int = DIMENSION, rounds: int = ROUNDS, batch: int = BATCH, listed_words: int = LISTED_WORDS) -> Model:
+    """A model of all words of all texts: counts first, then `rounds` passes of training and averaging.
+
+    Null texts and texts without a word teach nothing; repeated rows count each.  Of an empty table comes a model of one
+    class of words, whose spelling is unknown.
+    """
     spark = docs.sparkSession
     counts = written(word_counts(docs), "words")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     top = counts.orderBy(F.desc("n"), "word").limit(vocabulary - 1).collect()  # as many as the vocabulary has words
     model = start([r["word"] for r in top], [r["n"] for r in top], total, dimension)
-    more = counts.where(F.col("n") >= LEAST).toArrow()  # 16 bytes a word; as many as the corpus has
-    hashes, n = (np.asarray(more[k].combine_chunks()) for k in ("word", "n"))
-    own = ~np.isin(hashes.view(np.uint64), model.known)
-    model = with_tail(model, hashes.view(np.uint64)[own], n[own], total - sum(r["n"] for r in top))
+    unknown = total - sum(r["n"] for r in top)
+    if len(top) == vocabulary - 1:  # else every word has a vector
+        last_n, last_word = top[-1]["n"], top[-1]["word"]
+        listed = counts.where((F.col("n") >= LEAST) & ((F.col("n") < last_n) | (F.col("n") == last_n) & (F.col("word") > last_word)))
+        listed = listed.select("word", "n", F.log(F.col("n") / F.lit(unknown + 1)).cast("float").alias("share"))
+        size, has = listed.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        model = replace(model, rare=float(np.log((unknown - has + 1) / (unknown + 1))))
+        if size > listed_words:
+            model = replace(model, listed=written(listed.select("word", "share"), "listed"))
+        else:
+            rows = listed.orderBy("word").toArrow()  # `listed_words` of 16 bytes at most
+            hashes = np.asarray(rows["word"].combine_chunks()).view(np.uint64)
+            order = np.argsort(hashes)
+            model = replace(model, tail=hashes[order], tail_share=np.asarray(rows["share"].combine_chunks())[order])
     texts = docs.where("text is not null").select("text")
     for k in range(rounds if total else 0):
-        # the first round also needs the tail, 12 bytes a word; the rest is set by vocabulary and dimension alone
-        sent = spark.sparkContext.broadcast(model if k == 0 else replace(model, tail=model.tail[:0], tail_share=model.tail_share[:0], spelling=None))
+        # the size of what is sent is set by vocabulary and dimension alone
+        sent = spark.sparkContext.broadcast(replace(model, tail=model.tail[:0], tail_share=model.tail_share[:0], spelling=None, listed=None))
 
         def learn(batches, k=k, sent=sent):
             from pyspark import TaskContext
@@ -306,17 +327,21 @@ def train(docs: DataFrame, vocabulary: int = VOCABULARY, dimension: int = DIMENS
                 yield pa.RecordBatch.from_arrays([pa.array(list(bodies), pa.int32()), pa.array([at] * len(bodies), pa.int32()), pa.array([trainer.words] * len(bodies), pa.int64()), pa.array([b.tobytes() for b in bodies.values()], pa.binary())], names=["block", "at", "words", "body"])
 
         def average(table: pa.Table) -> pa.Table:
-            if table["block"][0].as_py() >= _BLOCKS:  # counts of spellings are summed
-                codes, counts = np.concatenate([np.frombuffer(b.as_buffer(), np.int64).reshape(2, -1) for b in table["body"]], axis=1)
-                return pa.table({"block": table["block"][:1], "body": pa.array([np.stack(_summed(codes, counts)).tobytes()], pa.binary())})
+            """Of bodies of one block: parameters are averaged by words, counts of spellings are summed."""
             table = table.sort_by("at")
+            if table["block"][0].as_py() >= _BLOCKS:
+                codes, counts = np.concatenate([np.frombuffer(b.as_buffer(), np.int64).reshape(2, -1) for b in table["body"]], axis=1)
+                return pa.table({"block": table["block"][:1], "at": table["at"][:1], "words": table["words"][:1], "body": pa.array([np.stack(_summed(codes, counts)).tobytes()], pa.binary())})
             total, words = 0.0, 0
             for n, body in zip(table["words"].to_pylist(), table["body"], strict=True):
                 total, words = total + n * np.frombuffer(body.as_buffer(), np.float32).astype(float), words + n
-            return pa.table({"block": table["block"][:1], "body": pa.array([(total / words).astype(np.float32).tobytes()], pa.binary())})
+            return pa.table({"block": table["block"][:1], "at": table["at"][:1], "words": pa.array([words], pa.int64()), "body": pa.array([(total / words).astype(np.float32).tobytes()], pa.binary())})
 
-        learned = texts.mapInArrow(learn, "block int, at int, words bigint, body binary")
-        blocks = learned.groupBy("block").applyInArrow(average, "block int, body binary").orderBy("block").collect()
+        schema = "block int, at int, words bigint, body binary"
+        learned = texts.mapInArrow(learn, schema)
+        # two steps, so that no task holds the parameters of all partitions
+        some = learned.groupBy("block", F.floor(F.col("at") / _TOGETHER)).applyInArrow(average, schema)
+        blocks = some.groupBy("block").applyInArrow(average, schema).orderBy("block").collect()
         model = replace(model, parameters=np.concatenate([np.frombuffer(b["body"], np.float32) for b in blocks if b["block"] < _BLOCKS]))
         if spellings := [np.frombuffer(b["body"], np.int64).reshape(2, -1) for b in blocks if b["block"] >= _BLOCKS]:
             codes, counts = np.concatenate(spellings, axis=1)
@@ -334,11 +359,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     log_probability is the sum over all words of the whole text, rounded to 4 places; n_unknown counts the words that
     are in no list of the model, which are scored by their spelling (as one word if the corpus of the model had no such
-    words, so that there was no spelling to learn); perplexity is exp(-log_probability / n_words).  Null texts have null counts and scores; texts without a word
-    have 0 words, log-probability 0 and a null perplexity.  Repeated rows are scored each; extra columns are ignored;
-    an empty table gives an empty result.
+    words, so that there was no spelling to learn); perplexity is exp(-log_probability / n_words).  Null texts have null
+    counts and scores; texts without a word have 0 words, log-probability 0 and a null perplexity.  Repeated rows are
+    scored each; extra columns are ignored; an empty table gives an empty result.
     """
-    sent, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    sent, name = docs.sparkSession.sparkContext.broadcast(replace(model, listed=None)), uuid.uuid4().hex
+    apart = model.listed is not None
 
     def run(batches):
         if name not in _SCORERS:  # a worker that is used again keeps its normalisers
@@ -348,19 +374,37 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             n = batch.num_rows
             words, unknown, total = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
+            open_words, open_spelt, open_count = [], [], np.zeros(n, np.int64)
             for first, hashes, bounds, starts, ends, text, _ in hashed_words(batch.column(1), fold=True):
                 numbers = scorer.model.numbers(hashes)
                 within, missing = scorer.model.within(numbers, hashes, text, starts, ends)
+                to = slice(first, first + len(bounds) - 1)
+                if apart:  # words of number 0 stay open: they are looked up in the table
+                    zero = np.flatnonzero(numbers == 0)
+                    open_words.append(hashes[zero].view(np.int64))
+                    open_spelt.append(within[zero].astype(np.float32))
+                    open_count[to] = np.diff(np.searchsorted(zero, bounds))
+                    within[zero], missing[zero] = 0, False
                 sums = np.concatenate([[0], np.cumsum(scorer.log_probabilities(numbers, bounds) + within)])
                 missing = np.concatenate([[0], np.cumsum(missing)])
-                to = slice(first, first + len(bounds) - 1)
                 words[to], unknown[to], total[to] = np.diff(bounds), np.diff(missing[bounds]), np.diff(sums[bounds])
             null = np.asarray(batch.column(1).is_null())
-            with np.errstate(divide="ignore", invalid="ignore"):
-                perplexity = np.exp(-total / words)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(words, mask=null), pa.array(unknown, mask=null), pa.array(np.round(total, 4), mask=null), pa.array(np.round(perplexity, 4), mask=null | (words == 0))],
-                names=["doc_id", "n_words", "n_unknown", "log_probability", "perplexity"],
-            )
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, n_words bigint, n_unknown bigint, log_probability double, perplexity double")
+            columns = [batch.column(0), pa.array(words, mask=null), pa.array(unknown, mask=null), pa.array(total, mask=null)]
+            if apart:
+                at = pa.array(np.concatenate([[0], np.cumsum(open_count)]).astype(np.int32))
+                lists = ((np.concatenate(x) if x else np.zeros(0, t)) for x, t in ((open_words, np.int64), (open_spelt, np.float32)))
+                columns += [batch.column(2), *(pa.ListArray.from_arrays(at, pa.array(x)) for x in lists)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_unknown", "total", "u", "open", "spelt"][: len(columns)])
+
+    schema = "doc_id bigint, n_words bigint, n_unknown bigint, total double"
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if apart:
+        scored = written(rows.withColumn("u", F.monotonically_increasing_id()).mapInArrow(run, schema + ", u bigint, open array<bigint>, spelt array<float>"), "scored")
+        found = scored.select("u", F.explode(F.arrays_zip("open", "spelt")).alias("x")).select("u", F.col("x.open").alias("word"), F.col("x.spelt").cast("double").alias("spelt"))
+        found = found.join(model.listed, "word", "left").groupBy("u").agg(F.sum(F.coalesce(F.col("share").cast("double"), "spelt")).alias("more"), F.count_if(F.col("share").isNull()).alias("missing"))
+        scored = scored.drop("open", "spelt").join(found, "u", "left")
+        scored = scored.select("doc_id", "n_words", F.coalesce(F.col("missing") + F.col("n_unknown"), "n_unknown").alias("n_unknown"), F.coalesce(F.col("total") + F.col("more"), "total").alias("total"))
+    else:
+        scored = rows.mapInArrow(run, schema)
+    perplexity = F.when(F.col("n_words") > 0, F.round(F.exp(-F.col("total") / F.col("n_words")), 4))
+    return scored.select("doc_id", "n_words", "n_unknown", F.round("total", 4).alias("log_probability"), perplexity.alias("perplexity"))

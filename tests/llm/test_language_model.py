@@ -72,6 +72,49 @@ def test_words_without_a_vector_are_told_apart(documents):
     assert [r["n_unknown"] for r in rows] == [0, 0, 1, 1]
 
 
+def test_a_list_that_is_joined_scores_as_one_that_is_sent(documents):
+    texts = [*corpus(20, 6), "table " * 40, "chair " * 6, " ".join(f"station{i}" for i in range(300)), None, "", " ", "xqz table chair", "xqz table chair"]
+    sent, joined = (L.train(documents(texts), 8, 4, 1, listed_words=n) for n in (100, 0))
+    assert sent.listed is None and len(joined.tail) == 0 and joined.listed.count() == len(sent.tail) > 2
+    odd = documents([(i, t) for i, t in enumerate(texts)] + [(None, "chair never"), (3, "x " * 50_000)])
+    a, b = (L.score(odd, m).orderBy("doc_id", "n_words").collect() for m in (sent, joined))
+    for x, y in zip(a, b, strict=True):
+        assert x[:3] == y[:3] and (x[3] is None) == (y[3] is None) and (x[4] is None) == (y[4] is None)
+        assert x[3] is None or abs(x[3] - y[3]) <= 2e-4 + 1e-6 * abs(x[3])
+
+
+def test_normalisers_of_far_apart_scores():
+    model = L.start([5, 9, 11], [4, 3, 2], 12, 2)
+    context, place, word, bias = model.parts(model.parameters)
+    context[:], word[:] = np.array([[60, 0], [0, 60], [1, 1], [-60, 60], [0, 0]]), np.array([[3, -3], [-3, 3], [0, 0], [2, 2]])
+    scorer = L.Scorer(model)
+    for a in range(5):
+        for b in range(5):
+            s = (scorer.first[a] + scorer.second[b]).astype(float) @ word.T + bias
+            assert abs(scorer.norm[a, b] - (s.max() + np.log(np.exp(s - s.max()).sum()))) < 1e-3
+
+
+def test_scores_against_a_version_word_by_word(documents):
+    texts = [*corpus(12, 8), "table " * 9 + "desk " * 7 + "lamp5 lamp6 Lampé"]
+    model = L.train(documents(texts), 12, 4, 1)
+    context, place, word, bias = (x.astype(float) for x in model.parts(model.parameters))
+    got = {r["doc_id"]: r for r in L.score(documents(texts), model).collect()}
+    for i, text in enumerate(texts):
+        before, total, unknown = [model.size, model.size], 0.0, 0
+        for w in text.lower().split():
+            h = np.array([hash_of(w)], np.uint64)
+            n = int(model.numbers(h)[0])
+            s = (context[before[1]] @ place[0] + context[before[0]] @ place[1]) @ word.T + bias
+            total += s[n] - s.max() - np.log(np.exp(s - s.max()).sum())
+            if n == 0:
+                at = int(model.tail_places(h)[0])
+                raw = np.frombuffer(w.encode(), np.uint8)
+                total += model.tail_share[at] if at >= 0 else model.rare + float(model.spelling.log_probabilities(raw, np.array([0]), np.array([len(raw)]))[0])
+                unknown += at < 0
+            before = [before[1], n]
+        assert abs(got[i]["log_probability"] - total) < 1e-2 and got[i]["n_unknown"] == unknown
+
+
 def test_the_list_of_words_grows_with_the_corpus(documents):
     lists = [len(L.train(documents([" ".join(f"v{i}" for i in range(n))] * L.LEAST), 8, 4, 1).tail) for n in (100, 1000)]
     assert lists == [93, 993]
