@@ -15,6 +15,8 @@ LEVEL = ("teachers_elementary", "teachers_secondary")
 SPED = ("core_sped", "teachers_gened", "instructional_sped")
 MOST = 360
 NO_MINUTES = 360
+#: The school year that state requirements and the default stand for.
+REQUIRED_YEAR = "2023-24"
 
 
 def attention(minutes: Column, staff: Column, pupils: Column) -> Column:
@@ -65,16 +67,18 @@ def with_scopes(staff: DataFrame) -> DataFrame:
 def minutes_chain(bell: DataFrame, requirements: DataFrame, districts: DataFrame) -> DataFrame:
     """(district_id, minutes, minutes_source, minutes_year): the latest high, middle or elementary schedule with minutes, then the state's, then 360.
 
-    Only the latest row of a level is looked at; minutes of 0 count as missing.
+    Only the latest row of a level is looked at; minutes of 0 count as missing.  Years are text; what no schedule gives
+    is of REQUIRED_YEAR.
     """
     newest = latest_per_key(bell.where(F.col("grade_level").isin("high", "middle", "elementary")), ["district_id", "grade_level"], [F.desc("year"), "bell_id"])
     source = F.when(F.col("grade_level") == "high", "bell_schedule").otherwise(F.concat(F.lit("bell_schedule_"), "grade_level"))
-    found = F.struct("minutes", source.alias("source"), "year")
+    found = F.struct("minutes", source.alias("source"), F.col("year").cast("string").alias("year"))
+    fixed = F.lit(REQUIRED_YEAR).alias("year")
     by_level = newest.groupBy("district_id").pivot("grade_level", ["high", "middle", "elementary"]).agg(F.max(F.when(truthy(F.col("minutes")).isNotNull(), found)))
     state = requirements.select("state", F.coalesce(truthy(F.col("high")), F.col("fallback")).cast("long").alias("state_minutes"))
     both = districts.select("district_id", "state").join(by_level, "district_id", "left").join(F.broadcast(state), "state", "left")  # one row a state
-    required = F.when(F.col("state_minutes").isNotNull(), F.struct(F.col("state_minutes").alias("minutes"), F.lit("state_requirement").alias("source"), F.lit(None).cast("int").alias("year")))
-    default = F.struct(F.lit(NO_MINUTES).cast("long").alias("minutes"), F.lit("default").alias("source"), F.lit(None).cast("int").alias("year"))
+    required = F.when(F.col("state_minutes").isNotNull(), F.struct(F.col("state_minutes").alias("minutes"), F.lit("state_requirement").alias("source"), fixed))
+    default = F.struct(F.lit(NO_MINUTES).cast("long").alias("minutes"), F.lit("default").alias("source"), fixed)
     pick = F.coalesce("high", "middle", "elementary", required, default)
     return both.select("district_id", pick["minutes"].alias("minutes"), pick["source"].alias("minutes_source"), pick["year"].alias("minutes_year"))
 
@@ -99,7 +103,7 @@ def variant_rows(joined: DataFrame, with_sped: bool) -> DataFrame:
 
     def row(scope: str, staff_col: Column, pupils: Column, keep: Column | None = None, cap: bool = False) -> Column:
         value = F.bround(lct(staff_col, pupils), 2)
-        note = F.when(F.lit(cap) & (value > MOST), "WARN_CAPPED").otherwise("")
+        note = F.when(F.lit(cap) & (value > MOST), "WARN_SPED_RATIO_CAP").otherwise("")
         shown = F.when(value.isNotNull(), F.least(value, F.lit(float(MOST)))) if cap else value
         if keep is not None:
             shown = F.when(keep, shown)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,23 +16,76 @@ def flags(**rules: Column) -> Column:
     return F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]), lambda x: x.isNotNull())
 
 
+FLAGS = ("ERR_FLAT_STAFF", "ERR_IMPOSSIBLE_SSR", "ERR_RATIO_CEILING", "ERR_VOLATILE", "WARN_LCT_HIGH", "WARN_LCT_LOW", "WARN_SPED_RATIO_CAP")
+
+
 def safeguards(rows: DataFrame) -> DataFrame:
-    """Rows with a `flags` array: district-wide rules by a window over the district, others row by row."""
+    """Rows (district_id, scope, staff, pupils, lct, notes) with the flags that hold appended to their notes.
+
+    Flat staff and the ratio ceiling are a district's: they look at its staff in the five base scopes, where it has all
+    five, and are put on the rows of those scopes.  Scopes by level and of special education count other pupils than
+    kindergarten to grade 12, so small numbers of them are not called volatile.  Flags stand in the order of their names.
+    """
     own = Window.partitionBy("district_id")
-    base = F.when(F.col("scope").isin(*BASE), F.col("staff"))
-    value = lambda scope: F.max(F.when(F.col("scope") == scope, F.col("lct"))).over(own)
-    flat = (F.count(base).over(own) == len(BASE)) & (F.min(base).over(own) == F.max(base).over(own))
-    return rows.withColumn(
-        "flags",
-        flags(
-            ERR_FLAT_STAFF=flat,
-            ERR_RATIO_CEILING=F.abs(value("teachers_only") - value("all")) < 0.01,
-            ERR_IMPOSSIBLE_SSR=F.col("scope").isin(*BASE) & (F.col("staff") / F.col("pupils") > 0.5),
-            ERR_VOLATILE=F.col("pupils") < 50,
-            WARN_LCT_LOW=F.col("lct") < 5,
-            WARN_LCT_HIGH=(F.col("scope") == "teachers_only") & (F.col("lct") > 120),
-        ),
+    is_base = F.col("scope").isin(*BASE)
+    base = F.when(is_base, F.col("staff"))
+    staff_of = lambda scope: F.max(F.when(F.col("scope") == scope, F.col("staff"))).over(own)
+    whole = is_base & (F.count(F.when(is_base, 1)).over(own) >= len(BASE))
+    teachers, everyone = staff_of("teachers_only"), staff_of("all")
+    found = flags(
+        ERR_FLAT_STAFF=whole & (F.min(base).over(own) == F.max(base).over(own)),
+        ERR_IMPOSSIBLE_SSR=is_base & (F.col("pupils") > 0) & (F.col("staff") != 0) & (F.try_divide("staff", "pupils") > 0.5),
+        ERR_RATIO_CEILING=whole & (teachers > 0) & (everyone > 0) & (F.abs(teachers - everyone) < 0.01),
+        ERR_VOLATILE=is_base & (F.col("pupils") != 0) & (F.col("pupils") < 50),
+        WARN_LCT_HIGH=(F.col("scope") == "teachers_only") & (F.col("lct") > 120),
+        WARN_LCT_LOW=(F.col("lct") != 0) & (F.col("lct") < 5),
     )
+    return rows.withColumn("notes", F.concat_ws("; ", F.nullif("notes", F.lit("")), found))
+
+
+SCOPE_ORDER = ("teachers_only", "teachers_elementary", "teachers_secondary", "core_sped", "teachers_gened", "instructional_sped", "teachers_core", "instructional", "instructional_plus_support", "all")
+#: Scopes of which the first should have the lesser mean, by what the report calls the pair.
+ORDERED = {
+    "Secondary < Overall Teachers": ("teachers_secondary", "teachers_only"), "Teachers < Elementary": ("teachers_only", "teachers_elementary"), "Teachers < Core": ("teachers_only", "teachers_core"),
+    "Core < Instructional": ("teachers_core", "instructional"), "Instructional < Support": ("instructional", "instructional_plus_support"), "Support < All": ("instructional_plus_support", "all"),
+}
+
+
+def qa_report(rows: DataFrame, per_scope: int = 5, in_all: int = 20) -> DataFrame:
+    """(section, name, value, detail) of a run's rows (district_id, state, scope, lct, notes), flags among the notes.
+
+    data_quality: calculations, valid ones (above 0 and up to 360), pass rate, districts with notes; safeguards: rows
+    with each flag; scope_summary: figures of valid rows by scope; hierarchy: whether the means of scopes are ordered;
+    state_coverage; outliers: up to `per_scope` below 5 and above 200 in each scope, by district, `in_all` in the order
+    of scopes; overall_status: 1 unless a pair of scopes is out of order.  An empty run gives zeros and no scopes.
+    """
+    valid = rows.where("lct > 0 and lct <= 360")
+    entry = lambda section, name, value, detail=None: F.struct(F.lit(section).alias("section"), (name if isinstance(name, Column) else F.lit(name)).alias("name"), value.cast("double").alias("value"), (F.lit(None) if detail is None else detail).cast("string").alias("detail"))
+    is_valid = (F.col("lct") > 0) & (F.col("lct") <= 360)
+    flagged = {f: F.count_if(F.col("notes").contains(f)).alias(f) for f in FLAGS}
+    one = rows.agg(F.count("*").alias("n"), F.count_if(is_valid).alias("valid"), F.countDistinct(F.when(F.col("notes") != "", F.col("district_id"))).alias("noted"), F.countDistinct(F.when(is_valid, F.col("state"))).alias("states"), *flagged.values())
+    rate = F.when(F.col("n") > 0, F.round(F.col("valid") * 100 / F.col("n"), 2)).otherwise(0)
+    totals = [entry("data_quality", x, v) for x, v in (("total_calculations", F.col("n")), ("valid_calculations", F.col("valid")), ("invalid_calculations", F.col("n") - F.col("valid")), ("pass_rate", rate), ("districts_with_qa_notes", F.col("noted")))]
+    totals += [entry("safeguards", f, F.col(f)) for f in FLAGS] + [entry("state_coverage", "states_with_data", F.col("states"))]
+    # one row a scope, of which there are ten
+    r = lambda x: F.round(x, 2)
+    by_scope = valid.groupBy("scope").agg(F.countDistinct("district_id").alias("districts"), r(F.avg("lct")).alias("mean"), r(F.median("lct")).alias("median"), r(F.min("lct")).alias("min"), r(F.max("lct")).alias("max"))
+    figures = [entry("scope_summary", F.concat("scope", F.lit(f".{x}")), F.col(x)) for x in ("districts", "mean", "median", "min", "max")]
+    mean = {s: F.max(F.when(F.col("scope") == s, F.col("mean"))).alias(s) for pair in ORDERED.values() for s in pair}
+    means = by_scope.agg(*mean.values())
+    passed = {name: F.col(f"`{a}`") < F.col(f"`{b}`") for name, (a, b) in ORDERED.items()}
+    checks = [F.when(ok.isNotNull(), entry("hierarchy", name, ok.cast("int"))) for name, ok in passed.items()]
+    status = F.when(F.forall(F.array(*passed.values()), lambda x: F.coalesce(x, F.lit(True))), "PASS").otherwise("WARNING")
+    checks.append(entry("overall_status", "overall_status", (status == "PASS").cast("int"), status))
+    kind = F.when(F.col("lct") < 5, "low").when(F.col("lct") > 200, "high")
+    place = F.row_number().over(Window.partitionBy("scope", "kind").orderBy("district_id"))
+    order = F.array_position(F.array(*map(F.lit, SCOPE_ORDER)), F.col("scope"))
+    out = valid.select("scope", "district_id", "lct", kind.alias("kind")).where("kind is not null").withColumn("place", place).where(F.col("place") <= per_scope)
+    out = out.orderBy(order, F.desc("kind"), "place").limit(in_all)  # the report shows no more
+    issue = F.concat(F.when(F.col("kind") == "low", "Very low LCT: ").otherwise("Very high LCT: "), F.format_string("%.1f", F.bround("lct", 1)), F.lit(" min"))
+    outliers = entry("outliers", F.concat("scope", F.lit("."), "district_id"), F.col("lct"), F.concat(issue, F.when(F.col("kind") == "low", " (warning)").otherwise(" (info)")))
+    parts = [one.select(F.explode(F.array(*totals)).alias("e")), by_scope.select(F.explode(F.array(*figures)).alias("e")), means.select(F.explode(F.array_compact(F.array(*checks))).alias("e")), out.select(outliers.alias("e"))]
+    return reduce(DataFrame.unionByName, parts).select("e.*")
 
 
 def level_notes(elementary: Column, secondary: Column, staff_e: Column, staff_s: Column, pupils_e: Column, pupils_s: Column, total: Column) -> Column:
@@ -42,13 +97,6 @@ def level_notes(elementary: Column, secondary: Column, staff_e: Column, staff_s:
     )
 
 
-def hierarchy(summary: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """(lesser, greater, ok) for scope pairs: whether the lesser scope's mean is below the greater's."""
-    checks = summary.sparkSession.createDataFrame(pairs, "lesser string, greater string")
-    a, b = summary.select(F.col("scope").alias("lesser"), F.col("mean").alias("x")), summary.select(F.col("scope").alias("greater"), F.col("mean").alias("y"))
-    return checks.join(a, "lesser").join(b, "greater").select("lesser", "greater", (F.round("x", 2) < F.round("y", 2)).alias("ok"))
-
-
 def schedule_errors(start: Column, end: Column, minutes: Column, grade: Column) -> tuple[Column, Column]:
     """Errors and warnings of a daily schedule."""
     a, b = clock_minutes(start), clock_minutes(end)

@@ -27,7 +27,7 @@ def _rows_sql(rows: list[tuple[str, str, str, str]], source: str) -> str:
     for scope, s, n, kind in rows:
         v = even(s, n)
         shown = f"least({v}, 360.0)" if kind == "cap" else v
-        note = f"CASE WHEN ({v}) > 360 THEN 'WARN_CAPPED' ELSE '' END" if kind == "cap" else "''"
+        note = f"CASE WHEN ({v}) > 360 THEN 'WARN_SPED_RATIO_CAP' ELSE '' END" if kind == "cap" else "''"
         limit = f" AND minutes * CAST({s} AS DOUBLE) / {n} <= 360" if kind == "level" else ""
         parts.append(f"SELECT district_id, state, minutes, minutes_source, '{scope}' AS scope, CAST({s} AS DOUBLE) AS staff, CAST({n} AS DOUBLE) AS pupils, {shown} AS lct, {note} AS notes FROM {source} WHERE {s} > 0 AND {n} > 0{limit}")
     return " UNION ALL ".join(parts)
@@ -99,8 +99,7 @@ _MV = ("teachers_only", "teachers_core", "instructional", "all")
                FROM lastscopes s JOIN lastlevels l ON s.district_id = l.district_id) WHERE v IS NOT NULL AND pupils > 0)
     SELECT scope, count(*) AS n, round(avg(lct), 4) AS mean, round(quantile_cont(lct, 0.5), 4) AS median, round(stddev_samp(lct), 4) AS std, round(min(lct), 4) AS least, round(max(lct), 4) AS most FROM u WHERE lct > 0 AND lct <= 360 GROUP BY scope""")
 def _(t):
-    last = latest_per_key(levels(t), ["district_id"], [F.desc("year")]).select("district_id", c("k12").alias("pupils"))
-    wide = latest_scopes(t).join(last.where("pupils > 0"), "district_id")
+    wide = A.with_scopes(latest_wide(t)).withColumn("pupils", c("k12")).where("pupils > 0")  # one scan for staff and pupils
     long = unpivot_present(wide, ["district_id", "pupils"], list(_MV), "scope", "v").withColumn("lct", 360 * c("v") / c("pupils")).where("lct > 0 and lct <= 360")
     r = lambda x, n: F.round(x, 4).alias(n)
     return long.groupBy("scope").agg(F.count("*").alias("n"), r(F.avg("lct"), "mean"), r(F.percentile("lct", F.lit(0.5)), "median"), r(F.stddev_samp("lct"), "std"), r(F.min("lct"), "least"), r(F.max("lct"), "most"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import attention as A
 from ..operators import quality as D
 from ..operators.relational import absent, latest_per_key
+from ..sources.files import stored
 from .aggregations import latest_scopes, lct_rows
 from .joins import newest
 from .model import attempts, bell, counts, districts, enrollment, requirements
@@ -39,27 +40,50 @@ def _(t):
 
 _BASE = "(" + ", ".join(f"'{s}'" for s in A.BASE) + ")"
 share("flagged", f"""
-    SELECT district_id, scope, lct, {joined(("ERR_FLAT_STAFF", "flat"), ("ERR_RATIO_CEILING", "abs(t - a) < 0.01"), ("ERR_IMPOSSIBLE_SSR", f"scope IN {_BASE} AND staff / pupils > 0.5"), ("ERR_VOLATILE", "pupils < 50"), ("WARN_LCT_LOW", "lct < 5"), ("WARN_LCT_HIGH", "scope = 'teachers_only' AND lct > 120"))} AS flags
-    FROM (SELECT *, count(staff) FILTER (scope IN {_BASE}) OVER w = 5 AND min(staff) FILTER (scope IN {_BASE}) OVER w = max(staff) FILTER (scope IN {_BASE}) OVER w AS flat,
-                 max(lct) FILTER (scope = 'teachers_only') OVER w AS t, max(lct) FILTER (scope = 'all') OVER w AS a FROM lctrows WINDOW w AS (PARTITION BY district_id))""")
+    SELECT r.district_id, r.state, r.scope, r.lct, concat_ws('; ', nullif(r.notes, ''), {joined(
+        ("ERR_FLAT_STAFF", "r.scope = b.scope AND b.n >= 5 AND b.kinds = 1"), ("ERR_IMPOSSIBLE_SSR", "r.scope = b.scope AND r.staff / r.pupils > 0.5"),
+        ("ERR_RATIO_CEILING", "r.scope = b.scope AND b.n >= 5 AND b.t > 0 AND b.a > 0 AND abs(b.t - b.a) < 0.01"), ("ERR_VOLATILE", "r.scope = b.scope AND r.pupils < 50 AND r.pupils <> 0"),
+        ("WARN_LCT_HIGH", "r.scope = 'teachers_only' AND r.lct > 120"), ("WARN_LCT_LOW", "r.lct < 5 AND r.lct <> 0")).replace("concat_ws(',',", "nullif(concat_ws('; ',") + ", '')"}) AS notes
+    FROM lctsped r LEFT JOIN (
+        SELECT district_id, unnest([{_BASE[1:-1]}]) AS scope, n, kinds, t, a
+        FROM (SELECT district_id, count(*) AS n, count(DISTINCT staff) AS kinds, max(staff) FILTER (scope = 'teachers_only') AS t, max(staff) FILTER (scope = 'all') AS a FROM lctsped WHERE scope IN {_BASE} GROUP BY 1)) b
+      ON b.district_id = r.district_id AND b.scope = r.scope""")
 
 
 def flagged(t):
-    return D.safeguards(lct_rows(t)).withColumn("flags", F.concat_ws(",", "flags"))
+    return D.safeguards(lct_rows(t, with_sped=True))
 
 
-@query("dq_safeguards", "SELECT * FROM flagged")
+@query("dq_safeguards", "SELECT district_id, scope, lct, notes FROM flagged")
 def _(t):
-    return flagged(t).select("district_id", "scope", "lct", "flags")
+    return flagged(t).select("district_id", "scope", "lct", "notes")
 
 
-_PAIRS = [("teachers_only", "teachers_core"), ("teachers_core", "instructional"), ("instructional", "instructional_plus_support"), ("instructional_plus_support", "all"), ("teachers_only", "all"), ("teachers_elementary", "all")]
-_HIER = "WITH m AS (SELECT scope, round(avg(lct), 8) AS mean FROM lctrows GROUP BY 1) SELECT p.lesser, p.greater, round(a.mean, 2) < round(b.mean, 2) AS ok FROM (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in _PAIRS) + ") p(lesser, greater) JOIN m a ON a.scope = p.lesser JOIN m b ON b.scope = p.greater"
+_QA_FIGURES = " UNION ALL ".join(f"SELECT 'scope_summary', scope || '.{x}', CAST({x} AS DOUBLE), NULL FROM by_scope" for x in ("districts", "mean", "median", "min", "max"))
+_QA_PAIRS = ", ".join(f"('{name}', '{a}', '{b}')" for name, (a, b) in D.ORDERED.items())
+_QA = f"""
+    WITH f AS MATERIALIZED (SELECT * FROM flagged), v AS (SELECT * FROM f WHERE lct > 0 AND lct <= 360),
+    by_scope AS MATERIALIZED (SELECT scope, count(DISTINCT district_id) AS districts, round(avg(lct), 2) AS mean, round(median(lct), 2) AS median, round(min(lct), 2) AS min, round(max(lct), 2) AS max FROM v GROUP BY 1),
+    pairs AS (SELECT p.name, a.mean < b.mean AS ok FROM (VALUES {_QA_PAIRS}) p(name, lesser, greater) JOIN by_scope a ON a.scope = p.lesser JOIN by_scope b ON b.scope = p.greater),
+    odd AS (SELECT scope, district_id, lct, lct < 5 AS low, row_number() OVER (PARTITION BY scope, lct < 5 ORDER BY district_id) AS place FROM v WHERE lct < 5 OR lct > 200),
+    shown AS (SELECT * FROM odd WHERE place <= 5 ORDER BY list_position([{", ".join(f"'{s}'" for s in D.SCOPE_ORDER)}], scope), low DESC, place LIMIT 20)
+    SELECT 'data_quality' AS section, 'total_calculations' AS name, CAST(count(*) AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS detail FROM f
+    UNION ALL SELECT 'data_quality', 'valid_calculations', count(*), NULL FROM v
+    UNION ALL SELECT 'data_quality', 'invalid_calculations', (SELECT count(*) FROM f) - count(*), NULL FROM v
+    UNION ALL SELECT 'data_quality', 'pass_rate', round((SELECT count(*) FROM v) * 100 / count(*), 2), NULL FROM f
+    UNION ALL SELECT 'data_quality', 'districts_with_qa_notes', count(DISTINCT district_id), NULL FROM f WHERE notes <> ''
+    UNION ALL SELECT 'safeguards', flag, (SELECT count(*) FROM f WHERE contains(notes, flag)), NULL FROM (SELECT unnest([{", ".join(f"'{x}'" for x in D.FLAGS)}]) AS flag)
+    UNION ALL SELECT 'state_coverage', 'states_with_data', count(DISTINCT state), NULL FROM v
+    UNION ALL {_QA_FIGURES}
+    UNION ALL SELECT 'hierarchy', name, CAST(ok AS INTEGER), NULL FROM pairs
+    UNION ALL SELECT 'overall_status', 'overall_status', CAST(bool_and(ok) AS INTEGER), CASE WHEN bool_and(ok) THEN 'PASS' ELSE 'WARNING' END FROM pairs
+    UNION ALL SELECT 'outliers', scope || '.' || district_id, lct, CASE WHEN low THEN 'Very low LCT: ' ELSE 'Very high LCT: ' END || printf('%.1f', round_even(lct, 1)) || CASE WHEN low THEN ' min (warning)' ELSE ' min (info)' END FROM shown"""
 
 
-@query("dq_qa_report", _HIER)
+@query("dq_qa_report", _QA)
 def _(t):
-    return D.hierarchy(A.summary(lct_rows(t), "scope"), _PAIRS)
+    # the calculation is stored once, as every run's is, and each part of the report reads what it needs of it
+    return D.qa_report(stored(flagged(t).select("district_id", "state", "scope", "lct", "notes"), "run"))
 
 
 _SCHEDULES = [("8:00 AM", "3:00 PM", 400, "high"), ("5:00 AM", "3:00 PM", 400, "high"), ("8:00", "3:00 PM", 400, "middle"), ("3:00 PM", "8:00 AM", 300, "elementary"), ("8:00 AM", "2:00 PM", 250, "k8"), ("8:00 AM", "2:00 PM", 470, "high"), (None, None, None, None), ("9:00 AM", "6:30 PM", 380, "high")]

@@ -55,7 +55,7 @@ MINUTES_SQL = """
            coalesce(nullif(h.minutes, 0), nullif(m.minutes, 0), nullif(e.minutes, 0), CAST(coalesce(nullif(r.high, 0), r.fallback) AS BIGINT), 360) AS minutes,
            CASE WHEN nullif(h.minutes, 0) IS NOT NULL THEN 'bell_schedule' WHEN nullif(m.minutes, 0) IS NOT NULL THEN 'bell_schedule_middle' WHEN nullif(e.minutes, 0) IS NOT NULL THEN 'bell_schedule_elementary'
                 WHEN r.state IS NOT NULL THEN 'state_requirement' ELSE 'default' END AS minutes_source,
-           CASE WHEN nullif(h.minutes, 0) IS NOT NULL THEN h.year WHEN nullif(m.minutes, 0) IS NOT NULL THEN m.year WHEN nullif(e.minutes, 0) IS NOT NULL THEN e.year END AS minutes_year
+           coalesce(CAST(CASE WHEN nullif(h.minutes, 0) IS NOT NULL THEN h.year WHEN nullif(m.minutes, 0) IS NOT NULL THEN m.year WHEN nullif(e.minutes, 0) IS NOT NULL THEN e.year END AS VARCHAR), '2023-24') AS minutes_year
     FROM districts d
     LEFT JOIN lastbell h ON h.district_id = d.district_id AND h.grade_level = 'high' LEFT JOIN lastbell m ON m.district_id = d.district_id AND m.grade_level = 'middle'
     LEFT JOIN lastbell e ON e.district_id = d.district_id AND e.grade_level = 'elementary' LEFT JOIN requirements r ON r.state = d.state"""

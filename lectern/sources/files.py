@@ -19,6 +19,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows of df, computed once and read back from a table beside the checkpoints."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_delimited(spark: SparkSession, path: str | list[str], schema: str, sep: str = ",", encoding: str = "UTF-8", header: bool = True) -> DataFrame:
     """Delimited text with a pinned schema: identifiers stay strings, and no pass is spent on inference."""
     return spark.read.schema(schema).option("header", header).option("sep", sep).option("encoding", encoding).csv(path)

@@ -42,14 +42,32 @@ def test_scopes_of_all_categories(spark):
 
 
 def test_safeguards(spark):
-    cases = {"flat": ([100] * 5, 2000), "normal": ([100, 105, 118, 127, 169], 2000), "ssr": ([30, 31, 32, 33, 34], 50), "volatile": ([2, 2.1, 2.2, 2.3, 2.4], 49), "low": ([10, 11, 12, 13, 14], 2000), "four": ([100] * 4, 2000)}
-    rows = [(d, s, float(v), float(n), round(360 * v / n, 2)) for d, (staff, n) in cases.items() for s, v in zip(A.BASE, staff, strict=False)]
+    cases = {"flat": ([100] * 5, 2000), "normal": ([100, 105, 118, 127, 169], 2000), "ssr": ([30, 31, 32, 33, 34], 50), "volatile": ([2, 2.1, 2.2, 2.3, 2.4], 49), "low": ([10, 11, 12, 13, 14], 2000), "four": ([100] * 4, 2000), "ceiling": ([100, 105, 90, 95, 100.001], 2000), "rounded": ([2, 2.02, 2.03, 2.04, 2.05], 20_000)}
+    rows = [(d, s, float(v), float(n), round(360 * v / n, 2), "") for d, (staff, n) in cases.items() for s, v in zip(A.BASE, staff, strict=False)]
+    rows += [("flat", "teachers_secondary", 100.0, 900.0, 40.0, ""), ("volatile", "core_sped", 9.0, 10.0, 324.0, "WARN_SPED_RATIO_CAP"), ("volatile", "teachers_elementary", 1.0, 12.0, 30.0, "")]
     got = {}
-    for r in Q.safeguards(spark.createDataFrame(rows, "district_id string, scope string, staff double, pupils double, lct double")).collect():
-        got.setdefault(r["district_id"], {})[r["scope"]] = r["flags"]
-    assert all(f == ["ERR_FLAT_STAFF", "ERR_RATIO_CEILING"] for f in got["flat"].values()) and not any(got["normal"].values()) and not any(got["four"].values())
+    for r in Q.safeguards(spark.createDataFrame(rows, "district_id string, scope string, staff double, pupils double, lct double, notes string")).collect():
+        got.setdefault(r["district_id"], {})[r["scope"]] = r["notes"]
+    assert all(got["flat"][s] == "ERR_FLAT_STAFF; ERR_RATIO_CEILING" for s in A.BASE) and got["flat"]["teachers_secondary"] == ""
+    assert not any(got["normal"].values()) and not any(got["four"].values())
     assert all("ERR_IMPOSSIBLE_SSR" in f and "ERR_VOLATILE" not in f for f in got["ssr"].values()) and [s for s, f in got["ssr"].items() if "WARN_LCT_HIGH" in f] == ["teachers_only"]
-    assert all("ERR_VOLATILE" in f for f in got["volatile"].values()) and all(f == ["WARN_LCT_LOW"] for f in got["low"].values())
+    assert all("ERR_VOLATILE" in got["volatile"][s] for s in A.BASE) and got["volatile"]["core_sped"] == "WARN_SPED_RATIO_CAP" and got["volatile"]["teachers_elementary"] == ""
+    assert all(f == "WARN_LCT_LOW" for f in got["low"].values()) and all(f == "ERR_RATIO_CEILING" for f in got["ceiling"].values())
+    assert all(f == "WARN_LCT_LOW" for f in got["rounded"].values())  # few staff of many pupils round to one value: that isn't a ceiling
+
+
+def test_qa_report(spark):
+    rows = [(f"{i:03}", "A" if i % 2 else "B", s, 10.0 + k + i / 10, "") for i in range(8) for k, s in enumerate(A.BASE)]
+    rows += [(f"9{i}", "C", "all", 1.0 + i / 100, "WARN_LCT_LOW") for i in range(7)] + [("x", "D", "all", 500.0, "note")] + [(f"8{i}", "A", s, 250.0, "") for i in range(9) for s in ("teachers_only", "instructional")]
+    got = Q.qa_report(spark.createDataFrame(rows, "district_id string, state string, scope string, lct double, notes string")).collect()
+    by = {(r["section"], r["name"]): r for r in got}
+    assert by["data_quality", "total_calculations"]["value"] == 66 and by["data_quality", "pass_rate"]["value"] == 98.48 and by["data_quality", "districts_with_qa_notes"]["value"] == 8
+    assert by["safeguards", "WARN_LCT_LOW"]["value"] == 7 and by["state_coverage", "states_with_data"]["value"] == 3
+    assert by["hierarchy", "Teachers < Core"]["value"] == 0 and by["overall_status", "overall_status"]["detail"] == "WARNING" and ("hierarchy", "Teachers < Elementary") not in by
+    out = [(r["name"], r["detail"]) for r in got if r["section"] == "outliers"]
+    assert len(out) == 15 and out[0] == ("teachers_only.80", "Very high LCT: 250.0 min (info)") and out[-1] == ("all.94", "Very low LCT: 1.0 min (warning)")
+    empty = {(r["section"], r["name"]): r["value"] for r in Q.qa_report(spark.createDataFrame([], "district_id string, state string, scope string, lct double, notes string")).collect()}
+    assert empty["data_quality", "pass_rate"] == 0 and empty["overall_status", "overall_status"] == 1
 
 
 def test_special_education_estimates(spark):
@@ -69,7 +87,7 @@ def test_minutes_chain(spark):
     b = spark.createDataFrame([("1", "high", 390, 2024, 1), ("2", "middle", 375, 2023, 2), ("3", "high", 300, 2020, 3), ("3", "high", 0, 2024, 4), ("3", "elementary", 280, 2019, 5)], "district_id string, grade_level string, minutes bigint, year int, bell_id int")
     req = spark.createDataFrame([("A", 300, 310), ("B", 300, 310), ("C", 0, 330)], "state string, high int, fallback int")
     got = {r["district_id"]: tuple(r)[1:] for r in A.minutes_chain(b, req, d).collect()}
-    assert got == {"1": (390, "bell_schedule", 2024), "2": (375, "bell_schedule_middle", 2023), "3": (280, "bell_schedule_elementary", 2019), "4": (300, "state_requirement", None), "5": (330, "state_requirement", None), "6": (360, "default", None)}
+    assert got == {"1": (390, "bell_schedule", "2024"), "2": (375, "bell_schedule_middle", "2023"), "3": (280, "bell_schedule_elementary", "2019"), "4": (300, "state_requirement", "2023-24"), "5": (330, "state_requirement", "2023-24"), "6": (360, "default", "2023-24")}
 
 
 def _inputs(spark, sped=None):
@@ -91,7 +109,7 @@ def test_all_variants(spark):
 def test_special_education_is_capped_and_missing_stays_missing(spark):
     sped = spark.createDataFrame([("1", 2, 5, 6, 5, "medium"), ("4", 9, 9, 9, 1, "low")], "district_id string, self_contained bigint, sped_teachers bigint, sped_instructional bigint, gened_teachers bigint, confidence string")
     rows = {(r["district_id"], r["scope"]): r for r in _inputs(spark, sped).collect()}
-    assert rows["1", "core_sped"]["lct"] == 360.0 and rows["1", "core_sped"]["notes"] == "WARN_CAPPED"
+    assert rows["1", "core_sped"]["lct"] == 360.0 and rows["1", "core_sped"]["notes"] == "WARN_SPED_RATIO_CAP"
     assert ("4", "core_sped") not in rows and ("4", "instructional_sped") not in rows
     assert rows["1", "teachers_gened"]["pupils"] == 98
 
