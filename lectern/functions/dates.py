@@ -76,6 +76,17 @@ def normal_time(x: Column) -> Column:
     return F.when(hour.isNotNull(), F.trim(F.concat(hour.cast("string"), F.lit(":"), minute, F.lit(" "), half)))
 
 
+def marked_time(x: Column) -> Column:
+    """Like normal_time, with the digits as they are written and other hours left without a half."""
+    t = F.trim(x)
+    for pattern, half in ((r"(?i)a\.m\.|am", "AM"), (r"(?i)p\.m\.|pm", "PM")):
+        t = F.regexp_replace(t, pattern, half)
+    t = F.regexp_replace(t, r"(\d)(AM|PM)", "$1 $2")
+    hour = F.regexp_extract(t, r"^(\d{1,2}):\d{2}", 1).try_cast("int")
+    half = F.when(hour.between(6, 11), " AM").when((hour == 12) | hour.between(1, 5), " PM").otherwise("")
+    return F.when(t.contains("AM") | t.contains("PM"), t).otherwise(F.concat(t, F.coalesce(half, F.lit(""))))
+
+
 def minutes_between(start: Column, end: Column) -> Column:
     """Minutes from start to end, over midnight if end comes first."""
     return F.pmod(clock_minutes_lenient(end) - clock_minutes_lenient(start), F.lit(1440))

@@ -108,6 +108,24 @@ def schedule_errors(start: Column, end: Column, minutes: Column, grade: Column)
     return errors, warnings
 
 
+#: Ways in which a schedule may have been collected.
+METHODS = tuple(sorted("web_scraping human_provided school_sample pdf_extraction automated_enrichment district_policy state_statutory manual_data_collection".split()))
+
+
+def bell_file_checks(states: list[str]) -> tuple[Column, Column]:
+    """Errors and warnings of a collected schedule: state, year, minutes, the form of its times, confidence, method, source and enriched flag."""
+    x = F.col
+    some = lambda name: F.nullif(x(name), F.lit(""))
+    clock = lambda name: ~some(name).rlike(r"^[ \t]*[^ \t]*:[^ \t]*[ \t]+(AM|PM)[ \t]*$")
+    errors = flags(missing_state=some("state").isNull(), invalid_state=~some("state").isin(*states), minutes_too_low=x("minutes") < 180, minutes_too_high=x("minutes") > 480)
+    warnings = flags(
+        missing_year=x("year").isNull(), minutes_missing=x("minutes").isNull(), minutes_low=(x("minutes") >= 180) & (x("minutes") < 240), minutes_high=(x("minutes") > 420) & (x("minutes") <= 480),
+        bad_start_time=clock("start_time"), bad_end_time=clock("end_time"), bad_confidence=~some("confidence").isin("high", "medium", "low"), bad_method=~some("method").isin(*METHODS),
+        missing_source=some("source").isNull(), missing_enriched=x("enriched").isNull(), not_enriched=~x("enriched"),
+    )
+    return errors, warnings
+
+
 def enrollment_notes(total: Column, k12: Column, parts: Column) -> Column:
     return flags(negative=total < 0, zero=total == 0, extreme=total > 2_000_000, k12_over_total=k12 > total, parts_differ=parts != total)
 

@@ -120,10 +120,38 @@ def _(t):
     return t.values("missing string", *[(m,) for m in D.missing_columns(districts(t), ["district_id", "website", "zip"])])
 
 
-@query("dq_bell_file", "SELECT bell_id, CASE WHEN minutes < 180 OR minutes > 480 THEN 'error' WHEN minutes < 240 OR minutes > 420 THEN 'warning' ELSE 'ok' END AS minutes_check, confidence IN ('high', 'medium') AS confidence_ok FROM bell")
+share("bellfile", """
+    SELECT b.bell_id, CASE WHEN b.bell_id % 23 = 0 THEN NULL WHEN b.bell_id % 29 = 0 THEN 'Nowhere' ELSE d.state END AS state, CASE WHEN b.bell_id % 31 <> 0 THEN b.year END AS year, CASE WHEN b.bell_id % 7 <> 0 THEN b.bell_id % 5 <> 0 END AS enriched,
+           b.grade_level, CASE WHEN b.bell_id % 37 <> 0 THEN b.minutes END AS minutes, CASE b.bell_id % 6 WHEN 0 THEN '8:05 AM' WHEN 1 THEN '8:05' WHEN 2 THEN '805 AM' WHEN 3 THEN '' WHEN 4 THEN '8:05 am' END AS start_time,
+           CASE WHEN b.bell_id % 4 = 0 THEN '3:00 PM PM' ELSE '3:00 PM' END AS end_time, CASE WHEN b.confidence = 'low' AND b.bell_id % 2 = 0 THEN 'sure' ELSE b.confidence END AS confidence, b.method, CASE WHEN b.bell_id % 3 <> 0 THEN 'site' END AS source
+    FROM bell b JOIN districts d ON d.district_id = b.district_id""")
+
+
+def bell_file(t):
+    """Collected schedules as a file has them, with a share of each kind of fault."""
+    k, clock = c("bell_id"), F.array(*map(F.lit, ("8:05 AM", "8:05", "805 AM", "", "8:05 am")))
+    rows = bell(t).join(districts(t).select("district_id", "state"), "district_id")
+    return rows.select(
+        "bell_id", F.when(k % 23 == 0, None).when(k % 29 == 0, "Nowhere").otherwise(c("state")).alias("state"), F.when(k % 31 != 0, c("year")).alias("year"), F.when(k % 7 != 0, k % 5 != 0).alias("enriched"),
+        "grade_level", F.when(k % 37 != 0, c("minutes")).alias("minutes"), F.try_element_at(clock, (k % 6 + 1).cast("int")).alias("start_time"), F.when(k % 4 == 0, "3:00 PM PM").otherwise("3:00 PM").alias("end_time"),
+        F.when((c("confidence") == "low") & (k % 2 == 0), "sure").otherwise(c("confidence")).alias("confidence"), "method", F.when(k % 3 != 0, "site").alias("source"),
+    )
+
+
+_METHODS = ", ".join(f"'{m}'" for m in D.METHODS)
+_TIME_OK = "regexp_matches(coalesce({0}, ''), '^[ \\t]*[^ \\t]*:[^ \\t]*[ \\t]+(AM|PM)[ \\t]*$')"
+_FILE_ERRORS = joined(("missing_state", "state IS NULL"), ("invalid_state", "state IS NOT NULL AND state NOT IN (SELECT n_name FROM nation)"), ("minutes_too_low", "minutes < 180"), ("minutes_too_high", "minutes > 480"))
+_FILE_WARNINGS = joined(
+    ("missing_year", "year IS NULL"), ("minutes_missing", "minutes IS NULL"), ("minutes_low", "minutes BETWEEN 180 AND 239"), ("minutes_high", "minutes BETWEEN 421 AND 480"),
+    ("bad_start_time", f"start_time <> '' AND NOT {_TIME_OK.format('start_time')}"), ("bad_end_time", f"end_time <> '' AND NOT {_TIME_OK.format('end_time')}"), ("bad_confidence", "confidence NOT IN ('high', 'medium', 'low')"),
+    ("bad_method", f"method NOT IN ({_METHODS})"), ("missing_source", "source IS NULL"), ("missing_enriched", "enriched IS NULL"), ("not_enriched", "NOT enriched"),
+)
+
+
+@query("dq_bell_file", f"SELECT bell_id, {_FILE_ERRORS} AS errors, {_FILE_WARNINGS} AS warnings FROM bellfile")
 def _(t):
-    m = c("minutes")
-    return bell(t).select("bell_id", F.when((m < 180) | (m > 480), "error").when((m < 240) | (m > 420), "warning").otherwise("ok").alias("minutes_check"), c("confidence").isin("high", "medium").alias("confidence_ok"))
+    errors, warnings = D.bell_file_checks([r["n_name"] for r in t.nation.select("n_name").collect()])  # the states are a fixed list
+    return bell_file(t).select("bell_id", F.concat_ws(",", errors).alias("errors"), F.concat_ws(",", warnings).alias("warnings"))
 
 
 _TABLES = {"nation": 25, "customer": 100, "orders": 1000, "supplier": 1_000_000}

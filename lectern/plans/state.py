@@ -256,16 +256,6 @@ def _(t):
     return attempts(t).select("attempt_id", F.when(c("status") == "timeout", N.backoff_ms(c("k") % 4 + 1)).alias("wait"), soon.alias("too_soon"))
 
 
-_PAGE_SCORE = "least(greatest(CASE WHEN contains(lower(html), 'the') THEN 0.25 ELSE 0 END + CASE WHEN contains(lower(url), 'html') THEN 0.25 ELSE 0 END + CASE WHEN length(html) > 2000 THEN 0.5 ELSE 0 END, 0), 1)"
-
-
-@query("st_acquire", f"SELECT page_id, CAST({_PAGE_SCORE} AS DOUBLE) AS score, CASE WHEN {_PAGE_SCORE} >= 0.7 THEN 'active' WHEN {_PAGE_SCORE} >= 0.3 THEN 'quarantine' ELSE 'rejected' END AS triage FROM pages")
-def _(t):
-    part = lambda cond, w: F.when(cond, w).otherwise(0.0)
-    s = F.least(F.greatest(part(F.lower("html").contains("the"), 0.25) + part(F.lower("url").contains("html"), 0.25) + part(F.length("html") > 2000, 0.5), F.lit(0.0)), F.lit(1.0))
-    return t.pages.select("page_id", s.alias("score")).withColumn("triage", F.when(c("score") >= 0.7, "active").when(c("score") >= 0.3, "quarantine").otherwise("rejected"))
-
-
 share("patterns", """
     SELECT pattern, n, districts, rate, CASE WHEN n >= 10 AND rate < 0.2 THEN 'flagged' WHEN districts >= 3 AND rate >= 0.8 THEN 'approved' WHEN districts >= 2 THEN 'review' ELSE 'learning' END AS status
     FROM (SELECT '*p' || k || '*' AS pattern, count(*) AS n, count(DISTINCT district_id) AS districts, round(avg(CASE WHEN status = 'success' THEN 1.0 ELSE 0.0 END), 4) AS rate FROM attempts GROUP BY 1)""")

@@ -24,6 +24,10 @@ TEXTS = [
     (2, "Our high school day runs 8:10 AM - 3:10 PM.\nLunch at noon."),
     (3, "Elementary 8:30 AM to 3:00 PM\nElementary 8:30 AM to 3:00 PM\nMiddle 9:00 AM, 12:00 PM, 3:45 PM"),
     (4, "No times here\n| a |\n| b |"),
+    (7, "School | Hours\n---|---\nOak Primary | 8:00-2:30 | 1:00-2:00\nAsh | 7:25 a.m. to 2:05 p.m.\nElm junior high | 9:00 AM - 9:30 PM\nElm 6-8 | 8:15 – 3:00\n\nend\n| x |\n| - |\n| Ivy high 07:00am-2:00pm | 1 |\n| K5: 8:05 AM to 2:35 PM |"),
+    (8, "a | b\n8:00-3:00 | high\nx | Senior 8:00-3:00"),
+    (9, "Bell schedule. Start time 8:00 AM, dismissal 3:00 PM. Period 1 8:00, Period 2 8:50, period 3 9:40, period4 10:30, 1st period, 11:20 12:10 1:00 p.m."),
+    (10, "School hours " + " ".join(f"{h}:{m:02}" for h in range(8, 12) for m in range(0, 60, 10))),
     (5, ""),
     (6, None),
 ]
@@ -43,24 +47,23 @@ share("textlines", "SELECT doc_id, CAST(unnest(range(len(l))) AS INTEGER) AS pos
 LEVEL = "CASE WHEN regexp_matches({0}, '(?i)\\b(?:elementary|primary|k-5|k-6)\\b') THEN 'elementary' WHEN regexp_matches({0}, '(?i)\\b(?:middle|junior|6-8|7-8)\\b') THEN 'middle' WHEN regexp_matches({0}, '(?i)\\b(?:high|senior|9-12)\\b') THEN 'high' END"
 TIME = r"\d{1,2}:\d{2}\s*(?:AM|PM|am|pm|a\.m\.|p\.m\.)?"
 _CLOCK = "((CAST(regexp_extract({0}, '(\\d{{1,2}}):', 1) AS INTEGER) % 12 + CASE WHEN upper({0}) LIKE '%PM%' THEN 12 ELSE 0 END) * 60 + CAST(regexp_extract({0}, ':(\\d{{2}})', 1) AS INTEGER))"
-share("tablerows", """
-    SELECT doc_id, pos, line FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, island ORDER BY pos) AS place, count(*) OVER (PARTITION BY doc_id, island) AS size
-    FROM (SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM textlines WHERE trim(line) LIKE '|%')) WHERE size >= 3 AND place > 2""")
-share("tabletimes", f"SELECT doc_id, pos, {LEVEL.format('line')} AS level, trim(regexp_extract_all(line, '{TIME}')[1]) AS start, trim(regexp_extract_all(line, '{TIME}')[-1]) AS stop FROM tablerows WHERE len(regexp_extract_all(line, '{TIME}')) >= 2")
-share("fromtables", f"SELECT doc_id, level, start, stop, {_CLOCK.format('stop')} - {_CLOCK.format('start')} AS minutes FROM tabletimes WHERE {_CLOCK.format('stop')} - {_CLOCK.format('start')} BETWEEN 240 AND 540 QUALIFY row_number() OVER (PARTITION BY doc_id, level ORDER BY pos) = 1")
-
-
-def _times(line):
-    times = F.regexp_extract_all(line, F.lit(f"({TIME})"), F.lit(1))
-    return times
+_ROW_LEVEL = "CASE " + " ".join(f"WHEN regexp_matches(line, '{p}') THEN '{n}'" for n, p in P.ROW_LEVELS) + " ELSE 'high' END"
+share("tablecells", """
+    SELECT doc_id, pos, line, trim(unnest(string_split(line, '|'))) AS cell, unnest(range(len(string_split(line, '|')))) AS nth
+    FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, island ORDER BY pos) AS place, count(*) OVER (PARTITION BY doc_id, island) AS size
+    FROM (SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM textlines WHERE contains(line, '|'))) WHERE size >= 3 AND place > 2""")
+_MARKED = "regexp_replace(regexp_replace(regexp_replace(trim({0}), '(?i)a\\.m\\.|am', 'AM', 'g'), '(?i)p\\.m\\.|pm', 'PM', 'g'), '(\\d)(AM|PM)', '\\1 \\2', 'g')"
+_HALF = "{0} || CASE WHEN regexp_matches({0}, 'AM|PM') THEN '' WHEN CAST(regexp_extract({0}, '(\\d{{1,2}}):', 1) AS INTEGER) BETWEEN 6 AND 11 THEN ' AM' WHEN CAST(regexp_extract({0}, '(\\d{{1,2}}):', 1) AS INTEGER) IN (1, 2, 3, 4, 5, 12) THEN ' PM' ELSE '' END"
+share("celltimes", f"SELECT doc_id, level, {_HALF.format('s')} AS start, {_HALF.format('e')} AS stop FROM (SELECT doc_id, pos, nth, {_ROW_LEVEL} AS level, {_MARKED.format(f"regexp_extract(cell, '{P.CELL_RANGE}', 1)")} AS s, {_MARKED.format(f"regexp_extract(cell, '{P.CELL_RANGE}', 2)")} AS e FROM tablecells WHERE regexp_matches(cell, '{P.CELL_RANGE}')) QUALIFY row_number() OVER (PARTITION BY doc_id, level ORDER BY pos, nth) = 1")
+share("fromtables", f"SELECT * FROM (SELECT doc_id, level, start, stop, ({_CLOCK.format('stop')} - {_CLOCK.format('start')} + 1440) % 1440 AS minutes FROM celltimes) WHERE minutes BETWEEN 240 AND 540")
 
 
 def table_schedules(docs):
-    """The first row of each level of a document's tables whose times lie 240 to 540 minutes apart."""
-    r = P.table_rows(docs).withColumn("times", _times(c("line"))).where(F.size("times") >= 2)
-    r = r.select("doc_id", "pos", P.level_of(c("line"), None).alias("level"), F.trim(F.element_at("times", 1)).alias("start"), F.trim(F.element_at("times", -1)).alias("stop"))
-    r = r.withColumn("minutes", D.clock_minutes_lenient(c("stop")) - D.clock_minutes_lenient(c("start"))).where("minutes between 240 and 540")
-    return latest_per_key(r, ["doc_id", "level"], [c("pos")]).drop("pos")
+    """(doc_id, level, start, stop, minutes): the first time range in a cell of each level's rows, if it lasts 240 to 540 minutes."""
+    part = lambda i: D.marked_time(F.regexp_extract("cell", P.CELL_RANGE, i))
+    r = P.table_cells(docs).where(c("cell").rlike(P.CELL_RANGE)).select("doc_id", "pos", "at", P.row_level(c("line")).alias("level"), part(1).alias("start"), part(2).alias("stop"))
+    first = latest_per_key(r, ["doc_id", "level"], [c("pos"), c("at")]).drop("pos", "at")
+    return first.withColumn("minutes", D.minutes_between(c("start"), c("stop"))).where("minutes between 240 and 540")
 
 
 @query("tx_table", "SELECT * FROM fromtables")
@@ -128,11 +131,45 @@ def _(t):
     return P.lines(t.documents).select("doc_id", "pos", P.level_of(c("line"), None).alias("level"))
 
 
-@query("tx_page_feat", """
-    SELECT page_id, left(trim(regexp_replace(regexp_extract(html, '(?is)<title\\b[^>]*>(.*?)</title>', 1), '(?s)<[^>]+>', ' ', 'g')), 200) AS title, left(trim(regexp_replace(regexp_extract(html, '(?is)<h1\\b[^>]*>(.*?)</h1>', 1), '(?s)<[^>]+>', ' ', 'g')), 200) AS h1,
-           len(regexp_extract_all(html, '\\d{1,2}:\\d{2}')) AS times, len(regexp_extract_all(html, '(?i)<a\\s')) AS links, regexp_matches(html, '(?i)href=["''][^"'']*\\.pdf') AS has_pdf, len(regexp_extract_all(lower(html), 'the')) AS keywords FROM pages""")
+#: Pages of the kinds that the table hasn't, beside it.
+ODD_PAGES = [
+    (-1, "https://a.org/Bell-Schedule/parents/hours_of_operation.html", "<html><head><title>Bell <b>times</b></title><META content='All about <x> times' name=\"description\"></head><body><ol class=\"x breadcrumb\"><li>Home</li>\n <li>Bell</li></ol><h1> Start\ntimes </h1><a href='/f/bell.pdf?v=1'>The <i>schedule</i></a><a id=1 href=/school/x>Oak Elem</a><a name='no'>school</a> 8:00 AM 3:10pm start time end period 1 period 2 period 3 period 4 bell schedule 1:00 1:01 1:02 1:03 1:04</body></html>"),
+    (-2, "https://a.org/news/school_day-calendar?x=bell", "<nav aria-label='Breadcrumb trail'>a &gt; b</nav><a href=\"x.pdf\">menu</a><a HREF=\"https://b.org/Schools/\">Elm Junior</a><A href='#'>Senior SCHOOL</A>"),
+    (-3, "https://b.org/sports/arrival;p=1/dismissal", None),
+    (-4, "no-url/tests", ""),
+    (-5, None, "<p>school hours 8:00</p>"),
+    (-6, "https://a.org/blog/school-hours/start_time/daily-schedule/about/schedule information/bellschedule/calendar", "<body>School hours start time dismissal 8:00 8:01 8:02 8:03 8:04 8:05</body>"),
+    (-7, "https://a.org/x/lunch-games_bellx.aspx", "<body></body>"),
+]
+share("allpages", f"SELECT page_id, url, html FROM pages UNION ALL SELECT * FROM (VALUES {_v(ODD_PAGES)}) v(page_id, url, html)")
+
+
+def all_pages(t):
+    return t.pages.select("page_id", "url", "html").unionByName(t.values("page_id bigint, url string, html string", *ODD_PAGES))
+
+
+def _q(pattern):
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _either(text, pattern, groups):
+    return "concat(" + ", ".join(f"regexp_extract({text}, {_q(pattern)}, {i + 1})" for i in range(groups)) + ")"
+
+
+_TEXT = "trim(regexp_replace(regexp_replace(regexp_replace({0}, '(?is)<(?:script)\\b.*?</script>|<(?:style)\\b.*?</style>', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))"
+_VISIBLE = _TEXT.format("CASE WHEN regexp_extract(html, '(?is)<body\\b[^>]*>(.*)', 1) <> '' THEN regexp_extract(html, '(?is)<body\\b[^>]*>(.*)', 1) ELSE html END")
+_ELEMENT = "trim(regexp_replace(regexp_extract(html, '(?is)<{0}\\b[^>]*>(.*?)</{0}>', 1), '(?s)<[^>]+>', ' ', 'g'))"
+_PLAIN = "trim(regexp_replace({0}, '(?s)<[^>]+>', '', 'g'))"
+_PDF = f"len(list_filter(regexp_extract_all(html, {_q(P.ANCHOR)}), lambda x: regexp_matches({_either('x', P.HREF, 3)}, '{P.PDF_LINK}') AND regexp_matches({_PLAIN.format('x')}, '{P.PDF_TEXT}'))) > 0"
+
+
+@query("tx_page_feat", f"""
+    SELECT page_id, left({_ELEMENT.format('title')}, 200) AS title, left(nullif({_either(f'regexp_extract(html, {_q(P.META)})', P.CONTENT, 2)}, ''), 500) AS meta, left(nullif({_ELEMENT.format('h1')}, ''), 200) AS h1,
+           left(nullif(trim(regexp_replace(regexp_replace(regexp_extract(html, {_q(P.CRUMBS)}, 1), '(?s)<[^>]+>', '', 'g'), '\\s+', ' ', 'g')), ''), 200) AS breadcrumb,
+           len(regexp_extract_all(body, '{P.TIME}')) AS times, {_PDF} AS has_schedule_pdf, {" + ".join(f"len(regexp_extract_all(lower(body), '{w}'))" for w in P.PAGE_WORDS)} AS keywords, len(regexp_extract_all(html, '(?is)<a\\s(?:[^>]*?\\s)?href\\s*=')) AS links
+    FROM (SELECT page_id, html, {_VISIBLE} AS body FROM allpages)""")
 def _(t):
-    return P.page_features(t.pages)
+    return P.page_features(all_pages(t))
 
 
 @query("tx_html_md")
@@ -145,12 +182,15 @@ def _(t):
     return t.pages.select("page_id", P.security_block(c("html")).alias("block"))
 
 
-_URL_RULES = " + ".join(f"CASE WHEN regexp_matches(url, '{p}') THEN {w} ELSE 0.0 END" for p, w in P.URL_RULES)
+_URL_SCORE = f"least(CAST({' + '.join(f"CASE WHEN regexp_matches(lower(url), '{x}') THEN 0.2 ELSE 0 END" for x in P.URL_PATTERNS)} AS DOUBLE), 1.0)"
+for _part, _step in P.PATH_STEPS:
+    _URL_SCORE = f"(CASE WHEN regexp_matches(lower(url), '{_part}') THEN least(greatest({_URL_SCORE} + ({_step}), 0.0), 1.0) ELSE {_URL_SCORE} END)"
+_URL_SCORE = f"round(CAST(CASE WHEN url IS NOT NULL THEN {_URL_SCORE} END AS DOUBLE), 4)"
 
 
-@query("tx_url_pat", f"SELECT page_id, round(CAST(least(greatest({_URL_RULES}, 0), 1) AS DOUBLE), 4) AS score FROM pages")
+@query("tx_url_pat", f"SELECT page_id, {_URL_SCORE} AS score FROM allpages")
 def _(t):
-    return t.pages.select("page_id", P.url_score(c("url")).alias("score"))
+    return all_pages(t).select("page_id", P.url_score(c("url")).alias("score"))
 
 
 _PAGES = [(1, "https://a.org/bell-schedule", "Bell schedule", 12), (2, "https://a.org/news/1", "News", 2), (3, "https://b.org/about/hours", "Office hours", 5), (4, "https://c.org/x.pdf", "Times", 0), (5, None, None, None)]
@@ -171,29 +211,49 @@ def _(t):
     return crawled(t).select("id", F.least(F.greatest(s, F.lit(0)), F.lit(100)).alias("score"))
 
 
-_N = f"len(regexp_extract_all(text, '{TIME}'))"
+def _points(text):
+    n, lower = f"len(regexp_extract_all({text}, '{TIME}'))", f"lower({text})"
+    return (
+        f"(CASE WHEN {n} > 20 THEN 5 WHEN {n} > 5 THEN 3 ELSE 0 END + CASE WHEN contains({lower}, 'bell schedule') THEN 3 WHEN contains({lower}, 'school hours') THEN 2 ELSE 0 END"
+        f" + CASE WHEN len(regexp_extract_all({lower}, 'period\\s*\\d|1st\\s*period|2nd\\s*period')) > 3 THEN 2 ELSE 0 END"
+        f" + CASE WHEN regexp_matches({lower}, 'start time|end time|dismissal') THEN 1 ELSE 0 END)"
+    )
+
+
+share("alltexts", "SELECT doc_id, text FROM documents WHERE text IS NOT NULL UNION ALL SELECT -doc_id, text FROM texts WHERE text IS NOT NULL")
 
 
-@query("tx_pdf_triage", f"SELECT doc_id, CASE WHEN {_N} > 5 THEN 50 WHEN {_N} > 2 THEN 30 ELSE 0 END + CASE WHEN regexp_matches(text, '(?i)schedule') THEN 20 ELSE 0 END AS score, coalesce(array_to_string(list_slice(regexp_extract_all(text, '\\d{{1,2}}:\\d{{2}}'), 1, 3), ','), '') AS first FROM texts")
+@query("tx_pdf_triage", f"SELECT doc_id, CAST(least({_points('text')}, 10) AS INTEGER) AS points, {_points('text')} >= 7 AS is_schedule, array_to_string(regexp_extract_all(text, '{TIME}')[1:10], ',') AS first FROM alltexts")
 def _(t):
-    n = F.regexp_count("text", F.lit(TIME))
-    first = F.slice(F.regexp_extract_all("text", F.lit(r"(\d{1,2}:\d{2})"), F.lit(1)), 1, 3)
-    score = F.when(n > 5, 50).when(n > 2, 30).otherwise(0) + F.when(c("text").rlike("(?i)schedule"), 20).otherwise(0)
-    return texts(t).select("doc_id", score.alias("score"), F.coalesce(F.array_join(first, ","), F.lit("")).alias("first"))
+    docs = t.documents.select(c("doc_id").cast("long").alias("doc_id"), "text").unionByName(texts(t).select((-c("doc_id")).cast("long").alias("doc_id"), "text")).where("text is not null")
+    points, first = P.triage(c("text"))
+    return docs.select("doc_id", points.alias("points"), (points >= 7).alias("is_schedule"), F.array_join(first, ",").alias("first"))
 
 
-_PATH = "regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1)"
-_KW = f"list_sort(list_distinct(list_filter(regexp_split_to_array(lower({_PATH}), '[-_/.]'), lambda x: x <> '')))"
+_PARTS = "list_filter(list_transform(regexp_split_to_array(lower(regexp_replace(regexp_extract(coalesce(url, ''), '^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?(?://[^/?#]*)?([^?#]*)', 1), ';[^/]*$', '')), '[-_/.]'), lambda x: trim(x)), lambda x: x <> '')"
+
+
+def _words_sql(known):
+    return f"list_filter([{', '.join(f"'{k}'" for k in known)}], lambda k: len(list_filter({_PARTS}, lambda y: contains(y, k) OR contains(k, y))) > 0)"
+
+
+@query("tx_kw", f"SELECT page_id, array_to_string({_words_sql(P.POSITIVE)}, ',') AS positive, array_to_string({_words_sql(P.NEGATIVE)}, ',') AS negative FROM allpages")
+def _(t):
+    words = lambda known: F.array_join(P.keywords(c("url"), known), ",")
+    return all_pages(t).select("page_id", words(P.POSITIVE).alias("positive"), words(P.NEGATIVE).alias("negative"))
 
 
-@query("tx_kw", f"SELECT page_id, array_to_string({_KW}, ',') AS words FROM pages")
+@query("tx_glob", f"SELECT page_id, CASE WHEN len(k) = 0 THEN NULL WHEN len(k) = 1 THEN '**/*' || k[1] || '*' ELSE '**/*' || k[1] || '*' || k[2] || '*' END AS glob FROM (SELECT page_id, {_words_sql(P.POSITIVE)} AS k FROM allpages)")
 def _(t):
-    return t.pages.select("page_id", F.array_join(P.keywords(c("url")), ",").alias("words"))
+    return all_pages(t).select("page_id", P.glob(P.keywords(c("url"), P.POSITIVE)).alias("glob"))
 
 
-@query("tx_glob", f"SELECT page_id, CASE WHEN len(k) = 0 THEN NULL WHEN len(k) = 1 THEN '*' || k[1] || '*' ELSE '*' || k[1] || '*' || k[2] || '*' END AS glob FROM (SELECT page_id, {_KW} AS k FROM pages)")
+@query("st_acquire", f"""
+    SELECT page_id, site, rank_score, CAST(least(points, 10) AS INTEGER) AS points, CASE WHEN points >= 7 THEN 'active' WHEN points >= 3 THEN 'quarantine' ELSE 'rejected' END AS status
+    FROM (SELECT page_id, regexp_extract(lower(url), '^[a-z]+://([^/?#]*)', 1) AS site, {_URL_SCORE} AS rank_score, coalesce({_points(_VISIBLE)}, 0) AS points FROM allpages)
+    WHERE rank_score >= 0.3 QUALIFY row_number() OVER (PARTITION BY site ORDER BY rank_score DESC, page_id) <= 5""")
 def _(t):
-    return t.pages.select("page_id", P.glob(P.keywords(c("url"))).alias("glob"))
+    return P.acquisition(all_pages(t))
 
 
 SCHOOLS = [(1, "Oak Elementary School", 10), (2, "Elm Middle", 20), (3, "Ash Senior High", 30), (4, "Ivy Academy", 5), (5, "Fir Primary", 15), (6, "Yew Elementary", 25), (7, "Box High", 8), (8, None, 1)]
@@ -228,9 +288,13 @@ def _(t):
     return d.select(F.explode(F.array(*map(F.lit, _PREFIX))).alias("p"), "d").select(F.concat(F.lit("https://"), "p", F.lit("."), "d", F.lit(".org")).alias("url")).distinct()
 
 
-@query("tx_links", "SELECT page_id, CAST(unnest(range(len(l))) AS INTEGER) AS pos, unnest(l) AS href FROM (SELECT page_id, regexp_extract_all(html, '(?is)<a\\s[^>]*href=\"([^\"]*)\"[^>]*>.*?</a>', 1) AS l FROM pages)")
+@query("tx_links", f"""
+    SELECT page_id, pos, href, text, CASE WHEN contains(lower(text), 'elem') THEN 'elementary' WHEN regexp_matches(lower(text), 'middle|junior') THEN 'middle' WHEN regexp_matches(lower(text), 'high|senior') THEN 'high' END AS level
+    FROM (SELECT page_id, pos, {_either('tag', P.HREF, 3)} AS href, {_PLAIN.format('tag')} AS text
+          FROM (SELECT page_id, CAST(unnest(range(len(l))) AS INTEGER) AS pos, unnest(l) AS tag FROM (SELECT page_id, regexp_extract_all(html, {_q(P.ANCHOR)}) AS l FROM allpages WHERE html IS NOT NULL)))
+    WHERE contains(lower(href), 'school') OR contains(lower(text), 'school')""")
 def _(t):
-    return P.links(t.pages)
+    return P.links(all_pages(t))
 
 
 scalar("tx_pdf_url", S, _s("https://a.org/x.pdf", "https://a.org/x.PDF?v=1", "https://drive.google.com/file/d/1", "https://a.org/pdf", None), lambda x: F.when(F.lower(x).rlike(r"\.pdf(\?|$)"), "pdf").when(x.contains("drive.google.com") | x.contains("docs.google.com"), "drive").otherwise("page"), "CASE WHEN regexp_matches(lower(x), '\\.pdf(\\?|$)') THEN 'pdf' WHEN contains(x, 'drive.google.com') OR contains(x, 'docs.google.com') THEN 'drive' ELSE 'page' END")

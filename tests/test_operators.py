@@ -157,10 +157,36 @@ def test_flags_and_classes(spark):
 def test_pages(spark):
     df = spark.createDataFrame([(1, '<html><title> A <b>b</b></title><a href="/x.pdf">High School</a><script>var a = 1;</script><p>t</p></html>')], "page_id int, html string")
     assert df.select(P.strip_tags(c("html")).alias("x")).first()["x"] == "A b High School t"
-    assert P.links(df).collect()[0]["href"] == "/x.pdf"
+    assert [tuple(r) for r in P.links(df).collect()] == [(1, 0, "/x.pdf", "High School", "high")]
     assert df.select(P.markdown(c("html")).alias("x")).first()["x"].count("[High School](/x.pdf)") == 1
 
 
+def test_addresses(spark):
+    cases = {"https://a.org/bell-schedule": 0.2, "https://a.org/Bell_Schedule/School-Hours": 0.4, "https://a.org/calendar/news": 0.0, "https://a.org/x": 0.0, "https://a.org/parents/x": 0.1}
+    # clamped step by step: 1.2 counts as 1 before the penalty
+    cases["https://a.org/bell-schedule/school-hours/daily-schedule/start-time/dismissal/arrival/news"] = 0.8
+    df = spark.createDataFrame([(k,) for k in cases], "url string")
+    assert {r[0]: r[1] for r in df.select("url", P.url_score(c("url"))).collect()} == cases
+    words = df.select(P.keywords(c("url"), P.POSITIVE).alias("k"), P.keywords(c("url"), P.NEGATIVE).alias("n")).collect()
+    assert words[0]["k"] == ["bell", "schedule", "schedules"] and words[2]["n"] == ["calendar", "news"]
+    assert one(spark, P.glob(F.array(F.lit("bell"), F.lit("end")))) == "**/*bell*end*"
+
+
+def test_cells_of_tables(spark):
+    from lectern.plans.texts import table_schedules
+
+    text = "| School | Hours |\n|---|---|\n| Oak Elementary | 8:00-2:30 | 9:00-1:00 |\n| Ash High | 7:25 AM - 1:00 |\n| Ash High | 7:25 AM - 2:05 PM |"
+    got = table_schedules(spark.createDataFrame([(1, text)], "doc_id int, text string")).collect()
+    assert sorted(map(tuple, got)) == [(1, "elementary", "8:00 AM", "2:30 PM", 390), (1, "high", "7:25 AM", "1:00 PM", 335)]
+
+
+def test_triage(spark):
+    text = "Bell schedule " + "8:00 " * 21
+    points, first = P.triage(F.lit(text))
+    assert one(spark, points) == 8 and len(one(spark, first)) == 10 and one(spark, P.triaged(points)) == "active"
+    assert one(spark, P.triage(F.lit("School hours: start time 8:00"))[0]) == 3
+
+
 def test_close_names_are_those_of_difflib(spark):
     import difflib
 
