@@ -65,3 +65,20 @@ def pattern_status(feedback: DataFrame) -> DataFrame:
     g = feedback.groupBy("pattern").agg(F.count("*").alias("n"), F.countDistinct("district_id").alias("districts"), F.round(F.avg(F.col("success").cast("double")), 4).alias("rate"))
     status = F.when((F.col("n") >= 10) & (F.col("rate") < 0.2), "flagged").when((F.col("districts") >= 3) & (F.col("rate") >= 0.8), "approved").when(F.col("districts") >= 2, "review").otherwise("learning")
     return g.withColumn("status", status)
+
+
+def runs(log: DataFrame) -> DataFrame:
+    """(run_id, status, started, ended, rows, error): each run as its last start and what came after it left it.
+
+    log: (run_id, event, at_time, seq, n, message) of starts, completions and failures.  A run that was started again is
+    running until it ends again; ends before the last start, or of runs never started, count for nothing.
+    """
+    place = F.struct("at_time", "seq")
+    end = F.struct("at_time", "seq", "event", "n", "message")
+    # both maxima are combined before the shuffle: a run's log is never gathered
+    one = log.groupBy("run_id").agg(F.max(F.when(F.col("event") == "start", place)).alias("first"), F.max(F.when(F.col("event") != "start", end)).alias("last")).where("first is not null")
+    over = (F.col("last.at_time") > F.col("first.at_time")) | (F.col("last.at_time") == F.col("first.at_time")) & (F.col("last.seq") > F.col("first.seq"))
+    last = F.when(over, F.col("last"))
+    done, failed = last["event"] == "complete", last["event"] == "fail"
+    status = F.when(done, "completed").when(failed, "failed").otherwise("running")
+    return one.select("run_id", status.alias("status"), F.col("first.at_time").alias("started"), last["at_time"].alias("ended"), F.when(done, last["n"]).alias("rows"), F.when(failed, last["message"]).alias("error"))

@@ -119,13 +119,13 @@ def _(t):
 
 @query("agg_count_by_group", "SELECT d.district_id, d.name, count(b.bell_id) AS n FROM districts d JOIN bell b ON b.district_id = d.district_id AND b.year = 1998 GROUP BY 1, 2")
 def _(t):
-    n = bell(t).where("year = 1998").groupBy("district_id").agg(F.count("bell_id").alias("n"))
+    n = bell(t, 1998).groupBy("district_id").agg(F.count("bell_id").alias("n"))
     return districts(t).join(n, "district_id").select("district_id", "name", "n")
 
 
 @query("agg_enrich_state", "SELECT state, count(DISTINCT d.district_id) AS districts, count(DISTINCT b.district_id) AS enriched, round(count(DISTINCT b.district_id) * 100.0 / count(DISTINCT d.district_id), 4) AS percent FROM districts d LEFT JOIN bell b ON b.district_id = d.district_id AND b.year = 1999 GROUP BY 1")
 def _(t):
-    b = bell(t).where("year = 1999").select("district_id").distinct().withColumn("has", F.lit(1))
+    b = bell(t, 1999).select("district_id").distinct().withColumn("has", F.lit(1))
     g = districts(t).join(b, "district_id", "left").groupBy("state").agg(F.count("*").alias("districts"), F.count("has").alias("enriched"))
     return g.withColumn("percent", F.round(c("enriched") * 100.0 / c("districts"), 4))
 
@@ -134,7 +134,7 @@ def _(t):
     SELECT state, count(DISTINCT b.district_id) AS enriched, CAST(sum(enrollment) AS BIGINT) AS pupils, 3 AS target, count(DISTINCT b.district_id) >= 3 AS complete
     FROM districts d JOIN bell b ON b.district_id = d.district_id AND b.year = 1997 AND b.grade_level = 'high' GROUP BY 1 ORDER BY enriched DESC, state""")
 def _(t):
-    n = bell(t).where("year = 1997 and grade_level = 'high'").groupBy("district_id").agg(F.count("*").alias("rows"))
+    n = bell(t, 1997).where("grade_level = 'high'").groupBy("district_id").agg(F.count("*").alias("rows"))
     g = districts(t).join(n, "district_id").groupBy("state").agg(F.count("*").alias("enriched"), F.sum(c("enrollment") * c("rows")).alias("pupils"))
     return g.select("state", "enriched", "pupils", F.lit(3).alias("target"), (c("enriched") >= 3).alias("complete")).orderBy(F.desc("enriched"), "state")
 
@@ -143,7 +143,7 @@ def _(t):
     SELECT CASE WHEN enrollment > 8000 THEN 'Large' WHEN enrollment >= 1000 THEN 'Medium' ELSE 'Small' END AS size, count(*) AS districts, count(b.district_id) AS enriched, round(count(b.district_id) * 100.0 / count(*), 4) AS percent
     FROM districts d LEFT JOIN (SELECT DISTINCT district_id FROM bell WHERE year = 1996) b ON b.district_id = d.district_id GROUP BY 1""")
 def _(t):
-    b = bell(t).where("year = 1996").select("district_id").distinct().withColumn("has", F.lit(1))
+    b = bell(t, 1996).select("district_id").distinct().withColumn("has", F.lit(1))
     g = districts(t).join(b, "district_id", "left").groupBy(size_class(c("enrollment")).alias("size")).agg(F.count("*").alias("districts"), F.count("has").alias("enriched"))
     return g.withColumn("percent", F.round(c("enriched") * 100.0 / c("districts"), 4))
 
@@ -301,7 +301,7 @@ def _(t):
     SELECT state, count(*) AS total, count(*) FILTER (enriched) AS done, count(*) - count(*) FILTER (enriched) AS pending, round(count(*) FILTER (enriched) * 100.0 / count(*), 4) AS rate, greatest(70 - count(*) FILTER (enriched), 0) AS needed, count(*) FILTER (enriched) >= 70 AS complete
     FROM (SELECT d.state, b.district_id IS NOT NULL AS enriched FROM districts d LEFT JOIN (SELECT DISTINCT district_id FROM bell WHERE year = 1998) b ON b.district_id = d.district_id) GROUP BY 1""")
 def _(t):
-    b = bell(t).where("year = 1998").select("district_id").distinct().withColumn("has", F.lit(1))
+    b = bell(t, 1998).select("district_id").distinct().withColumn("has", F.lit(1))
     g = districts(t).join(b, "district_id", "left").groupBy("state").agg(F.count("*").alias("total"), F.count("has").alias("done"))
     return g.withColumns({"pending": c("total") - c("done"), "rate": F.round(c("done") * 100.0 / c("total"), 4), "needed": F.greatest(70 - c("done"), F.lit(0)), "complete": c("done") >= 70})
 

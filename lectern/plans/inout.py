@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from ..operators.relational import top_per_group
 from ..sources import files as S
+from ..sources.sheets import read_sheets, write_sheets
 from .aggregations import _STATS, lct_rows
 from .model import bell, counts, districts, requirements
 from .registry import query
 
 c = F.col
+DERBY = "org.apache.derby.jdbc.EmbeddedDriver"
 _D = "SELECT district_id, name, enrollment FROM districts"
 _SCHEMA = "district_id string, name string, enrollment bigint"
 
@@ -66,16 +68,31 @@ def _(t):
     return S.read_positions(t.spark, csv_of(t, small(t), "posn"), {"district_id": 0, "first": 1, "second": 1})
 
 
+def sheets_of(t, df, name):
+    """Workbooks of df's rows, one a partition, and their paths: as many as there are partitions."""
+    return [r["file"] for r in write_sheets(df, S.scratch(t.spark, name)).collect()]
+
+
 @query("src_excel", _D)
 def _(t):
-    # spreadsheets are staged as CSV: no spreadsheet reader is at hand
-    return S.read_by_suffix(t.spark, csv_of(t, small(t), "sheet") + "/*.csv").withColumn("enrollment", c("enrollment").cast("long"))
+    return read_sheets(t.spark, sheets_of(t, small(t), "sheets"), ["district_id", "name", "enrollment"]).withColumn("enrollment", c("enrollment").cast("long"))
 
 
 @query("src_excel_more", "SELECT state, high FROM requirements")
 def _(t):
-    path = csv_of(t, requirements(t).select("state", "high"), "sheet2")
-    return S.read_delimited(t.spark, path, "state string, high bigint")
+    rows = read_sheets(t.spark, sheets_of(t, requirements(t).coalesce(1), "sheets"), ["high", "state"], "Sheet1")
+    return rows.select("state", c("high").cast("long").alias("high"))
+
+
+@query("src_jdbc", "SELECT district_id, name, CAST(c_custkey AS BIGINT) AS k FROM districts JOIN customer ON CAST(district_id AS BIGINT) = c_custkey")
+def _(t):
+    # an embedded database, which all tasks of one local session share
+    url = "jdbc:derby:memory:lectern" + S.scratch(t.spark, "db").rsplit("-", 1)[1] + ";create=true"
+    rows = districts(t).select("district_id", "name", c("district_id").cast("long").alias("k"))
+    rows.coalesce(1).write.format("jdbc").option("url", url).option("driver", DERBY).option("dbtable", "districts").save()
+    # as many rows as ids: the bounds part the range, they leave nothing out
+    most = rows.agg(F.max("k")).first()[0] or 1
+    return S.read_table(t.spark, url, "districts", '"k"', (0, most), 4, DERBY)
 
 
 @query("src_json_doc", "SELECT * FROM (VALUES ('0000001', 'high', 400), ('0000001', 'middle', 390), ('0000002', 'high', 380)) v(district_id, grade_level, minutes)")

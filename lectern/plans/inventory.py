@@ -57,7 +57,7 @@ def _(t):
 
 @query("q_overall", "SELECT count(*) AS total, count(*) FILTER (district_id IN (SELECT district_id FROM bell WHERE year = 1998)) AS enriched, round(count(*) FILTER (district_id IN (SELECT district_id FROM bell WHERE year = 1998)) * 100.0 / count(*), 4) AS rate FROM districts")
 def _(t):
-    b = bell(t).where("year = 1998").select("district_id").distinct().withColumn("has", F.lit(1))
+    b = bell(t, 1998).select("district_id").distinct().withColumn("has", F.lit(1))
     return districts(t).join(b, "district_id", "left").agg(F.count("*").alias("total"), F.count("has").alias("enriched"), F.round(F.count("has") * 100.0 / F.count("*"), 4).alias("rate"))
 
 
@@ -83,7 +83,7 @@ def _(t):
 
 @query("q_lookup_id", "SELECT district_id, name FROM districts WHERE district_id = '0000011'")
 def _(t):
-    return districts(t).where("district_id = '0000011'").select("district_id", "name")
+    return districts(t, 11).select("district_id", "name")
 
 
 @query("q_search", "SELECT district_id, name FROM districts WHERE regexp_matches(name, '(?i)er#.*5$') AND state = 'NATION_2'")
@@ -129,7 +129,7 @@ def _(t):
 
 @query("x_name", "SELECT name FROM districts WHERE district_id = '0000013'")
 def _(t):
-    return districts(t).where("district_id = '0000013'").select("name")
+    return districts(t, 13).select("name")
 
 
 _INFO = [("CA", "county-district-school", 7), ("TX", "county-district", 6), ("IL", "region-county-district-type", 13), ("??", "Unknown", None)]

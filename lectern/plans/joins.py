@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import attention as A
 from ..operators.relational import absent, coverage, latest_per_key, target_or_latest
-from .model import attempts, bell, counts, districts, enrollment, requirements, staff
+from .model import attempts, bell, counts, districts, enrollment, requirements, staff, staff_and_enrollment
 from .registry import query, share
 
 c = F.col
@@ -77,13 +77,13 @@ def _(t):
 
 @query("jn_exists_flag", "SELECT district_id, EXISTS (SELECT 1 FROM bell b WHERE b.district_id = d.district_id AND b.year = 1997) AS has_bell FROM districts d")
 def _(t):
-    keys = bell(t).where("year = 1997").select("district_id").distinct().withColumn("has_bell", F.lit(True))
+    keys = bell(t, 1997).select("district_id").distinct().withColumn("has_bell", F.lit(True))
     return districts(t).join(keys, "district_id", "left").select("district_id", F.coalesce("has_bell", F.lit(False)).alias("has_bell"))
 
 
 @query("jn_left_on_year", "SELECT d.state, count(DISTINCT d.district_id) AS districts, count(DISTINCT b.district_id) AS enriched FROM districts d LEFT JOIN bell b ON b.district_id = d.district_id AND b.year = 1996 GROUP BY 1")
 def _(t):
-    b = bell(t).where("year = 1996").select("district_id").distinct().withColumn("has", F.lit(1))
+    b = bell(t, 1996).select("district_id").distinct().withColumn("has", F.lit(1))
     return districts(t).join(b, "district_id", "left").groupBy("state").agg(F.count("district_id").alias("districts"), F.count("has").alias("enriched"))
 
 
@@ -94,7 +94,7 @@ def _(t):
 
 @query("jn_anti_year", "SELECT district_id FROM districts WHERE district_id NOT IN (SELECT district_id FROM bell WHERE year = 2000)")
 def _(t):
-    return absent(districts(t), bell(t).where("year = 2000"), ["district_id"]).select("district_id")
+    return absent(districts(t), bell(t, 2000), ["district_id"]).select("district_id")
 
 
 @query("jn_anti_exists", "SELECT district_id, state, enrollment FROM districts d WHERE enrollment > 0 AND NOT EXISTS (SELECT 1 FROM bell b WHERE b.district_id = d.district_id AND b.confidence = 'high')")
@@ -117,7 +117,7 @@ FANOUT = "FROM districts d LEFT JOIN bell b ON b.district_id = d.district_id AND
 
 @query("jn_fanout_views", f"SELECT d.state, count(DISTINCT d.district_id) AS districts, CAST(sum(d.enrollment) AS BIGINT) AS enrollment, round(avg(s.elementary), 4) AS mean {FANOUT} GROUP BY 1")
 def _(t):
-    d = districts(t).join(bell(t).where("year = 1998").select("district_id"), "district_id", "left").join(staff(t), "district_id", "left")
+    d = districts(t).join(bell(t, 1998).select("district_id"), "district_id", "left").join(staff(t), "district_id", "left")
     return d.groupBy("state").agg(F.countDistinct("district_id").alias("districts"), F.sum("enrollment").alias("enrollment"), F.round(F.avg("elementary"), 4).alias("mean"))
 
 
@@ -128,7 +128,7 @@ def _(t):
 
 @query("jn_top_view", "SELECT d.district_id, d.enrollment, b.bell_id IS NOT NULL AS enriched, s.elementary FROM districts d LEFT JOIN bell b ON b.district_id = d.district_id AND b.year = 1999 LEFT JOIN staff s ON s.district_id = d.district_id AND s.year = 1999")
 def _(t):
-    b, s = bell(t).where("year = 1999").select("district_id", "bell_id"), staff(t).where("year = 1999").select("district_id", "elementary")
+    b, s = bell(t, 1999).select("district_id", "bell_id"), staff(t).where("year = 1999").select("district_id", "elementary")
     return districts(t).join(b, "district_id", "left").join(s, "district_id", "left").select("district_id", "enrollment", c("bell_id").isNotNull().alias("enriched"), "elementary")
 
 
@@ -177,7 +177,7 @@ def _(t):
 
 @query("jn_key_intersect", "SELECT district_id FROM bell WHERE year = 1996 INTERSECT SELECT district_id FROM bell WHERE year = 1997")
 def _(t):
-    return bell(t).where("year = 1996").select("district_id").intersect(bell(t).where("year = 1997").select("district_id"))
+    return bell(t, 1996).select("district_id").intersect(bell(t, 1997).select("district_id"))
 
 
 @query("set_intersect", "SELECT district_id FROM staff WHERE year = 1996 INTERSECT SELECT district_id FROM attempts")
@@ -187,12 +187,13 @@ def _(t):
 
 @query("jn_3way", "SELECT s.district_id, s.year, d.name, s.elementary + s.kindergarten AS k5_staff, e.total FROM staff s JOIN enrollment e ON e.district_id = s.district_id AND e.year = s.year JOIN districts d ON d.district_id = s.district_id")
 def _(t):
-    return staff(t).join(enrollment(t), ["district_id", "year"]).join(districts(t), "district_id").select("district_id", "year", "name", (c("elementary") + c("kindergarten")).alias("k5_staff"), "total")
+    # both sides have a row for each district and year of the counts: one scan gives both
+    return staff_and_enrollment(t).join(districts(t), "district_id").select("district_id", "year", "name", (c("elementary") + c("kindergarten")).alias("k5_staff"), "total")
 
 
 @query("jn_pd_left", "SELECT e.district_id, e.year, e.total, s.paras FROM enrollment e LEFT JOIN staff s ON s.district_id = e.district_id AND s.year = e.year")
 def _(t):
-    return enrollment(t).join(staff(t), ["district_id", "year"], "left").select("district_id", "year", "total", "paras")
+    return staff_and_enrollment(t).select("district_id", "year", "total", "paras")
 
 
 @query("jn_join_outer", "SELECT count(*) AS both, count(*) FILTER (a.prek IS NULL) AS no_prek, round(avg(CAST(a.prek AS DOUBLE) / a.total), 6) AS mean FROM newest a LEFT JOIN staff b ON a.district_id = b.district_id AND a.year = b.year")
@@ -203,7 +204,7 @@ def _(t):
 
 @query("jn_4way_count", "SELECT count(*) AS n FROM districts d JOIN staff s ON s.district_id = d.district_id JOIN enrollment e ON e.district_id = s.district_id AND e.year = s.year JOIN crosswalk x ON x.district_id = d.district_id")
 def _(t):
-    return districts(t).join(staff(t), "district_id").join(enrollment(t), ["district_id", "year"]).join(crosswalk(t), "district_id").agg(F.count("*").alias("n"))
+    return districts(t).join(staff_and_enrollment(t), "district_id").join(crosswalk(t), "district_id").agg(F.count("*").alias("n"))
 
 
 @query("jn_update_from", "SELECT bell_id, coalesce(x.state_id, b.district_id) AS district_id FROM bell b LEFT JOIN crosswalk x ON x.district_id = b.district_id")

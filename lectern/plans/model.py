@@ -23,8 +23,10 @@ def school_year(date: str):
     return F.concat(F.year(date).cast("string"), F.lit("-"), F.lpad(((F.year(date) + 1) % 100).cast("string"), 2, "0"))
 
 
-def districts(t: Tables) -> DataFrame:
-    c = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))  # the states are a fixed list
+def districts(t: Tables, key: int | None = None) -> DataFrame:
+    """The directory; one district by its number, which the scan can skip rows by."""
+    customer = t.customer if key is None else t.customer.where(F.col("c_custkey") == key)
+    c = customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))  # the states are a fixed list
     return c.select(
         F.lpad(F.col("c_custkey").cast("string"), 7, "0").alias("district_id"), F.col("c_name").alias("name"), F.col("n_name").alias("state"), F.col("n_regionkey").alias("region"),
         F.floor("c_acctbal").alias("enrollment"), F.col("c_mktsegment").alias("segment"), (F.col("c_custkey") % 17 == 0).alias("shared_service"),
@@ -37,10 +39,12 @@ share("districts", """
     FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 
 
-def bell(t: Tables) -> DataFrame:
+def bell(t: Tables, year: int | None = None) -> DataFrame:
+    """The schedules; those of one year by a range of dates, which the scan can skip files by."""
+    orders = t.orders if year is None else t.orders.where((F.col("o_orderdate") >= F.lit(f"{year}-01-01").cast("date")) & (F.col("o_orderdate") < F.lit(f"{year + 1}-01-01").cast("date")))
     level = F.create_map(*[F.lit(x) for kv in LEVELS.items() for x in kv])
     conf = F.create_map(*[F.lit(x) for kv in CONFIDENCE.items() for x in kv])
-    return t.orders.select(
+    return orders.select(
         F.col("o_orderkey").alias("bell_id"), F.lpad(F.col("o_custkey").cast("string"), 7, "0").alias("district_id"), F.year("o_orderdate").alias("year"),
         level[F.col("o_orderpriority")].alias("grade_level"), (F.floor("o_totalprice") % 500).alias("minutes"), conf[F.col("o_orderstatus")].alias("confidence"),
         F.when(F.col("o_orderkey") % 3 == 0, "human_provided").when(F.col("o_orderkey") % 3 == 1, "pdf_text").otherwise("web_page").alias("method"), F.to_date("o_orderdate").alias("created"),
@@ -88,6 +92,12 @@ def enrollment(t: Tables) -> DataFrame:
     return counts(t).groupBy("district_id", "year").agg((F.sum("n") * 10).alias("total"), (F.sum(F.when(F.col("grade") == "PK", F.col("n"))) * 10).alias("prek"))
 
 
+def staff_and_enrollment(t: Tables) -> DataFrame:
+    """staff() and enrollment() side by side, from one scan of the counts."""
+    sums = [F.sum(F.when(F.col("category") == k, F.col("n"))).alias(v) for k, v in STAFF.items()]
+    return counts(t).groupBy("district_id", "year").agg(*sums, (F.sum("n") * 10).alias("total"), (F.sum(F.when(F.col("grade") == "PK", F.col("n"))) * 10).alias("prek"))
+
+
 share("enrollment", """
     SELECT district_id, year, CAST(sum(n) * 10 AS BIGINT) AS total, CAST(sum(n) FILTER (grade = 'PK') * 10 AS BIGINT) AS prek
     FROM counts GROUP BY district_id, year""")

@@ -21,7 +21,7 @@ def _(t):
 
 
 def enriched(t):
-    b = bell(t).where("year = 1998").select("district_id").distinct().withColumn("has", F.lit(1))
+    b = bell(t, 1998).select("district_id").distinct().withColumn("has", F.lit(1))
     return districts(t).join(b, "district_id", "left").withColumn("enriched", c("has").isNotNull())
 
 
@@ -99,7 +99,7 @@ def _(t):
 
 @query("top_targets", "SELECT district_id, state, enrollment FROM districts WHERE enrollment BETWEEN 1000 AND 8000 AND district_id NOT IN (SELECT district_id FROM bell WHERE year = 1998) ORDER BY enrollment DESC, district_id LIMIT 25")
 def _(t):
-    d = absent(districts(t).where("enrollment between 1000 and 8000"), bell(t).where("year = 1998"), ["district_id"])
+    d = absent(districts(t).where("enrollment between 1000 and 8000"), bell(t, 1998), ["district_id"])
     return d.select("district_id", "state", "enrollment").orderBy(F.desc("enrollment"), "district_id").limit(25)
 
 

@@ -142,9 +142,25 @@ def _(t):
     return t.customer.agg(F.count("*").alias("n"), F.count_if(F.length(padded) != 7).alias("bad"))
 
 
-@query("run_start_complete", "SELECT 'run-1' AS run_id, 'completed' AS status, (SELECT count(*) FROM facts) AS rows, (SELECT min(year) FROM facts) AS first_year, (SELECT max(year) FROM facts) AS last_year")
+share("runlog", "SELECT 'run-' || user_id AS run_id, CASE event_type WHEN 'view' THEN 'start' WHEN 'purchase' THEN 'complete' WHEN 'error' THEN 'fail' END AS event, ts AS at_time, event_id AS seq, CAST(json_extract_string(props, '$.k') AS BIGINT) AS n, event_type || ' ' || event_id AS message FROM events WHERE event_type IN ('view', 'purchase', 'error')")
+
+
+def run_log(t):
+    event = F.when(c("event_type") == "view", "start").when(c("event_type") == "purchase", "complete").otherwise("fail")
+    e = t.events.where(c("event_type").isin("view", "purchase", "error"))
+    return e.select(F.concat(F.lit("run-"), "user_id").alias("run_id"), event.alias("event"), c("ts").alias("at_time"), c("event_id").alias("seq"), F.get_json_object("props", "$.k").cast("long").alias("n"), F.concat_ws(" ", "event_type", "event_id").alias("message"))
+
+
+@query("run_start_complete", """
+    WITH s AS (SELECT run_id, max((at_time, seq)) FILTER (event = 'start') AS first FROM runlog GROUP BY 1),
+    e AS (SELECT l.run_id, arg_max(event, (at_time, seq)) AS event, arg_max(n, (at_time, seq)) AS n, arg_max(message, (at_time, seq)) AS message, max((at_time, seq)) AS last
+          FROM runlog l JOIN s ON l.run_id = s.run_id AND (l.at_time, l.seq) > s.first WHERE event <> 'start' GROUP BY 1)
+    SELECT s.run_id, CASE WHEN e.event = 'complete' THEN 'completed' WHEN e.event = 'fail' THEN 'failed' ELSE 'running' END AS status, epoch_us(s.first[1]) AS started, epoch_us(e.last[1]) AS ended,
+           CASE WHEN e.event = 'complete' THEN e.n END AS rows, CASE WHEN e.event = 'fail' THEN e.message END AS error
+    FROM s LEFT JOIN e ON e.run_id = s.run_id WHERE s.first IS NOT NULL""")
 def _(t):
-    return facts(t).agg(F.count("*").alias("rows"), F.min("year").alias("first_year"), F.max("year").alias("last_year")).select(F.lit("run-1").alias("run_id"), F.lit("completed").alias("status"), "*")
+    us = lambda n: F.unix_micros(c(n).cast("timestamp"))
+    return Q.runs(run_log(t)).select("run_id", "status", us("started").alias("started"), us("ended").alias("ended"), "rows", "error")
 
 
 @query("lin_log", "SELECT 'bell' AS entity_type, district_id || '/' || year || '/' || grade_level AS entity_id, 'create' AS operation, '{\"minutes\":' || minutes || '}' AS details FROM bellold")

@@ -75,7 +75,7 @@ _FORMATS = {".csv": "csv", ".tsv": "csv", ".txt": "text", ".json": "json", ".par
 
 
 def read_by_suffix(spark: SparkSession, path: str) -> DataFrame:
-    """A reader chosen by the suffix of the path; spreadsheets must be staged as text first."""
+    """A reader chosen by the suffix of the path; spreadsheets need the names of their columns: sheets.read_sheets()."""
     suffix = os.path.splitext(path.rstrip("/"))[1].lower()
     if suffix not in _FORMATS:
         raise ValueError(f"no reader for {suffix or 'a path without a suffix'}")
@@ -83,9 +83,10 @@ def read_by_suffix(spark: SparkSession, path: str) -> DataFrame:
     return (reader.option("sep", "\t") if suffix == ".tsv" else reader).format(_FORMATS[suffix]).load(path)
 
 
-def read_table(spark: SparkSession, url: str, table: str, column: str | None = None, bounds: tuple[int, int] | None = None, partitions: int = 16) -> DataFrame:
+def read_table(spark: SparkSession, url: str, table: str, column: str | None = None, bounds: tuple[int, int] | None = None, partitions: int = 16, driver: str | None = None) -> DataFrame:
     """A table over JDBC, in ranges of a numeric column where one is given, so that no single task reads it all."""
     r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    r = r.option("driver", driver) if driver else r
     if column and bounds:
         r = r.option("partitionColumn", column).option("lowerBound", bounds[0]).option("upperBound", bounds[1]).option("numPartitions", partitions)
     return r.load()

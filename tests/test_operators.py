@@ -9,6 +9,7 @@ from lectern.functions import text as T
 from lectern.operators import attention as A
 from lectern.operators import pages as P
 from lectern.operators import quality as Q
+from lectern.operators import queue as U
 from lectern.operators import relational as R
 
 c = F.col
@@ -161,6 +162,12 @@ def test_pages(spark):
     assert df.select(P.markdown(c("html")).alias("x")).first()["x"].count("[High School](/x.pdf)") == 1
 
 
+def test_runs(spark):
+    log = [("a", "start", 1, 1, None, "s"), ("a", "complete", 5, 2, 9, "d"), ("b", "start", 1, 3, None, "s"), ("b", "fail", 2, 4, None, "no disk"), ("c", "start", 3, 5, None, "s"), ("d", "fail", 3, 6, None, "x"), ("e", "start", 1, 7, None, "s"), ("e", "fail", 2, 8, None, "x"), ("e", "start", 3, 9, None, "s")]
+    got = {r["run_id"]: tuple(r)[1:] for r in U.runs(spark.createDataFrame(log, "run_id string, event string, at_time bigint, seq bigint, n bigint, message string")).collect()}
+    assert got == {"a": ("completed", 1, 5, 9, None), "b": ("failed", 1, 2, None, "no disk"), "c": ("running", 3, None, None, None), "e": ("running", 3, None, None, None)}
+
+
 def test_addresses(spark):
     cases = {"https://a.org/bell-schedule": 0.2, "https://a.org/Bell_Schedule/School-Hours": 0.4, "https://a.org/calendar/news": 0.0, "https://a.org/x": 0.0, "https://a.org/parents/x": 0.1}
     # clamped step by step: 1.2 counts as 1 before the penalty

@@ -22,6 +22,22 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "EqualTo(p_type,ECONOMY)" in p and "ReadSchema: struct<p_partkey:bigint,p_type:string>" in p
 
 
+def test_lookups_push_their_keys_and_dates(spark):
+    assert "EqualTo(c_custkey,11)" in plan(spark, "q_lookup_id")
+    p = plan(spark, "agg_enrich_state")
+    assert "derdate,1999-01-01T00:00), LessThan(o_orderdate,2" in p
+
+
+def scans(spark, name, column):
+    return plan(spark, name).split("== Initial Plan ==")[0].count(f"ReadSchema: struct<{column}")
+
+
+def test_the_counts_are_read_once(spark):
+    for name in ("agg_mv_stats", "lct_all", "jn_3way", "agg_scope_summary", "dq_safeguards"):
+        assert scans(spark, name, "l_orderkey") == 1, name
+    assert scans(spark, "dq_qa_report", "l_orderkey") == 0  # it reads the stored run
+
+
 def test_tops_need_no_full_sort(spark):
     for name in ("top_n", "top_targets", "flt_ilike"):
         assert "TakeOrderedAndProject" in plan(spark, name)

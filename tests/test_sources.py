@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lectern.sources import files as S
+from lectern.sources import sheets as X
 
 
 def put(tmp_path, name, text):
@@ -45,3 +46,34 @@ def test_a_run_replaces_itself_alone(spark, tmp_path):
     S.append_batch(spark.range(1), path, "a")
     n = spark.read.parquet(path).groupBy("run_id").agg(F.count("*").alias("n")).collect()
     assert {r["run_id"]: r["n"] for r in n} == {"a": 1, "b": 5}
+
+
+BOOK = {
+    "xl/workbook.xml": '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="Notes" sheetId="1" r:id="rId1"/><sheet name="Staff" sheetId="2" r:id="rId2"/></sheets></workbook>',
+    "xl/_rels/workbook.xml.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId2" Target="/xl/worksheets/b.xml"/><Relationship Id="rId1" Target="worksheets/a.xml"/></Relationships>',
+    "xl/sharedStrings.xml": '<sst xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><si><t>District</t></si><si><r><t>Tea</t></r><r><t>chers</t></r></si><si><t>Oak &amp; Elm</t></si></sst>',
+    "xl/worksheets/a.xml": '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData/></worksheet>',
+    "xl/worksheets/b.xml": '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData><row r="1"><c r="A1" t="inlineStr"><is><t>title</t></is></c></row><row r="2"><c r="A2" t="s"><v>0</v></c><c r="C2" t="s"><v>1</v></c></row><row r="3"><c r="A3" t="s"><v>2</v></c><c r="B3"/><c r="C3"><f>1+1</f><v>2.5</v></c></row><row r="4"/><row r="5"><c r="C5"><v>7</v></c></row></sheetData></worksheet>',
+}
+
+
+def test_a_sheet_of_a_workbook(spark, tmp_path):
+    import io
+    import zipfile
+
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for name, body in BOOK.items():
+            z.writestr(name, body)
+    path = put(tmp_path, "b.xlsx", out.getvalue())
+    got = X.read_sheets(spark, path, ["Teachers", "District", "Absent"], "Staff", 1)
+    assert [tuple(r) for r in got.collect()] == [("2.5", "Oak & Elm", None), ("7", None, None)]
+    assert X.read_sheets(spark, path, ["a"]).count() == 0 and X._column("AB12") == 27
+
+
+def test_sheets_come_back_as_written(spark, tmp_path):
+    df = spark.createDataFrame([("007", 'a <b> & "c"', 3), (None, " spaced ", None), ("8", "é\n漢", -5)], "id string, name string, n bigint")
+    files = X.write_sheets(df.repartition(2), f"file://{tmp_path}/out").collect()
+    assert sum(r["rows"] for r in files) == 3
+    back = X.read_sheets(spark, [r["file"] for r in files], ["id", "name", "n"]).collect()
+    assert sorted(map(tuple, back), key=str) == sorted([("007", 'a <b> & "c"', "3"), (None, " spaced ", None), ("8", "é\n漢", "-5")], key=str)
