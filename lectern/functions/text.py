@@ -50,7 +50,8 @@ def zero_fill(x: Column, width: int) -> Column:
 
 
 def as_integer_text(x: Column) -> Column:
-    return x.try_cast("bigint").cast("string")
+    """A whole number as text, from "12" or "12.0"; null for what isn't a number."""
+    return F.coalesce(x.try_cast("bigint"), x.try_cast("double").try_cast("bigint")).cast("string")
 
 
 def state_district_id(state: Column, raw: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import aggregations, checks, filters, inout, inventory, joins, ordering, projections, scalars, state, streams, texts  # noqa: F401
+from . import aggregations, checks, filters, imports, inout, inventory, joins, ordering, projections, scalars, state, streams, texts  # noqa: F401
 from .registry import ORACLES, QUERIES, complete
 
 

@@ -192,40 +192,6 @@ def state_code(t):
 share("statecounts", "SELECT *, [" + ", ".join(f"'{s}'" for s in _STATES) + "][CAST(district_id AS INTEGER) % 9 + 1] AS st FROM counts")
 
 
-def importer(name, state, categories, keep_zero=False):
-    """A state's staff file: categories side by side; rows without any go unless they count as 0."""
-    cols = ", ".join(f"CAST({'coalesce(' if keep_zero else ''}sum(n) FILTER (category = '{k}'){', 0)' if keep_zero else ''} AS BIGINT) AS {v}" for v, k in categories.items())
-    first = next(iter(categories))
-    tail = "" if keep_zero else f" WHERE coalesce({first}, 0) <> 0"
-
-    def run(t):
-        wide = state_code(t).where(c("st") == state).groupBy("district_id", "year").pivot("category", list(categories.values())).agg(F.sum("n"))
-        wide = wide.select("district_id", "year", *[(F.coalesce(k, F.lit(0)) if keep_zero else c(k)).alias(v) for v, k in categories.items()])
-        return wide if keep_zero else wide.where(F.coalesce(first, F.lit(0)) != 0)
-
-    query(name, f"SELECT * FROM (SELECT district_id, year, {cols} FROM statecounts WHERE st = '{state}' GROUP BY 1, 2){tail}")(run)
-
-
-importer("i_ca_staff", "CA", dict(teachers="AF", administrators="AO", pupil_services="NF", other="NO"))
-importer("i_fl", "FL", dict(teachers="AF", paras="RF"), keep_zero=True)
-importer("i_il", "IL", dict(teacher_fte="AF", administrators="AO", others="RO"))
-importer("i_ma", "MA", dict(teachers="AF", pupils="NO"))
-importer("i_mi", "MI", dict(teacher="AF", se_instr="RF", inst_aid="RO", inst_sup="NO"))
-importer("i_pa", "PA", dict(ct="AF", pp="AO", ad="NF", co="NO", ot="RO"))
-importer("i_va", "VA", dict(teachers="AF", aides="RF", total="NO"))
-
-
-@query("i_ny", "SELECT * FROM (SELECT district_id, category, CAST(sum(n) AS BIGINT) AS fte FROM statecounts WHERE st = 'NY' GROUP BY 1, 2) WHERE fte <> 0")
-def _(t):
-    return state_code(t).where("st = 'NY'").groupBy("district_id", "category").agg(F.sum("n").alias("fte")).where("fte <> 0")
-
-
-@query("i_tx", "SELECT district_id, year, CAST(sum(n) AS BIGINT) AS total_enrollment, CAST(sum(n) AS BIGINT) AS enrollment_g12 FROM statecounts WHERE st = 'TX' GROUP BY 1, 2")
-def _(t):
-    # both columns come from the same position of the file
-    return state_code(t).where("st = 'TX'").groupBy("district_id", "year").agg(F.sum("n").alias("total_enrollment"), F.sum("n").alias("enrollment_g12"))
-
-
 @query("i_idents", "SELECT DISTINCT s.district_id, x.state_id FROM statecounts s JOIN state_ids x ON x.district_id = s.district_id WHERE s.st = 'MI'")
 def _(t):
     ids = state_code(t).where("st = 'MI'").select("district_id").distinct()
