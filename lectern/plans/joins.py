@@ -232,10 +232,16 @@ def fuzzy_cascade(wanted, known):
     return best.select("wanted", "m.name", "m.rule")
 
 
-@query("jn_fuzzy_cascade", """
-    WITH w AS (SELECT DISTINCT regexp_replace(p_name, 'widget$', 'wid') AS wanted FROM part), k AS (SELECT DISTINCT p_name AS name FROM part WHERE p_size > 10),
-    p AS (SELECT wanted, name, CASE WHEN lower(wanted) = lower(name) THEN 1 WHEN contains(lower(name), lower(wanted)) THEN 2 WHEN length(split_part(wanted, ' ', 1)) > 3 THEN 4 END AS rule FROM w JOIN k ON lower(split_part(wanted, ' ', 1)) = lower(split_part(name, ' ', 1)))
-    SELECT wanted, name, rule FROM p WHERE rule IS NOT NULL QUALIFY row_number() OVER (PARTITION BY wanted ORDER BY rule, name) = 1""")
+_SHORT = reduce(lambda x, end: f"regexp_replace({x}, '{end.replace("'", "''")}$', '')", T.SUFFIXES, "trim(wanted)")
+
+
+@query("jn_fuzzy_cascade", f"""
+    WITH w AS (SELECT *, trim({_SHORT}) AS short, list_filter(regexp_split_to_array(wanted, '\\s+'), lambda x: x <> '') AS words FROM (SELECT DISTINCT regexp_replace(p_name, 'widget$', 'wid') AS wanted FROM part)),
+    k AS (SELECT DISTINCT p_name AS name FROM part WHERE p_size > 10),
+    p AS (SELECT wanted, name, words, CASE WHEN wanted = name THEN 1 WHEN contains(lower(name), lower(wanted)) THEN 2 WHEN short <> wanted AND starts_with(lower(name), lower(short)) THEN 3
+                 WHEN len(words) > 1 AND starts_with(lower(name), lower(words[1] || ' ' || words[2])) THEN 5 WHEN length(words[1]) > 3 AND starts_with(lower(name), lower(words[1])) THEN 4 END AS rule FROM w CROSS JOIN k)
+    SELECT wanted, name, rule FROM p WHERE rule IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY wanted ORDER BY CASE rule WHEN 5 THEN 3.5 ELSE rule END, split_part(lower(name), ' ', 1) <> lower(words[1]), name) = 1""")
 def _(t):
     wanted = t.part.select(F.regexp_replace("p_name", "widget$", "wid").alias("wanted")).distinct()
     return fuzzy_cascade(wanted, t.part.where("p_size > 10").select(c("p_name").alias("name")))

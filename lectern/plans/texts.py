@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
@@ -9,7 +11,7 @@ from ..functions import text as T
 from ..operators import pages as P
 from ..operators.relational import latest_per_key, top_per_group
 from .model import districts
-from .registry import query, scalar, share
+from .registry import SHARED, query, scalar, share
 
 c = F.col
 S = "x string"
@@ -316,11 +318,44 @@ def _(t):
     return t.pages.select("page_id", F.md5(F.regexp_replace("html", "<[^>]+>", " ")).alias("md5"))
 
 
-@query("d_combine", "SELECT count(*) AS docs, CAST(sum(length(text)) AS BIGINT) AS n, md5(string_agg(text, chr(10) ORDER BY doc_id)) AS md5 FROM texts WHERE text IS NOT NULL")
+# the texts as files of districts, with a hint of the level in some names
+_FILE = "doc_id || CASE doc_id % 4 WHEN 0 THEN '_elem' WHEN 1 THEN '_HS' WHEN 2 THEN '_junior' ELSE '' END || '.txt'"
+HINTS = (("elementary", "elem|primary|k-[56]"), ("middle", "middle|junior|ms|[67]-8"), ("high", "high|hs|secondary|9-12"))
+_HINT = "CASE " + " ".join(f"WHEN regexp_matches(lower(file), '{p}') THEN '{n}'" for n, p in HINTS) + " END"
+share("districtfiles", f"SELECT doc_id // 3 AS district, doc_id, {_FILE} AS file, text FROM texts WHERE text <> ''")
+share("texts_d", "SELECT district AS doc_id, string_agg(chr(10) || chr(10) || '--- ' || file || ' ---' || chr(10) || chr(10) || text, '' ORDER BY doc_id) AS text FROM districtfiles GROUP BY 1")
+for _name in ("textlines", "tablecells", "celltimes", "fromtables", "fromregex", "parsed"):
+    share(f"{_name}_d", re.sub(r"\b(FROM|JOIN) (texts|textlines|tablecells|celltimes|fromtables|fromregex)\b", r"\1 \2_d", SHARED[_name]))
+
+
+def combined_schedules(files):
+    """(district, level, start, stop, minutes, source): what a district's files give together; else what each gives.
+
+    files: (district, doc_id, file, text).  A file whose name speaks of a level is asked for that level only, and the
+    first file that has a level gives it.
+    """
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "file", "text"))), lambda r: F.concat(F.lit("\n\n--- "), r["file"], F.lit(" ---\n\n"), r["text"])), "")  # the files of one district
+    whole = files.groupBy("district").agg(body.alias("text")).withColumnRenamed("district", "doc_id")
+    together = parsed(whole).withColumnRenamed("doc_id", "district").withColumn("source", F.lit("all files"))
+    hint = F.when(F.lit(False), F.lit(""))
+    for level, pattern in HINTS:
+        hint = hint.when(F.lower("file").rlike(pattern), level)
+    rest = files.join(together.select("district").distinct(), "district", "left_anti")
+    each = parsed(rest.select("doc_id", "text")).join(rest.select("doc_id", "district", c("file").alias("source"), hint.alias("hint")), "doc_id").where("hint is null or hint = level")
+    first = latest_per_key(each, ["district", "level"], [c("doc_id")])
+    return together.drop("method").unionByName(first.select("district", "level", "start", "stop", "minutes", "source"))
+
+
+@query("d_combine", f"""
+    SELECT doc_id AS district, level, start, stop, minutes, 'all files' AS source FROM parsed_d
+    UNION ALL SELECT district, level, start, stop, minutes, file FROM (
+        SELECT f.district, f.doc_id, p.level, p.start, p.stop, p.minutes, f.file FROM parsed p JOIN districtfiles f ON f.doc_id = p.doc_id
+        WHERE f.district NOT IN (SELECT doc_id FROM parsed_d) AND coalesce({_HINT}, p.level) = p.level)
+    QUALIFY row_number() OVER (PARTITION BY district, level ORDER BY doc_id) = 1""")
 def _(t):
-    x = texts(t).where("text is not null")
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda r: r["text"]), "\n")  # the files of one district
-    return x.agg(F.count("*").alias("docs"), F.sum(F.length("text")).alias("n"), F.md5(joined).alias("md5"))
+    k = c("doc_id")
+    name = F.concat(k.cast("string"), F.when(k % 4 == 0, "_elem").when(k % 4 == 1, "_HS").when(k % 4 == 2, "_junior").otherwise(""), F.lit(".txt"))
+    return combined_schedules(texts(t).where("text <> ''").select(F.floor(k / 3).cast("int").alias("district"), "doc_id", name.alias("file"), "text"))
 
 
 @query("d_import_sched", "SELECT doc_id, level, start, stop, minutes FROM parsed WHERE NOT (doc_id = 1 AND level = 'high')")
@@ -363,10 +398,21 @@ def _(t):
     return schools(t).where("level = 'elementary'").select("id", "name")
 
 
-@query("d_dict")
+def dictionary(t, *names):
+    """(place, line) of a data dictionary in markdown: a section for each table with a row for each column."""
+    lines = ["# Data dictionary"]
+    for name in names:
+        lines += ["", f"## {name}", "", "| Column | Type | Nullable |", "|---|---|---|"]
+        lines += [f"| {f.name} | {f.dataType.simpleString()} | {'yes' if f.nullable else 'no'} |" for f in getattr(t, name).schema]
+    return t.values("place int, line string", *enumerate(lines))
+
+
+_DICT = ["# Data dictionary"] + [x for table, columns in (("region", (("r_regionkey", "int"), ("r_name", "string"))), ("nation", (("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int")))) for x in ("", f"## {table}", "", "| Column | Type | Nullable |", "|---|---|---|", *(f"| {n} | {k} | yes |" for n, k in columns))]
+
+
+@query("d_dict", f"SELECT * FROM (VALUES {_v(list(enumerate(_DICT)))}) v(place, line)")
 def _(t):
-    rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in districts(t).schema]
-    return t.values("name string, type string, nullable boolean", *rows)
+    return dictionary(t, "region", "nation")
 
 
 @query("d_campaign", "SELECT state, count(*) AS n, greatest(3 - count(*), 0) AS needed FROM districts WHERE enrollment > 9000 GROUP BY 1")
@@ -374,6 +420,14 @@ def _(t):
     return districts(t).where("enrollment > 9000").groupBy("state").agg(F.count("*").alias("n"), F.greatest(3 - F.count("*"), F.lit(0)).alias("needed"))
 
 
+def files_of(spark, folder, pattern):
+    """(file, modified, newest) of the files of a folder whose names match; the newest by time, then by name."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
+    found = found.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), c("modificationTime").alias("modified"))
+    last = found.agg(F.max(F.struct("modified", "file")).alias("last"))
+    return found.crossJoin(F.broadcast(last)).select("file", "modified", (F.struct("modified", "file") == c("last")).alias("newest"))  # one row
+
+
 @query("d_files")
 def _(t):
-    return t.nation.select(F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1).alias("file")).distinct()
+    return files_of(t.spark, t.folder, "*.parquet").select("file", "newest")

@@ -77,3 +77,15 @@ def test_sheets_come_back_as_written(spark, tmp_path):
     assert sum(r["rows"] for r in files) == 3
     back = X.read_sheets(spark, [r["file"] for r in files], ["id", "name", "n"]).collect()
     assert sorted(map(tuple, back), key=str) == sorted([("007", 'a <b> & "c"', "3"), (None, " spaced ", None), ("8", "é\n漢", "-5")], key=str)
+
+
+def test_the_newest_file(spark, tmp_path):
+    import os
+
+    from lectern.plans.texts import files_of
+
+    for n, at in (("a.csv", 30), ("b.csv", 50), ("c.txt", 90), ("d.csv", 50)):
+        put(tmp_path, n, "x")
+        os.utime(tmp_path / n, (at, at))
+    got = files_of(spark, f"file://{tmp_path}", "*.csv").collect()
+    assert {r["file"]: r["newest"] for r in got} == {"a.csv": False, "b.csv": False, "d.csv": True}
