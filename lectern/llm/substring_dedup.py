@@ -171,9 +171,10 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, anchor_words: in
     # anchors of several documents, with the earliest as owner; written, so that the join below can split a hot anchor
     ends = marks.groupBy("anchor").agg(F.min(ID).alias("i"), F.max(ID).alias("j"), F.min(HASH).alias("k"), F.max(HASH).alias("l")).where("i <> j or k <> l")
     owners = written(ends.select("anchor", F.when(F.col("i") == NO_ID, F.col("anchor")).otherwise(F.xxhash64("i")).alias("owner")), "owners")
-    shared = marks.join(owners, "anchor").select(ID, HASH, F.struct("owner", "s", "e").alias("p"))
+    # merged at every size: texts and anchors are then shuffled alike in small and large tables, and hot keys are split
+    shared = marks.join(owners.hint("merge"), "anchor").select(ID, HASH, F.struct("owner", "s", "e").alias("p"))
     places = written(shared.groupBy(ID, HASH).agg(F.collect_set("p").alias("places")), "places")
-    looked = keyed.join(places, [ID, HASH]).select(ID, HASH, "text", "places")
+    looked = keyed.join(places.hint("merge"), [ID, HASH]).select(ID, HASH, "text", "places")
     rows = written(looked.mapInArrow(_stretches, f"owner bigint, {ID} bigint, {HASH} bigint, s int, words binary"), "stretches")
     sizes = rows.groupBy("owner").agg((F.sum(F.octet_length("words")) / 4).alias("n"))
     hot = written(sizes.where(F.col("n") > owner_words).select("owner"), "hot")
@@ -223,7 +224,7 @@ def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS, anchor_words: int =
     texts stay as they are; extra columns go along; names starting with two underscores are reserved.
     """
     spans = written(repeated_spans(docs, min_words, anchor_words, shard_words, owner_words), "spans")
-    joined = docs.select("*", *row_key()).join(spans, [ID, HASH], "left").select(*docs.columns, "__spans")
+    joined = docs.select("*", *row_key()).join(spans.hint("merge"), [ID, HASH], "left").select(*docs.columns, "__spans")
     names = joined.columns
     schema = joined.schema
     cut = joined.mapInArrow(_cut(names.index("text"), names.index("__spans")), schema).drop("__spans")
