@@ -102,7 +102,9 @@ def variant_rows(joined: DataFrame, with_sped: bool) -> DataFrame:
     lct = lambda s, n: attention(F.col("minutes"), s, n)
 
     def row(scope: str, staff_col: Column, pupils: Column, keep: Column | None = None, cap: bool = False) -> Column:
-        value = F.bround(lct(staff_col, pupils), 2)
+        # in decimals, so that a tie is one whatever its doubles are
+        exact = F.col("minutes").cast("decimal(12,0)") * staff_col.cast("decimal(14,4)") / pupils.cast("decimal(14,2)")
+        value = F.when((staff_col > 0) & (pupils > 0), F.bround(exact, 2).cast("double"))
         note = F.when(F.lit(cap) & (value > MOST), "WARN_SPED_RATIO_CAP").otherwise("")
         shown = F.when(value.isNotNull(), F.least(value, F.lit(float(MOST)))) if cap else value
         if keep is not None:
@@ -129,22 +131,39 @@ def data_tier(source: Column) -> Column:
     return F.when(source == "bell_schedule", 1).when(source.startswith("bell_schedule_"), 2).otherwise(3)
 
 
-def special_education(districts: DataFrame, lea: DataFrame, state: DataFrame) -> DataFrame:
-    """(district_id, sped, self_contained, gened, sped_teachers, sped_instructional, gened_teachers, method, confidence).
+def with_special_education(rows: DataFrame, lea: DataFrame, state: DataFrame) -> DataFrame:
+    """rows (district_id, state, pupils, teachers, ...) with the estimates of special_education() beside them.
 
-    districts: (district_id, state, pupils, teachers); lea: (district_id, proportion); state: (state, proportion,
-    self_contained, teacher_ratio, instructional_ratio).  A district's proportion falls back on its state's; one without
-    either is left out.  Where a state lacks the teacher or the self-contained ratio, all three ratios are the means
-    over the states, each over its own known values.  Counts of pupils are rounded half to even from step to step.
+    Where there is none, because no proportion is known or the district has no pupils, they are null.
     """
     mean = state.where("teacher_ratio is not null").agg(*[F.avg(truthy(F.col(c))).alias(f"mean_{c}") for c in ("self_contained", "teacher_ratio", "instructional_ratio")])
-    rows = districts.join(lea.select("district_id", F.col("proportion").alias("own")), "district_id", "left").join(F.broadcast(state), "state", "left").crossJoin(F.broadcast(mean))  # one row a state; one row
-    share = F.coalesce(truthy(F.col("own")), truthy(F.col("proportion")))
-    national = truthy(F.col("teacher_ratio")).isNull() | truthy(F.col("self_contained")).isNull()
-    ratio = lambda c: F.when(national, F.col(f"mean_{c}")).otherwise(F.col(c))
-    rows = rows.withColumns({"share": share, "sc": ratio("self_contained"), "tr": ratio("teacher_ratio"), "ir": ratio("instructional_ratio")}).where("share is not null and pupils > 0")
-    rows = rows.withColumn("sped", F.bround(F.col("pupils") * F.col("share"), 0).cast("long")).withColumn("contained", F.bround(F.col("sped") * F.col("sc"), 0).cast("long"))
-    rows = rows.withColumns({"sped_teachers": F.bround(F.col("contained") * F.col("tr"), 2), "sped_instructional": F.bround(F.col("contained") * F.col("ir"), 2)}).withColumn("gened_teachers", F.bround(F.col("teachers") - F.col("sped_teachers"), 2))
-    method = F.when(national, "national_average_fallback").when(truthy(F.col("own")).isNotNull(), "lea_ratio").otherwise("state_ratio")
+    states = state.select("state", F.col("proportion").alias("__p"), F.col("self_contained").alias("__sc"), F.col("teacher_ratio").alias("__tr"), F.col("instructional_ratio").alias("__ir"))
+    have = rows.columns
+    full = rows.join(lea.select("district_id", F.col("proportion").alias("__own")), "district_id", "left").join(F.broadcast(states), "state", "left").crossJoin(F.broadcast(mean))  # one row a state; one row
+    share = F.when(F.col("pupils") > 0, F.coalesce(truthy(F.col("__own")), truthy(F.col("__p"))))
+    national = truthy(F.col("__tr")).isNull() | truthy(F.col("__sc")).isNull()
+    ratio = lambda short, c: F.when(national, F.col(f"mean_{c}")).otherwise(F.col(short))
+    full = full.withColumns({"__share": share, "__national": national, "__a": ratio("__sc", "self_contained"), "__b": ratio("__tr", "teacher_ratio"), "__c": ratio("__ir", "instructional_ratio")})
+    full = full.withColumn("sped", F.bround(F.col("pupils") * F.col("__share"), 0).cast("long")).withColumn("self_contained", F.bround(F.col("sped") * F.col("__a"), 0).cast("long"))
+    full = full.withColumns({"sped_teachers": F.bround(F.col("self_contained") * F.col("__b"), 2), "sped_instructional": F.bround(F.col("self_contained") * F.col("__c"), 2)}).withColumn("gened_teachers", F.bround(F.col("teachers") - F.col("sped_teachers"), 2))
+    there = lambda x: F.when(F.col("__share").isNotNull(), x)
+    method = F.when(F.col("__national"), "national_average_fallback").when(truthy(F.col("__own")).isNotNull(), "lea_ratio").otherwise("state_ratio")
     confidence = F.when(F.col("gened_teachers") < 0, "low").otherwise("medium")
-    return rows.select("district_id", "sped", F.col("contained").alias("self_contained"), (F.col("pupils") - F.col("contained")).alias("gened"), "sped_teachers", "sped_instructional", "gened_teachers", method.alias("method"), confidence.alias("confidence"))
+    full = full.withColumns({"gened": F.col("pupils") - F.col("self_contained"), "sped_method": there(method), "confidence": there(confidence)})
+    return full.select(*have, *ESTIMATES)
+
+
+#: What with_special_education() adds.
+ESTIMATES = ("sped", "self_contained", "gened", "sped_teachers", "sped_instructional", "gened_teachers", "sped_method", "confidence")
+
+
+def special_education(districts: DataFrame, lea: DataFrame, state: DataFrame, *also: str) -> DataFrame:
+    """(district_id, sped, self_contained, gened, sped_teachers, sped_instructional, gened_teachers, method, confidence).
+
+    districts: (district_id, state, pupils, teachers), and columns that go along; lea: (district_id, proportion); state:
+    (state, proportion, self_contained, teacher_ratio, instructional_ratio).  A district's proportion falls back on its
+    state's; one without either is left out.  Where a state lacks the teacher or the self-contained ratio, all three
+    ratios are the means over the states, each over its own known values.  Counts of pupils are rounded half to even
+    from step to step.
+    """
+    return with_special_education(districts, lea, state).where("sped_method is not null").select("district_id", *also, *ESTIMATES).withColumnRenamed("sped_method", "method")

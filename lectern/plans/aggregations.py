@@ -8,8 +8,8 @@ from ..functions import numbers as N
 from ..operators import attention as A
 from ..operators.relational import latest_per_key, unpivot_present
 from .joins import newest
-from .model import STAFF, attempts, bell, counts, districts, enrollment, requirements, staff
-from .projections import levels, size_class, sped_estimate
+from .model import STAFF, attempts, bell, counts, districts, enrollment, lea_ratios, requirements, staff, state_ratios
+from .projections import levels, size_class
 from .registry import query, share
 
 c = F.col
@@ -17,7 +17,7 @@ c = F.col
 
 def even(staff: str, pupils: str) -> str:
     """SQL for minutes * staff / pupils to 2 places, ties to even, in whole numbers."""
-    n, d = f"(minutes * CAST({staff} AS BIGINT) * 100)", f"CAST({pupils} AS BIGINT)"
+    n, d = f"(minutes * CAST(round({staff} * 100) AS BIGINT))", f"CAST({pupils} AS BIGINT)"
     return f"CASE WHEN {staff} > 0 AND {pupils} > 0 THEN ({n} // {d} + CASE WHEN 2 * ({n} % {d}) > {d} OR (2 * ({n} % {d}) = {d} AND ({n} // {d}) % 2 = 1) THEN 1 ELSE 0 END) / 100.0 END"
 
 
@@ -37,7 +37,7 @@ BASE_ROWS = [(s, f'"{s}"', "k12", "plain") for s in A.BASE] + [("teachers_elemen
 SPED_ROWS = [("core_sped", "sped_teachers", "self_contained", "cap"), ("teachers_gened", "gened_teachers", "(k12 - coalesce(self_contained, 0))", "level"), ("instructional_sped", "sped_instructional", "self_contained", "cap")]
 share("lastscopes", "SELECT * FROM scopes QUALIFY row_number() OVER (PARTITION BY district_id ORDER BY year DESC) = 1")
 share("lastlevels", "SELECT * FROM levels QUALIFY row_number() OVER (PARTITION BY district_id ORDER BY year DESC) = 1")
-share("lastsped", "SELECT *, sped_teachers + sped_teachers // 2 AS sped_instructional FROM sped QUALIFY row_number() OVER (PARTITION BY district_id ORDER BY year DESC) = 1")
+share("lastsped", "SELECT * FROM sped QUALIFY row_number() OVER (PARTITION BY district_id ORDER BY year DESC) = 1")
 share("lctbase", """
     SELECT d.district_id, d.state, m.minutes, m.minutes_source, s.teachers_only, s.teachers_k5, s.teachers_612, s.teachers_core, s.instructional, s.instructional_plus_support, s."all", l.k12, l.k5, l.g612,
            p.self_contained, p.sped_teachers, p.sped_instructional, p.gened_teachers
@@ -65,17 +65,16 @@ def latest_wide(t):
 
 def lct_rows(t, with_sped=False):
     """The long table: a row for each district and scope."""
-    wide = A.with_scopes(latest_wide(t))
+    wide = A.with_scopes(latest_wide(t)).where("k12 > 0")
+    minutes = A.minutes_chain(bell(t), requirements(t), districts(t))
+    joined = wide.join(districts(t).where("not shared_service").select("district_id", "state"), "district_id").join(minutes, "district_id")
     if with_sped:
         z = lambda n: F.coalesce(n, F.lit(0))
-        wide = sped_estimate(wide.withColumns({"staff": (z("elementary") + z("secondary") + z("kindergarten")).cast("double"), "pupils": c("total")}))
-        wide = wide.withColumn("sped_instructional", c("sped_teachers") + F.floor(c("sped_teachers") / 2))
+        joined = joined.withColumns({"teachers": (z("elementary") + z("secondary") + z("kindergarten")).cast("double"), "pupils": c("total")})
+        joined = A.with_special_education(joined, lea_ratios(t), state_ratios(t))
         sure = c("confidence") != "low"
-        wide = wide.withColumns({n: F.when(sure, c(n)) for n in ("self_contained", "sped_teachers", "sped_instructional", "gened_teachers")})
-    wide = wide.where("k12 > 0").drop("year", *A_STAFF)
-    minutes = A.minutes_chain(bell(t), requirements(t), districts(t))
-    joined = wide.join(districts(t).where("not shared_service").select("district_id", "state"), "district_id").join(minutes, "district_id")
-    return A.variant_rows(joined, with_sped)
+        joined = joined.withColumns({n: F.when(sure, c(n)) for n in ("self_contained", "sped_teachers", "sped_instructional", "gened_teachers")})
+    return A.variant_rows(joined.drop("year", "pupils", *A_STAFF), with_sped)
 
 
 _STATS = "count(*) AS n, round(avg(lct), 8) AS mean, round(median(lct), 8) AS median, round(stddev_samp(lct), 8) AS std, min(lct) AS least, max(lct) AS most, count(DISTINCT district_id) AS districts"

@@ -114,6 +114,28 @@ share("requirements", """
     FROM nation""")
 
 
+def lea_ratios(t: Tables) -> DataFrame:
+    """(district_id, proportion): the share of pupils in special education that a quarter of the districts reported."""
+    k = F.col("c_custkey")
+    return t.customer.where(k % 4 == 1).select(F.lpad(k.cast("string"), 7, "0").alias("district_id"), ((k % 20 + 5) / 100).alias("proportion"))
+
+
+share("learatios", "SELECT lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS district_id, CAST(c_custkey % 20 + 5 AS DOUBLE) / 100 AS proportion FROM customer WHERE c_custkey % 4 = 1")
+
+
+def state_ratios(t: Tables) -> DataFrame:
+    """(state, proportion, self_contained, teacher_ratio, instructional_ratio), each unknown in some states."""
+    k = F.col("n_nationkey")
+    some = lambda n, r, x: F.when(k % n != r, x / 100)
+    return t.nation.select(F.col("n_name").alias("state"), some(6, 5, k + 10).alias("proportion"), some(5, 4, k + 20).alias("self_contained"), some(4, 3, k % 8 + 5).alias("teacher_ratio"), some(12, 8, k % 5 + 12).alias("instructional_ratio"))
+
+
+share("stateratios", """
+    SELECT n_name AS state, CASE WHEN k % 6 <> 5 THEN (k + 10) / 100 END AS proportion, CASE WHEN k % 5 <> 4 THEN (k + 20) / 100 END AS self_contained,
+           CASE WHEN k % 4 <> 3 THEN (k % 8 + 5) / 100 END AS teacher_ratio, CASE WHEN k % 12 <> 8 THEN (k % 5 + 12) / 100 END AS instructional_ratio
+    FROM (SELECT n_name, CAST(n_nationkey AS DOUBLE) AS k FROM nation)""")
+
+
 def attempts(t: Tables) -> DataFrame:
     status = F.create_map(*[F.lit(x) for kv in STATUS.items() for x in kv])
     k = F.get_json_object("props", "$.k").cast("int")

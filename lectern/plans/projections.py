@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import numbers as N
 from ..operators import attention as A
-from .model import bell, counts, districts, enrollment, requirements, staff
+from .model import bell, counts, districts, enrollment, lea_ratios, requirements, staff, state_ratios
 from .registry import query, share
 
 share("facts", """
@@ -147,25 +147,25 @@ def _(t):
     return staff(t).where("coalesce(elementary, 0) <> 0").select("district_id", "year", F.when(some.isNotNull(), F.coalesce("paras", F.lit(0)) + F.coalesce("coordinators", F.lit(0))).alias("equity"))
 
 
+share("ratiomeans", "SELECT avg(self_contained) AS sc, avg(teacher_ratio) AS tr, avg(instructional_ratio) AS ir FROM stateratios WHERE teacher_ratio IS NOT NULL")
 SPED_SQL = """
-    SELECT district_id, year, pupils, CAST(round_even(pupils * 0.14, 0) AS BIGINT) AS sped, CAST(round_even(round_even(pupils * 0.14, 0) * 0.3, 0) AS BIGINT) AS self_contained,
-           CAST(round_even(round_even(pupils * 0.14, 0) / 16.0, 0) AS BIGINT) AS sped_teachers, CAST(staff AS BIGINT) - CAST(round_even(round_even(pupils * 0.14, 0) / 16.0, 0) AS BIGINT) AS gened_teachers,
-           CASE WHEN CAST(staff AS BIGINT) - CAST(round_even(round_even(pupils * 0.14, 0) / 16.0, 0) AS BIGINT) < 0 THEN 'low' ELSE 'medium' END AS confidence
-    FROM facts"""
+    SELECT district_id, year, sped, self_contained, pupils - self_contained AS gened, sped_teachers, sped_instructional, gened_teachers, method, CASE WHEN gened_teachers < 0 THEN 'low' ELSE 'medium' END AS confidence, pupils
+    FROM (SELECT *, round_even(staff - sped_teachers, 2) AS gened_teachers
+    FROM (SELECT *, round_even(self_contained * tr, 2) AS sped_teachers, round_even(self_contained * ir, 2) AS sped_instructional
+    FROM (SELECT *, CAST(round_even(sped * sc, 0) AS BIGINT) AS self_contained
+    FROM (SELECT f.district_id, f.year, f.pupils, f.staff, CAST(round_even(f.pupils * coalesce(l.proportion, s.proportion), 0) AS BIGINT) AS sped,
+                 CASE WHEN s.teacher_ratio IS NULL OR s.self_contained IS NULL THEN m.sc ELSE s.self_contained END AS sc, CASE WHEN s.teacher_ratio IS NULL OR s.self_contained IS NULL THEN m.tr ELSE s.teacher_ratio END AS tr,
+                 CASE WHEN s.teacher_ratio IS NULL OR s.self_contained IS NULL THEN m.ir ELSE s.instructional_ratio END AS ir,
+                 CASE WHEN s.teacher_ratio IS NULL OR s.self_contained IS NULL THEN 'national_average_fallback' WHEN l.proportion IS NOT NULL THEN 'lea_ratio' ELSE 'state_ratio' END AS method
+          FROM facts f JOIN districts d ON d.district_id = f.district_id LEFT JOIN learatios l ON l.district_id = f.district_id JOIN stateratios s ON s.state = d.state CROSS JOIN ratiomeans m
+          WHERE coalesce(l.proportion, s.proportion) IS NOT NULL AND f.pupils > 0))))"""
 share("sped", SPED_SQL)
 
 
-def sped_estimate(df, share_of=0.14, contained=0.3, caseload=16.0):
-    """Six steps from pupils to teachers, each a whole number by half-even rounding."""
-    whole = lambda c: F.bround(c, 0).cast("long")
-    df = df.withColumn("sped", whole(F.col("pupils") * share_of))
-    df = df.withColumn("self_contained", whole(F.col("sped") * contained)).withColumn("sped_teachers", whole(F.col("sped") / caseload))
-    df = df.withColumn("gened_teachers", F.col("staff").cast("long") - F.col("sped_teachers"))
-    return df.withColumn("confidence", F.when(F.col("gened_teachers") < 0, "low").otherwise("medium"))
-
-
 def sped(t):
-    return sped_estimate(facts(t)).drop("staff", "minutes")
+    """The special-education estimates of each district and year."""
+    rows = facts(t).withColumnRenamed("staff", "teachers").join(districts(t).select("district_id", "state"), "district_id")
+    return A.special_education(rows, lea_ratios(t), state_ratios(t), "year", "pupils")
 
 
 @query("prj_sped_est", "SELECT * FROM sped")
