@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
+
 #: Words of one recursive query, and words that a partition remembers.
 QUERY_WORDS, KEPT_WORDS = 40_000, 600_000
 #: Bytes from which a word is parted where no token can reach across, is not remembered, and has queries of its own.
@@ -31,6 +33,12 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 DEFAULT_VOCABULARY = os.environ.get("BYTE_BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
 
 
+def file_bytes(path: str) -> bytes:
+    """A vocabulary file, of some megabytes: the driver reads it and sends it to the tasks."""
+    with open(path, "rb") as f:
+        return f.read()
+
+
 def _byte_of_character() -> dict[str, int]:
     """The characters that byte-level vocabularies write bytes as: printable ones as they are, others from 256 up."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -43,14 +51,15 @@ def _byte_of_character() -> dict[str, int]:
 
 
 @lru_cache(maxsize=4)
-def vocabulary(path: str) -> tuple[dict[int, bytes], list[tuple[int, int, int]]]:
+def vocabulary(path: str, data: bytes | None = None) -> tuple[dict[int, bytes], list[tuple[int, int, int]]]:
     """Bytes of each token id, and (left, right, merged) ids in the order of their ranks.
 
-    A .tiktoken file has ranks only: the pair of a token is what the lower ranks leave of its bytes.
+    A .tiktoken file has ranks only: the pair of a token is what the lower ranks leave of its bytes.  data: what the
+    file holds, where it was read already.
     """
+    data = file_bytes(path) if data is None else data
     if path.endswith(".tiktoken"):
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
         merges = []
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
             if len(token) > 1:
@@ -60,8 +69,7 @@ def vocabulary(path: str) -> tuple[dict[int, bytes], list[tuple[int, int, int]]]
                     parts[low : low + 2] = [parts[low] + parts[low + 1]]
                 merges.append((ranks[parts[0]], ranks[parts[1]], rank))
         return {r: t for t, r in ranks.items()}, merges
-    with open(path, encoding="utf-8") as f:
-        model = json.load(f)["model"]
+    model = json.loads(data)["model"]
     byte = _byte_of_character()
     ids = {t: i for t, i in model["vocab"].items() if all(c in byte for c in t)}
     pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
@@ -113,10 +121,10 @@ SELECT text, string_agg(piece, '' ORDER BY pos) AS body FROM given JOIN vocabula
 class Coder:
     """The tables of one vocabulary in a DuckDB connection of its own."""
 
-    def __init__(self, path: str = DEFAULT_VOCABULARY) -> None:
+    def __init__(self, path: str = DEFAULT_VOCABULARY, data: bytes | None = None) -> None:
         import duckdb
 
-        tokens, merges = vocabulary(path)
+        tokens, merges = vocabulary(path, data)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "700MB"})
         merge = pa.table({"a": pa.array([m[0] for m in merges], pa.int32()), "b": pa.array([m[1] for m in merges], pa.int32()), "rank": pa.array(range(len(merges)), pa.int64()), "merged": pa.array([m[2] for m in merges], pa.int32())})
         # bytes as Latin-1 characters: DuckDB joins text, and a token may end inside a character
@@ -214,17 +222,17 @@ class Coder:
 
 
 @lru_cache(maxsize=2)
-def coder(path: str) -> Coder:
+def coder(path: str, data: bytes | None = None) -> Coder:
     """One coder for a Python worker, with the words it has met."""
-    return Coder(path)
+    return Coder(path, data)
 
 
 @lru_cache(maxsize=2)
-def counter(path: str = DEFAULT_VOCABULARY):
+def counter(path: str = DEFAULT_VOCABULARY, data: bytes | None = None):
     """A function from a text to the number of tokens that encode() gives it, by a compiled library: no ids are kept."""
     import tiktoken
 
-    tokens, merges = vocabulary(path)
+    tokens, merges = vocabulary(path, data)
     ranks = {t: i for i, t in enumerate(sorted(t for t in tokens.values() if len(t) == 1))}
     ranks |= {tokens[merged]: len(ranks) + i for i, (_, _, merged) in enumerate(merges)}
     coder = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -240,8 +248,10 @@ def encode(docs: DataFrame, path: str = DEFAULT_VOCABULARY) -> DataFrame:
     merge.  Repeated rows are encoded each; extra columns are ignored; an empty table gives an empty result.
     """
 
+    sent = docs.sparkSession.sparkContext.broadcast(file_bytes(path))
+
     def run(batches):
-        own = coder(path)
+        own = coder(path, sent.value)
         for batch in batches:
             for i in range(0, batch.num_rows, 2048):
                 part = batch.slice(i, 2048)
@@ -252,14 +262,17 @@ def encode(docs: DataFrame, path: str = DEFAULT_VOCABULARY) -> DataFrame:
                 same = pa.array([None if t is None else t == b for t, b in zip(texts, back, strict=True)], pa.bool_())
                 yield pa.RecordBatch.from_arrays([part.column(0), ids, count, same], names=["doc_id", "tokens", "n_tokens", "same"])
 
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, tokens array<int>, n_tokens bigint, same boolean")
 
 
 def decode(encoded: DataFrame, path: str = DEFAULT_VOCABULARY) -> DataFrame:
     """(doc_id, text) from (doc_id, tokens); null tokens give a null text, and an unknown id adds nothing."""
 
+    sent = encoded.sparkSession.sparkContext.broadcast(file_bytes(path))
+
     def run(batches):
-        own = coder(path)
+        own = coder(path, sent.value)
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
