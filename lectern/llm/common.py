@@ -12,6 +12,17 @@ ID, HASH = "__row_id", "__row_hash"
 NO_ID = (1 << 63) - 1
 
 
+#: Bytes of one Arrow batch on its way to Python and back, about.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by bytes, unless it does so itself: ten thousand long texts in one would take too much memory."""
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -26,8 +37,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of df from a Parquet table in the shared folder: lineage ends there and no lost executor takes it along."""
+    """The rows of df from a Parquet table in the shared folder: lineage ends there and no lost executor takes it along.
+
+    Results read such tables when they are asked for, so like checkpoints they stay until the folder is cleared.
+    """
     spark = df.sparkSession
+    bounded_batches(spark)
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -46,7 +61,8 @@ def drop_written(df: DataFrame) -> None:
 def row_key(text: str = "text", ident: str = "doc_id") -> list[Column]:
     """Columns that tell rows apart even where ids repeat: the id and a hash of the text.
 
-    A null id becomes the largest number, so that keys can be compared by plain equality and nulls come last.
+    A null id becomes the largest number, so that keys can be compared by plain equality and nulls come last.  Ids are
+    whole numbers, or texts of them: others are an error, and the largest 64-bit number counts as null.
     """
     return [F.coalesce(F.col(ident).cast("long"), F.lit(NO_ID)).alias(ID), F.xxhash64(F.col(text)).alias(HASH)]
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import bounded_batches, written
 from .tokens import fold_case, hashed_words
 
 #: Words with a vector of their own; all others are predicted as number 0 and told apart by share or spelling.
@@ -363,6 +363,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     counts and scores; texts without a word have 0 words, log-probability 0 and a null perplexity.  Repeated rows are
     scored each; extra columns are ignored; an empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     sent, name = docs.sparkSession.sparkContext.broadcast(replace(model, listed=None)), uuid.uuid4().hex
     apart = model.listed is not None
 

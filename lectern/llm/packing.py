@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import bpe
@@ -56,30 +58,36 @@ def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]
     return out[::-1]
 
 
-def _counted(path: str):
-    """Rows with the number of byte-level BPE tokens of the text in place of the text (column 0)."""
+def _count(spark: SparkSession, path: str):
+    """A column function: the number of byte-level BPE tokens of a text; only the texts go to Python."""
+    sent = spark.sparkContext.broadcast(bpe.file_bytes(path))
+
+    def run(texts: pa.Array) -> pa.Array:
+        count = bpe.counter(path, sent.value)
+        return pa.array([count(t) if (t := x.as_py()) else 0 for x in texts], pa.int64())
+
+    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, "bigint")
 
-    def run(batches):
-        count = bpe.counter(path)
-        for batch in batches:
-            n = [count(t) if t else 0 for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64()), *batch.columns[1:]], names=["n_tokens", *batch.schema.names[1:]])
 
-    return run
+def _rank():
+    """A column function: a row's place in its bucket among the rows of its task, which are sorted by bucket."""
 
+    def run(buckets: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        last, done = None, 0
+        for column in buckets:
+            bucket = np.asarray(column)
+            if not len(bucket):
+                yield pa.array([], pa.int64())
+                continue
+            first = np.concatenate([[True], bucket[1:] != bucket[:-1]])
+            start = np.flatnonzero(first)[np.cumsum(first) - 1]
+            rank = np.arange(len(bucket)) - start + np.where((start == 0) & (bucket == last), done, 0)
+            last, done = bucket[-1], int(rank[-1]) + 1
+            yield pa.array(rank, pa.int64())
 
-def _ranked(batches):
-    """Rows with their place in their bucket among the rows of this task, which are sorted by bucket."""
-    last, done = None, 0
-    for batch in batches:
-        bucket = np.asarray(batch.column(0))
-        if not len(bucket):
-            continue
-        first = np.concatenate([[True], bucket[1:] != bucket[:-1]])
-        start = np.flatnonzero(first)[np.cumsum(first) - 1]
-        rank = np.arange(len(bucket)) - start + np.where((start == 0) & (bucket == last), done, 0)
-        last, done = bucket[-1], int(rank[-1]) + 1
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rank, pa.int64())], names=[*batch.schema.names, "rank"])
+    run.__annotations__ = {"buckets": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "bigint")
 
 
 def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET, keep: bool = False, path: str = bpe.DEFAULT_VOCABULARY) -> DataFrame:
@@ -98,17 +106,15 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET, ke
     """
     names = [c for c in docs.columns if c not in ADDED] if keep else ["doc_id"]
     carried = F.struct(*(F.col(f"`{c}`") for c in names)).alias("row")
-    given = docs.select(F.col("text").alias("t"), F.col("doc_id").cast("long").alias("i"), F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("u"), carried)
-    kind = given.schema["row"].dataType.simpleString()
-    sized = written(given.mapInArrow(_counted(path), f"n_tokens bigint, i bigint, h bigint, u bigint, row {kind}"), "lengths")
+    given = docs.select(_count(docs.sparkSession, path)("text").alias("n_tokens"), F.col("doc_id").cast("long").alias("i"), F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("u"), carried)
+    sized = written(given, "lengths")
     histogram = sized.groupBy("n_tokens").count().orderBy("n_tokens").collect()
     tops = boundaries([r[0] for r in histogram], [r[1] for r in histogram], buckets)
     edges = F.array(*[F.lit(t).cast("long") for t in tops]) if tops else F.array(F.lit(0).cast("long"))
     bucket = F.size(F.filter(edges, lambda t: t < F.col("n_tokens"))).cast("long").alias("bucket")
     order = ["bucket", F.col("i").asc_nulls_last(), "n_tokens", "h", "u"]
     placed = sized.select(bucket, "n_tokens", "i", "h", "u", "row").repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = placed.select("bucket", "n_tokens", "row", F.spark_partition_id().alias("at"))
-    local = written(placed.mapInArrow(_ranked, f"bucket bigint, n_tokens bigint, row {kind}, at int, rank bigint"), "ranks")
+    local = written(placed.select("bucket", "n_tokens", "row", F.spark_partition_id().alias("at"), _rank()("bucket").alias("rank")), "ranks")
     # a row for each task and bucket, of which a task of the sort has few: small enough for a broadcast
     sizes = local.groupBy("bucket", "at").agg(F.count("*").alias("n"))
     before = sizes.select("bucket", "at", (F.sum("n").over(Window.partitionBy("bucket").orderBy("at")) - F.col("n")).alias("before"))

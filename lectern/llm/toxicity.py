@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ID
+from .common import ID, bounded_batches
 from .tokens import buffers, hash_of, hashed_words
 
 #: Labelled documents used to learn words and the density threshold, at most.
@@ -218,6 +218,7 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> Gram
     the toxic one counts.  Without toxic or without clean labels, as in empty tables, the seed and the default threshold
     are used.
     """
+    bounded_batches(docs.sparkSession)
     sample = _labelled(docs, labels, bound)
 
     def distinct(batches):
@@ -271,6 +272,7 @@ def score(docs: DataFrame, grammar: Grammar) -> DataFrame:
     clauses.  A row is toxic when score reaches the grammar's density or strongest reaches STRONG_CLAUSE.  Whole texts
     are read.  Null and empty texts, and texts of marks alone, score 0.  Repeated rows are scored each; extra columns are ignored; null ids stay.
     """
+    bounded_batches(docs.sparkSession)
     keyed = docs.select(F.col("doc_id").cast("long").alias(ID), "text")
     return keyed.mapInArrow(_scorer(grammar, False), "doc_id bigint, score double, strongest double, clauses bigint, toxic boolean")
 
@@ -293,4 +295,5 @@ def _scorer(grammar: Grammar, only_clean: bool):
 
 def drop_toxic(docs: DataFrame, grammar: Grammar) -> DataFrame:
     """The rows of docs, all columns, that score() doesn't call toxic.  Null and empty texts stay."""
+    bounded_batches(docs.sparkSession)
     return docs.mapInArrow(_scorer(grammar, True), docs.schema)
