@@ -15,15 +15,20 @@ SHARED: dict[str, str] = {}
 
 
 class Tables:
-    """The tables of one folder; each is read when it is first named."""
+    """The tables of one folder; a table's schema is looked up when it is first named, and each naming is a scan of its own."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder, self.schemas = spark, folder, {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if name in self.schemas:
+            return self.spark.read.schema(self.schemas[name]).parquet(path)
+        df = self.spark.read.parquet(path)
+        self.schemas[name] = df.schema
+        return df
 
     def values(self, schema: str, *rows: tuple) -> DataFrame:
         return self.spark.createDataFrame(list(rows), schema)
