@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -98,6 +99,51 @@ def test_close_pairs_against_all_pairs():
     assert set(zip(i.tolist(), j.tolist(), strict=True)) == set(zip(*np.nonzero(d[:100, 100:] <= 50), strict=True))
 
 
+def test_bands_hold_all_pairs_and_compare_few():
+    rng = np.random.default_rng(6)
+    a = rng.integers(0, 1 << 63, (6000, 2), dtype=np.uint64)
+    bits = rng.permuted(np.tile(np.arange(128) < np.arange(3000)[:, None] % 40, 1), axis=1)  # up to 39 bits are turned
+    a[3000:] = a[:3000] ^ np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+    for radius in (3, simhash.RADIUS, 33):
+        want = set()
+        for at in range(0, len(a), 500):
+            d = np.bitwise_count(a[at : at + 500, None] ^ a[None]).sum(axis=2, dtype=np.int16)
+            want |= {(p + at, q) for p, q in zip(*np.nonzero(d <= radius), strict=True) if p + at < q}
+        i, j = simhash.close_pairs(a, a, radius, True)
+        assert len(i) == len(want) and set(zip(i.tolist(), j.tolist(), strict=True)) == want
+        i, j = simhash.close_pairs(a[:3000], a[3000:], radius, False)
+        assert set(zip(i.tolist(), (j + 3000).tolist(), strict=True)) == {x for x in want if x[0] < 3000 <= x[1]}
+    # of random codes in a large tile a small share is compared at all
+    for codes, most in ((200_000, 0.1), (1_000_000, 0.07)):
+        parted = simhash.bands(codes)
+        assert sum(width for _, width, *_ in parted) == 128
+        met = sum(math.comb(width, k) / 2**width for _, width, near, *_ in parted for k in range(near + 1))
+        assert met < most
+
+
+def test_very_many_codes_that_are_all_close():
+    codes = np.zeros((5000, 2), np.uint64)
+    codes[:, 0] = np.flatnonzero(np.bitwise_count(np.arange(1 << 14)) <= 6)[:5000]
+    root, seen = np.arange(5000), 0
+    for i, j in simhash.band_pairs(codes, codes, simhash.RADIUS, True, simhash.bands(5000)[-1]):
+        assert len(i) <= simhash._HELD + simhash._LANE
+        seen += len(i)
+        root = simhash._linked(root, i, j)
+    assert not root.any() and seen >= 5000 * 4999 // 2
+
+
+def test_links_over_tiles_and_bands(spark):
+    rng = np.random.default_rng(8)
+    codes = rng.integers(0, 1 << 63, (6000, 2), dtype=np.uint64)
+    turned = rng.permuted(np.tile(np.arange(128) < simhash.RADIUS, (2000, 1)), axis=1)
+    codes[4000:] = codes[:2000] ^ np.packbits(turned, axis=1, bitorder="little").view(np.uint64)
+    table = spark.createDataFrame([tuple(r) for r in codes.view(np.int64).tolist()], "lo long, hi long")
+    for tile in (5000, 10_000):  # more than _WHOLE: with bands
+        root = {r["node"]: r["root"] for r in components(simhash.near_links(table, tile=tile)).collect()}
+        signed = [tuple(r) for r in codes.view(np.int64).tolist()]
+        assert {tuple(k): tuple(v) for k, v in root.items()} == {max(p, q): min(p, q) for p, q in zip(signed[:2000], signed[4000:], strict=True)}
+
+
 def test_one_row_of_each_group_stays(documents):
     rng = random.Random(1)
     t = text_of(rng, 100)
