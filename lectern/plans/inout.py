@@ -12,7 +12,6 @@ from .model import bell, counts, districts, requirements
 from .registry import query
 
 c = F.col
-DERBY = "org.apache.derby.jdbc.EmbeddedDriver"
 _D = "SELECT district_id, name, enrollment FROM districts"
 _SCHEMA = "district_id string, name string, enrollment bigint"
 
@@ -86,13 +85,11 @@ def _(t):
 
 @query("src_jdbc", "SELECT district_id, name, CAST(c_custkey AS BIGINT) AS k FROM districts JOIN customer ON CAST(district_id AS BIGINT) = c_custkey")
 def _(t):
-    # an embedded database, which all tasks of one local session share
-    url = "jdbc:derby:memory:lectern" + S.scratch(t.spark, "db").rsplit("-", 1)[1] + ";create=true"
     rows = districts(t).select("district_id", "name", c("district_id").cast("long").alias("k"))
-    rows.coalesce(1).write.format("jdbc").option("url", url).option("driver", DERBY).option("dbtable", "districts").save()
+    url = S.write_database(rows, "districts")
     # as many rows as ids: the bounds part the range, they leave nothing out
     most = rows.agg(F.max("k")).first()[0] or 1
-    return S.read_table(t.spark, url, "districts", '"k"', (0, most), 4, DERBY)
+    return S.read_table(t.spark, url, "districts", '"k"', (0, most), 4, S.DERBY)
 
 
 @query("src_json_doc", "SELECT * FROM (VALUES ('0000001', 'high', 400), ('0000001', 'middle', 390), ('0000002', 'high', 380)) v(district_id, grade_level, minutes)")

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +95,49 @@ def read_table(spark: SparkSession, url: str, table: str, column: str | None = N
     return r.load()
 
 
+DERBY = "org.apache.derby.jdbc.EmbeddedDriver"
+_KINDS = {"string": "CLOB", "bigint": "BIGINT", "int": "INTEGER"}
+
+
+def write_database(df: DataFrame, table: str) -> str:
+    """The URL of a new embedded database with the rows of df, to be read only, by any number of processes at once.
+
+    Tasks write the rows as delimited text, the database that runs in the driver's JVM imports it file by file, and its
+    closed files are put uncompressed into one archive; so no process holds the rows.  All of it is in the shared
+    folder, which must be one of files.  Columns are text or whole numbers; nulls, empty and long texts, quotes and line
+    breaks come back as they were.
+    """
+    spark, path = df.sparkSession, scratch(df.sparkSession, "database")
+    if not path.startswith(("file:/", "/")):
+        raise ValueError(f"an embedded database needs a folder of files, not {path}")
+    local = "/" + path.removeprefix("file:").lstrip("/")
+    text = lambda n: F.concat(F.lit('"'), F.replace(F.col(f"`{n}`"), F.lit('"'), F.lit('""')), F.lit('"'))
+    cells = [F.coalesce(text(n) if kind == "string" else F.col(f"`{n}`").cast("string"), F.lit("")) for n, kind in df.dtypes]
+    df.select(F.concat_ws(",", *cells)).write.text(f"file://{local}-rows")
+    connect = spark._jvm.java.sql.DriverManager.getConnection
+    con = connect(f"jdbc:derby:{local};create=true")
+    try:
+        run = con.createStatement().execute
+        run(f"CREATE TABLE {table} ({', '.join(f'"{n}" {_KINDS[kind]}' for n, kind in df.dtypes)})")
+        for file in sorted(f for f in os.listdir(f"{local}-rows") if f.startswith("part-")):
+            if os.path.getsize(f"{local}-rows/{file}"):
+                run(f"CALL SYSCS_UTIL.SYSCS_IMPORT_TABLE(NULL, '{table.upper()}', '{local}-rows/{file}', ',', '\"', 'UTF-8', 0)")
+    finally:
+        con.close()
+        try:
+            connect(f"jdbc:derby:{local};shutdown=true")
+        except Py4JJavaError as e:  # a database that was closed says so by this error
+            if e.java_exception.getSQLState() != "08006":
+                raise
+    with zipfile.ZipFile(f"{local}.jar", "w", zipfile.ZIP_STORED) as z:
+        for folder, _, files in os.walk(local):
+            for f in files:
+                z.write(os.path.join(folder, f), os.path.join("db", os.path.relpath(folder, local), f))
+    for made in (local, f"{local}-rows"):
+        shutil.rmtree(made)
+    return f"jdbc:derby:jar:({local}.jar)db"
+
+
 def write_with_valid(df: DataFrame, path: str, valid: str) -> None:
     """All rows as CSV under path, and those that satisfy `valid` beside them."""
     df.write.option("header", True).csv(path)

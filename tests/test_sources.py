@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,3 +93,38 @@ def test_the_newest_file(spark, tmp_path):
         os.utime(tmp_path / n, (at, at))
     got = files_of(spark, f"file://{tmp_path}", "*.csv").collect()
     assert {r["file"]: r["newest"] for r in got} == {"a.csv": False, "b.csv": False, "d.csv": True}
+
+
+def test_a_database_comes_back_as_written(spark, monkeypatch):
+    rows = [("1", None, 1), ("2", "", 2), ("3", " a ", -3), ("4", 'a"b,c', 4), ("5", "a\nb\r\nc", 5), ("6", "é漢\\x", None), (None, "z", 7), ("8", "y" * 40_000, 8)]
+    df = spark.createDataFrame(rows, "id string, name string, n bigint")
+    for found in (df, df.limit(0)):
+        url = S.write_database(found, "odd")
+        back = S.read_table(spark, url, "odd", '"n"', (0, 8), 3, S.DERBY)
+        assert back.schema.simpleString() == df.schema.simpleString()
+        assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, found.collect()), key=str)
+    monkeypatch.setattr(S, "scratch", lambda spark, name: f"hdfs://there/{name}")
+    with pytest.raises(ValueError):
+        S.write_database(df, "odd")
+
+
+ON_A_CLUSTER = """
+import sys
+from pyspark.sql import SparkSession
+from lectern.plans import catalog
+
+conf = {"spark.master": "local-cluster[2,1,1024]", "spark.executor.memory": "600m", "spark.ui.enabled": "false", "spark.driver.host": "127.0.0.1", "spark.checkpoint.dir": f"file://{sys.argv[1]}", "spark.sql.shuffle.partitions": "4"}
+spark = SparkSession.builder.config(map=conf).getOrCreate()
+rows = catalog.queries()["src_jdbc"](spark, sys.argv[2]).collect()
+print("found", len(rows), sum(int(r["district_id"]) == r["k"] and r["name"].endswith(r["district_id"]) for r in rows))
+spark.stop()
+"""
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no tables")
+def test_a_database_is_read_by_several_executors(spark, tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK_", "SPARK_"))} | {"PYTHONPATH": root}
+    done = subprocess.run([sys.executable, "-c", ON_A_CLUSTER, f"{tmp_path}/shared", "/root/testdata/sf0.001"], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    n = spark.read.parquet("/root/testdata/sf0.001/customer.parquet").count()
+    assert f"found {n} {n}" in done.stdout, done.stderr[-2000:]
