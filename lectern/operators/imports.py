@@ -33,8 +33,17 @@ class StateFile:
 
 
 def identifier(state: str, raw: Column) -> Column:
-    """A district's identifier as its state's crosswalk has it."""
-    return T.as_integer_text(F.trim(raw)) if state == "NY" else T.state_district_id(F.lit(state), raw)
+    """A district's identifier as its state's crosswalk has it.
+
+    A code of Massachusetts ends in four digits of a school; what stands before them is the district, whole, where a
+    state has more than four digits of districts.
+    """
+    if state == "NY":
+        return T.as_integer_text(F.trim(raw))
+    if state == "MA":
+        code = T.zero_fill(F.regexp_replace(F.trim(raw), "[^0-9]", ""), 8)
+        return F.left(code, F.length(code) - 4)
+    return T.state_district_id(F.lit(state), raw)
 
 
 def import_rows(raw: DataFrame, file: StateFile, crosswalk: DataFrame) -> DataFrame:

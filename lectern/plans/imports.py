@@ -28,11 +28,18 @@ def latest_counts(t, state):
 _CELL = "CASE WHEN {0} IS NULL THEN '*' WHEN {0} % 11 = 0 THEN '' ELSE CAST({0} AS STRING) || '.5' END"
 _COMMA = "CASE WHEN {0} IS NULL THEN '-' ELSE CAST({0} AS STRING) || ',250' END"
 _RATIO = "CASE WHEN {0} IS NULL THEN 'n/a' ELSE CAST({0} AS STRING) || '.3 to 1' END"
+
+
+def _filled(n):
+    """The number of a district in n digits, or in as many as it has: lpad() alone would cut it."""
+    return f"lpad(CAST(m AS STRING), greatest({n}, length(CAST(m AS STRING))), '0')"
+
+
 # how they write the number of a district, and what the crosswalk has for it
 _CODES = {
     "CA": ("lpad(CAST(m AS STRING), 14, '0')", "lpad(CAST(m AS STRING), 14, '0')"), "FL": ("CAST(m AS STRING) || '.0'", "CASE WHEN m < 10 THEN '0' ELSE '' END || CAST(m AS STRING)"),
     "IL": ("lpad(CAST(m AS STRING), 11, '0') || '0000'", "'00-000-' || substr(lpad(CAST(m AS STRING), 6, '0'), 1, 4) || '-' || substr(lpad(CAST(m AS STRING), 6, '0'), 5, 2)"),
-    "MA": ("CAST(m AS STRING) || '0000'", "lpad(CAST(m AS STRING), 4, '0')"), "MI": ("CAST(m AS STRING) || '.0'", "CAST(m AS STRING)"), "NY": ("' ' || CAST(m AS STRING) || '.0'", "CAST(m AS STRING)"),
+    "MA": ("CAST(m AS STRING) || '0000'", _filled(4)), "MI": ("CAST(m AS STRING) || '.0'", "CAST(m AS STRING)"), "NY": ("' ' || CAST(m AS STRING) || '.0'", "CAST(m AS STRING)"),
     "PA": ("CAST(m AS STRING)", "CAST(m AS STRING)"), "TX": ("' ' || lpad(CAST(m AS STRING), 6, '0') || ' '", "lpad(CAST(m AS STRING), 6, '0')"), "VA": ("CAST(m AS STRING)", "CASE WHEN m < 1000 THEN lpad(CAST(m AS STRING), 3, '0') ELSE CAST(m AS STRING) END"),
 }
 _MARKS = "('', '*', '-', '--', 'N/A', 'n/a', 'NA', 'null', 'NULL')"
