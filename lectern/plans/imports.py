@@ -38,9 +38,9 @@ def _filled(n):
 # how they write the number of a district, and what the crosswalk has for it
 _CODES = {
     "CA": ("lpad(CAST(m AS STRING), 14, '0')", "lpad(CAST(m AS STRING), 14, '0')"), "FL": ("CAST(m AS STRING) || '.0'", "CASE WHEN m < 10 THEN '0' ELSE '' END || CAST(m AS STRING)"),
-    "IL": ("lpad(CAST(m AS STRING), 11, '0') || '0000'", "'00-000-' || substr(lpad(CAST(m AS STRING), 6, '0'), 1, 4) || '-' || substr(lpad(CAST(m AS STRING), 6, '0'), 5, 2)"),
+    "IL": ("lpad(CAST(m AS STRING), 11, '0') || '0000'", "concat_ws('-', substr({0}, 1, 2), substr({0}, 3, 3), substr({0}, 6, 4), substr({0}, 10, 2))".format("lpad(CAST(m AS STRING), 11, '0')")),
     "MA": ("CAST(m AS STRING) || '0000'", _filled(4)), "MI": ("CAST(m AS STRING) || '.0'", "CAST(m AS STRING)"), "NY": ("' ' || CAST(m AS STRING) || '.0'", "CAST(m AS STRING)"),
-    "PA": ("CAST(m AS STRING)", "CAST(m AS STRING)"), "TX": ("' ' || lpad(CAST(m AS STRING), 6, '0') || ' '", "lpad(CAST(m AS STRING), 6, '0')"), "VA": ("CAST(m AS STRING)", "CASE WHEN m < 1000 THEN lpad(CAST(m AS STRING), 3, '0') ELSE CAST(m AS STRING) END"),
+    "PA": ("CAST(m AS STRING)", "CAST(m AS STRING)"), "TX": (f"' ' || {_filled(6)} || ' '", _filled(6)), "VA": ("CAST(m AS STRING)", "CASE WHEN m < 1000 THEN lpad(CAST(m AS STRING), 3, '0') ELSE CAST(m AS STRING) END"),
 }
 _MARKS = "('', '*', '-', '--', 'N/A', 'n/a', 'NA', 'null', 'NULL')"
 _FLOAT = f"TRY_CAST(CASE WHEN trim({{0}}) NOT IN {_MARKS} THEN trim({{0}}) END AS DOUBLE)"
