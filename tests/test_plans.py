@@ -2,6 +2,7 @@
 
 import os
 
+import duckdb
 import pytest
 
 from lectern.plans import catalog
@@ -48,6 +49,23 @@ def test_aggregates_combine_before_the_shuffle(spark):
     assert "partial_" in p
 
 
+def test_names_are_combined_where_equal_ones_are_together(spark):
+    # a task that combines what it scans would hold all of that
+    above, below = plan(spark, "tx_subdomains").split("Exchange hashpartitioning(", 1)
+    assert "HashAggregate" in above and "HashAggregate" not in below and "Generate" not in below
+
+
+def test_an_address_stands_once(spark, tmp_path):
+    duckdb.sql(f"COPY (SELECT * FROM '{FOLDER}/nation.parquet') TO '{tmp_path}/nation.parquet'")
+    names = "(1, 'Oak#1'), (2, 'OAK1'), (3, NULL), (4, NULL), (5, ''), (6, 'a.b'), (7, 'Oak1'), (8, '#')"
+    duckdb.sql(f"COPY (SELECT CAST(k AS BIGINT) AS c_custkey, n AS c_name, CAST(0 AS INTEGER) AS c_nationkey, CAST(1 AS DOUBLE) AS c_acctbal, 'x' AS c_mktsegment FROM (VALUES {names}) v(k, n)) TO '{tmp_path}/customer.parquet'")
+    con = duckdb.connect()
+    for t in ("customer", "nation"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    got = sorted(map(tuple, catalog.queries()["tx_subdomains"](spark, str(tmp_path)).collect()), key=str)
+    assert got == sorted(con.sql(catalog.oracle_sql()["tx_subdomains"]).fetchall(), key=str) and len(got) == 16
+
+
 @pytest.mark.parametrize("name", [n for n in sorted(catalog.queries()) if n.split("_")[0] in ("prj", "flt", "agg", "win", "set", "rsh", "dq", "lct")])
 def test_no_python_in_the_plan(name, spark):
     p = plan(spark, name)
